@@ -24,7 +24,7 @@ def top_k(
 ) -> DataFrame:
     """Rows ranked 1..k within each partition (gap-free; ``order_by`` must be a total order)."""
     w = Window.partitionBy(*partition_by).orderBy(*order_by)
-    return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
+    return df.withColumn(rank_col, F.row_number().over(w).cast("bigint")).filter(F.col(rank_col) <= k)
 
 
 def _genres_with_titles(items: DataFrame, max_broadcast_rows: int) -> DataFrame:

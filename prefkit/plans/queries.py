@@ -1,6 +1,8 @@
 """Registered queries: each takes (spark, sf_dir) and returns a DataFrame over the whole tables.
 
-Column names match ``prefkit.plans.oracle``; floating outputs are rounded the same way there.
+Ratings and items come from ``prefkit.sources.bindings``. Column names match
+``prefkit.plans.oracle``; floating outputs are rounded the same way there (9 decimals for
+averages, similarities and statistics, 6 for predictions).
 """
 
 from __future__ import annotations
@@ -9,22 +11,336 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from prefkit import schemas as S
+from prefkit.functions.columns import tab_line, timestamp_bucket
 from prefkit.operators import aggregates as A
+from prefkit.operators import factorize as M
+from prefkit.operators import items as I
+from prefkit.operators import matrix as X
+from prefkit.operators import similarity as SIM
+from prefkit.operators import splits as SP
+from prefkit.operators import topk as W
+from prefkit.session import scratch_path
 from prefkit.sources import bindings as B
+from prefkit.sources import readers as R
+from prefkit.sources import sinks
 
 AVG_DIGITS = 9
+PRED_DIGITS = 6
+# Parameters of the registered queries (the binding's items have at most ~55 ratings each, so
+# the popularity threshold is lowered from the default 300; the survey answers get one stamp).
+POPULAR_THRESHOLD = 40
+RESPONSE_TS = 1_000_000_000
+ALS_PARAMS = dict(rank=10, max_iter=10, reg=0.1, seed=42)
+
+RATING_COLS = [S.USER, S.ITEM, S.RATING, S.TS]
 
 
 def _r(c: str, d: int = AVG_DIGITS):
     return F.round(F.col(c), d).alias(c)
 
 
-def genre_avg_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = A.genre_avg_rating(B.community_ratings(spark, sf_dir), B.bind_items(spark, sf_dir))
-    return out.select("genre", _r("avg_rating"), "n_ratings")
+def _community(spark, sf_dir):
+    return B.community_ratings(spark, sf_dir)
+
+
+def _personal(spark, sf_dir):
+    return B.personal_ratings(spark, sf_dir)
+
+
+def _items(spark, sf_dir):
+    return B.bind_items(spark, sf_dir)
+
+
+# ---- sources and sinks -------------------------------------------------------------------
+
+
+def scan_ratings(spark, sf_dir):
+    lines = B.rating_lines(B.bind_ratings(spark, sf_dir))
+    return R.parse_ratings(lines)
+
+
+def scan_items(spark, sf_dir):
+    return R.parse_items(B.item_lines(_items(spark, sf_dir)))
+
+
+def scan_personal_ratings(spark, sf_dir):
+    return R.parse_ratings(B.rating_lines(_personal(spark, sf_dir)))
+
+
+def sink_roundtrip(spark, sf_dir):
+    """Write the genre averages as tab-separated text under the shared folder and read them back."""
+    path = scratch_path(spark, "sink")
+    sinks.write_table(genre_avg_rating(spark, sf_dir), path, fmt="csv", sep="\t")
+    schema = T.StructType(
+        [
+            T.StructField(S.GENRE, T.StringType()),
+            T.StructField("avg_rating", T.DoubleType()),
+            T.StructField("n_ratings", T.LongType()),
+        ]
+    )
+    return sinks.read_table(spark, path, schema, fmt="csv", sep="\t")
+
+
+def preferences_from_responses(spark, sf_dir):
+    return R.preferences_from_responses(B.bind_responses(spark, sf_dir), user_id=0, ts=RESPONSE_TS)
+
+
+# ---- items -------------------------------------------------------------------------------
+
+
+def split_genres(spark, sf_dir):
+    g = I.split_genres(_items(spark, sf_dir))
+    return g.select(S.ITEM, F.size("genre_list").cast("bigint").alias("n_genres"), F.col("genre_list")[0].alias("first_genre"))
+
+
+def explode_genres(spark, sf_dir):
+    return I.explode_genres(_items(spark, sf_dir))
+
+
+def items_with_genres(spark, sf_dir):
+    return I.items_with_genres(_items(spark, sf_dir))
+
+
+def attach_titles(spark, sf_dir):
+    return I.attach_titles(A.ratings_per_item(_community(spark, sf_dir)), _items(spark, sf_dir))
+
+
+# ---- projections / filters ---------------------------------------------------------------
+
+
+def timestamp_bucket_q(spark, sf_dir):
+    return _community(spark, sf_dir).withColumn("bucket", timestamp_bucket(S.TS))
+
+
+def raters_of_seeds(spark, sf_dir):
+    return SIM.raters_of_seeds(_community(spark, sf_dir), _personal(spark, sf_dir))
+
+
+def popular_items(spark, sf_dir):
+    return X.popular_items(_community(spark, sf_dir), threshold=POPULAR_THRESHOLD)
+
+
+def centered_ratings(spark, sf_dir):
+    c = SIM.centered_ratings(_community(spark, sf_dir))
+    return c.select(*RATING_COLS, _r("user_mean"), _r("centered"))
+
+
+def format_rows(spark, sf_dir):
+    stats = A.genre_user_stats(_community(spark, sf_dir), _items(spark, sf_dir))
+    return stats.select(tab_line(S.GENRE, S.USER, "n_ratings").alias("line"))
+
+
+# ---- joins -------------------------------------------------------------------------------
+
+
+def ratings_by_genre(spark, sf_dir):
+    return A.ratings_by_genre(_community(spark, sf_dir), _items(spark, sf_dir))
+
+
+def actual_vs_predicted(spark, sf_dir):
+    """Validation ratings joined on (user, item) with the item-mean baseline's predictions."""
+    train, validation, _ = SP.split_frames(_community(spark, sf_dir))
+    predicted = M.predict_item_mean(M.item_mean_model(train), validation)
+    scored = M.actual_vs_predicted(validation, predicted)
+    return scored.select(S.USER, S.ITEM, "actual", _r("predicted"))
+
+
+def co_rated_pairs(spark, sf_dir):
+    p = SIM.co_rated_pairs(_community(spark, sf_dir), _personal(spark, sf_dir))
+    return p.select(S.USER, SIM.SEED, S.ITEM, _r("a"), _r("b"))
+
+
+# ---- aggregations ------------------------------------------------------------------------
+
+
+def ratings_per_item(spark, sf_dir):
+    return A.ratings_per_item(_community(spark, sf_dir))
+
+
+def user_rating_totals(spark, sf_dir):
+    t = A.user_rating_totals(_community(spark, sf_dir))
+    return t.select(S.USER, "rating_sum", "n_ratings", _r("avg_rating"))
+
+
+def genre_avg_rating(spark, sf_dir):
+    out = A.genre_avg_rating(_community(spark, sf_dir), _items(spark, sf_dir))
+    return out.select(S.GENRE, _r("avg_rating"), "n_ratings")
+
+
+def genre_user_stats(spark, sf_dir):
+    s = A.genre_user_stats(_community(spark, sf_dir), _items(spark, sf_dir))
+    return s.select(S.GENRE, S.USER, "n_ratings", "rating_sum", _r("genre_avg"))
+
+
+def genre_top_items_packed(spark, sf_dir):
+    return W.genre_top_items_packed(_community(spark, sf_dir), _items(spark, sf_dir))
+
+
+def dataset_counts(spark, sf_dir):
+    return A.dataset_counts(_community(spark, sf_dir))
+
+
+def rating_error_metrics(spark, sf_dir):
+    """Error of the item-mean baseline on the validation split; unscored rows count in n_total."""
+    train, validation, _ = SP.split_frames(_community(spark, sf_dir))
+    predicted = M.predict_item_mean(M.item_mean_model(train), validation)
+    scored = M.actual_vs_predicted(validation, predicted, how="left")
+    m = M.error_metrics(scored, actual="actual", predicted="predicted")
+    return m.select(_r("mse"), _r("rmse"), _r("reference_mse"), "n_scored", "n_total")
+
+
+def distinct_users(spark, sf_dir):
+    return A.distinct_users(_community(spark, sf_dir))
+
+
+# ---- top-k -------------------------------------------------------------------------------
+
+
+def genre_top_items(spark, sf_dir):
+    return W.genre_top_items(_community(spark, sf_dir), _items(spark, sf_dir), k=5)
+
+
+def genre_top_users(spark, sf_dir):
+    t = W.genre_top_users(_community(spark, sf_dir), _items(spark, sf_dir), k=5)
+    return t.select(S.GENRE, "rank", S.USER, "n_ratings", _r("genre_avg"), _r("overall_avg"), "overall_n")
+
+
+def item_neighbors_topk(spark, sf_dir):
+    sims = SIM.item_similarity(_community(spark, sf_dir), _personal(spark, sf_dir))
+    return SIM.item_neighbors_topk(sims, k=10)
+
+
+# ---- set operations and splits -----------------------------------------------------------
+
+
+def training_with_personal(spark, sf_dir):
+    return SP.training_with_personal(_community(spark, sf_dir), _personal(spark, sf_dir))
+
+
+def split_assignment(spark, sf_dir):
+    return SP.split_assignment(_community(spark, sf_dir))
+
+
+def split_sizes(spark, sf_dir):
+    return SP.split_sizes(_community(spark, sf_dir))
+
+
+# ---- matrix and similarity ---------------------------------------------------------------
+
+
+def matrix_dims(spark, sf_dir):
+    return X.matrix_dims(_community(spark, sf_dir))
+
+
+def item_column_summary(spark, sf_dir):
+    s = X.item_column_summary(_community(spark, sf_dir))
+    return s.select(S.ITEM, "nnz", _r("norm_l1"), _r("norm_l2"), _r("mean"), _r("variance"), "min", "max")
+
+
+def item_similarity(spark, sf_dir):
+    return SIM.item_similarity(_community(spark, sf_dir), _personal(spark, sf_dir))
+
+
+def item_cf_recommend(spark, sf_dir):
+    rec = SIM.item_cf_recommend(_community(spark, sf_dir), _personal(spark, sf_dir), _items(spark, sf_dir))
+    return rec.select("rank", S.ITEM, S.TITLE, _r("prediction", PRED_DIGITS))
+
+
+def dedupe_ratings(spark, sf_dir):
+    return SIM.dedupe_ratings(_community(spark, sf_dir))
+
+
+# ---- ALS (no SQL form: rows-only checks) -------------------------------------------------
+
+
+def _als_splits(spark, sf_dir):
+    community = _community(spark, sf_dir)
+    train, validation, test = SP.split_frames(community)
+    training = train.unionByName(_personal(spark, sf_dir).select(*RATING_COLS))
+    return training, validation, test
+
+
+def als_factors(spark, sf_dir):
+    training, _, _ = _als_splits(spark, sf_dir)
+    model = M.fit_als(training, **ALS_PARAMS)
+    return model.itemFactors.select(F.col("id").cast("bigint").alias(S.ITEM), "features")
+
+
+def als_predict(spark, sf_dir):
+    training, validation, _ = _als_splits(spark, sf_dir)
+    model = M.fit_als(training, **ALS_PARAMS)
+    return M.predict(model, validation.select(S.USER, S.ITEM, S.RATING))
+
+
+def als_evaluate(spark, sf_dir):
+    training, validation, _ = _als_splits(spark, sf_dir)
+    model = M.fit_als(training, **ALS_PARAMS)
+    return M.evaluate(model, validation)
+
+
+def als_grid_search(spark, sf_dir):
+    training, validation, test = _als_splits(spark, sf_dir)
+    return M.grid_search(training, validation, test).trials
+
+
+def als_recommend(spark, sf_dir):
+    training, _, _ = _als_splits(spark, sf_dir)
+    model = M.fit_als(training, **ALS_PARAMS)
+    users = _personal(spark, sf_dir).select(S.USER).distinct()
+    return M.recommend(model, users, n=M.TOP_N, items=_items(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    # sources and sinks
+    "scan_ratings": scan_ratings,
+    "scan_items": scan_items,
+    "scan_personal_ratings": scan_personal_ratings,
+    "sink_roundtrip": sink_roundtrip,
+    "preferences_from_responses": preferences_from_responses,
+    # projections, filters, scalar functions
+    "split_genres": split_genres,
+    "explode_genres": explode_genres,
+    "items_with_genres": items_with_genres,
+    "timestamp_bucket": timestamp_bucket_q,
+    "raters_of_seeds": raters_of_seeds,
+    "popular_items": popular_items,
+    "centered_ratings": centered_ratings,
+    "format_rows": format_rows,
+    # joins
+    "ratings_by_genre": ratings_by_genre,
+    "actual_vs_predicted": actual_vs_predicted,
+    "attach_titles": attach_titles,
+    "co_rated_pairs": co_rated_pairs,
+    # aggregations
+    "ratings_per_item": ratings_per_item,
+    "user_rating_totals": user_rating_totals,
     "genre_avg_rating": genre_avg_rating,
+    "genre_user_stats": genre_user_stats,
+    "genre_top_items_packed": genre_top_items_packed,
+    "dataset_counts": dataset_counts,
+    "rating_error_metrics": rating_error_metrics,
+    "distinct_users": distinct_users,
+    # top-k
+    "genre_top_items": genre_top_items,
+    "genre_top_users": genre_top_users,
+    "item_neighbors_topk": item_neighbors_topk,
+    # set operations, splits
+    "training_with_personal": training_with_personal,
+    "split_assignment": split_assignment,
+    "split_sizes": split_sizes,
+    # matrix, similarity
+    "matrix_dims": matrix_dims,
+    "item_column_summary": item_column_summary,
+    "item_similarity": item_similarity,
+    "item_cf_recommend": item_cf_recommend,
+    "dedupe_ratings": dedupe_ratings,
+    # factorisation (rows-only)
+    "als_factors": als_factors,
+    "als_predict": als_predict,
+    "als_evaluate": als_evaluate,
+    "als_grid_search": als_grid_search,
+    "als_recommend": als_recommend,
 }

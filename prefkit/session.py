@@ -38,6 +38,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for k, v in RUNTIME_CONF.items():
         builder = builder.config(k, v)

@@ -1,0 +1,56 @@
+from conftest import rows
+from prefkit.operators import matrix as X
+from prefkit.operators import splits as SP
+
+
+def test_split_sizes(ratings, personal):
+    assert dict(rows(SP.split_sizes(ratings))) == {"train": 6, "validation": 3, "test": 2}
+    assert SP.training_with_personal(ratings, personal).count() == 8
+
+
+def test_negative_timestamp_bucket(spark):
+    df = spark.createDataFrame([(1, 1, 3.0, -7), (1, 2, 3.0, 19), (1, 3, 3.0, 6)], "user_id bigint, item_id bigint, rating double, ts bigint")
+    got = rows(SP.split_assignment(df), "ts", "bucket", "split")
+    assert got == [(-7, -7, "train"), (6, 6, "validation"), (19, 9, "test")]
+
+
+def test_split_frames_partition_all_rows(ratings):
+    tr, va, te = SP.split_frames(ratings)
+    assert tr.count() + va.count() + te.count() == ratings.count()
+
+
+def test_matrix_dims(ratings):
+    d = X.matrix_dims(ratings).first()
+    assert (d.n_rows, d.n_cols) == (4, 7)
+
+
+def test_item_column_summary(ratings):
+    s = X.item_column_summary(ratings)
+    got = {
+        r.item_id: (r.nnz, round(r.norm_l1, 6), round(r.norm_l2, 6), round(r.mean, 6), round(r.variance, 6), r.min, r.max)
+        for r in s.collect()
+    }
+    assert got == {
+        1: (3, 11.0, 6.708204, 2.75, 4.916667, 0.0, 5.0),
+        2: (1, 3.0, 3.0, 0.75, 2.25, 0.0, 3.0),
+        3: (3, 12.5, 7.36546, 3.125, 5.0625, 0.0, 5.0),
+        5: (1, 1.0, 1.0, 0.25, 0.25, 0.0, 1.0),
+        6: (3, 9.5, 5.678908, 2.375, 3.229167, 0.0, 4.0),
+    }
+
+
+def test_explicit_zero_and_duplicates(spark):
+    df = spark.createDataFrame(
+        [(1, 1, 0.0, 10), (2, 1, 4.0, 10), (2, 1, 5.0, 20), (3, 2, 1.0, 5)],
+        "user_id bigint, item_id bigint, rating double, ts bigint",
+    )
+    got = {r.item_id: (r.nnz, r.max, r.min) for r in X.item_column_summary(df).collect()}
+    # explicit 0 not counted; the later duplicate (5.0) wins
+    assert got[1] == (1, 5.0, 0.0)
+    assert rows(X.popular_items(df, threshold=0), "item_id", "nnz") == [(1, 1), (2, 1)]
+    assert rows(X.popular_items(df, threshold=1)) == []
+
+
+def test_popular_items_strict(ratings):
+    assert rows(X.popular_items(ratings, threshold=2), "item_id", "nnz") == [(1, 3), (3, 3), (6, 3)]
+    assert rows(X.popular_items(ratings, threshold=3)) == []

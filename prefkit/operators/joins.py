@@ -23,3 +23,44 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS)
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+# A key of the big side holding more rows than this is split over several join tasks.
+DEFAULT_ROWS_PER_TASK = 2_000_000
+
+
+def skew_safe_join(
+    big: DataFrame,
+    small: DataFrame,
+    key: str,
+    key_counts: DataFrame,
+    salt_cols: list[str],
+    how: str = "inner",
+    rows_per_task: int = DEFAULT_ROWS_PER_TASK,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """Equi-join ``big`` and ``small`` on ``key`` with hot keys split across tasks.
+
+    ``key_counts`` (``key``, ``n``) gives (an upper bound of) the rows of ``big`` per key. A key
+    with ``n > rows_per_task`` is hot and gets ``s = ceil(n / rows_per_task)`` salts: each
+    of its ``big`` rows takes salt ``pmod(xxhash64(salt_cols), s)``, a deterministic value
+    (a retried task recomputes the same salt), and each of its ``small`` rows is replicated
+    once per salt. The join then runs on (key, salt), so a key holding a third of all rows is
+    spread over ``s`` tasks and every (big, small) match is still produced exactly once.
+
+    The hot-key table is broadcast after a bounded count (there are at most
+    total_rows / rows_per_task hot keys). With no hot key this is the plain join; with more
+    hot keys than the bound it falls back to the plain join and AQE's skew handling.
+    ``how`` may be ``inner`` or ``left`` (big preserved).
+    """
+    hot = key_counts.filter(F.col("n") > rows_per_task).select(
+        key, F.ceil(F.col("n") / F.lit(rows_per_task)).cast("int").alias("_nsalt")
+    )
+    n_hot = hot.limit(max_broadcast_rows + 1).count()
+    if n_hot == 0 or n_hot > max_broadcast_rows:
+        return big.join(small, on=key, how=how)
+    hot_b = F.broadcast(hot)
+    nsalt = F.coalesce(F.col("_nsalt"), F.lit(1))
+    b = big.join(hot_b, on=key, how="left").withColumn("_salt", F.pmod(F.xxhash64(*salt_cols), nsalt).cast("int"))
+    s = small.join(hot_b, on=key, how="left").withColumn("_salt", F.explode(F.sequence(F.lit(0), nsalt - 1)))
+    return b.drop("_nsalt").join(s.drop("_nsalt"), on=[key, "_salt"], how=how).drop("_salt")

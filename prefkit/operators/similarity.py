@@ -9,9 +9,10 @@ user's rows; r(u, .) uses the latest rating of a duplicated (user, item) (rule D
 prediction for item j is sum(sim * p(i)) / sum(|sim|) over j's ``k`` most similar seeds, p(i)
 being the target user's rating; it is not mean-restored, so values may leave the rating scale.
 
-Plan: dedupe and user means are aggregations (partial before the shuffle), the seed list is
-broadcast only after a bounded count, and the user self-join is an equi-join on user id that
-AQE can split when one user holds a large share of the rows. Nothing is collected.
+Plan: dedupe and user statistics are aggregations (partial before the shuffle); the seed list
+is broadcast only after a bounded count; the seed-side rows (few per user) carry the user
+mean; the user self-join splits hot users over several tasks (``skew_safe_join``), so a user
+holding a third of all rows is not one task. Nothing is collected.
 """
 
 from __future__ import annotations
@@ -22,7 +23,12 @@ from pyspark.sql import functions as F
 from prefkit import schemas as S
 from prefkit.functions.columns import safe_div
 from prefkit.operators.items import attach_titles
-from prefkit.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
+from prefkit.operators.joins import (
+    DEFAULT_BROADCAST_MAX_ROWS,
+    DEFAULT_ROWS_PER_TASK,
+    bounded_broadcast,
+    skew_safe_join,
+)
 from prefkit.operators.topk import top_k
 
 SEED = "seed_id"
@@ -41,15 +47,24 @@ def dedupe_ratings(ratings: DataFrame) -> DataFrame:
     )
 
 
-def user_means(ratings: DataFrame) -> DataFrame:
-    return ratings.groupBy(S.USER).agg(F.avg(S.RATING).alias("user_mean"))
+def user_stats(ratings: DataFrame) -> DataFrame:
+    """Per user: mean of all their rows (``user_mean``) and row count ``n`` (used to find hot users)."""
+    return ratings.groupBy(S.USER).agg(F.avg(S.RATING).alias("user_mean"), F.count(F.lit(1)).alias("n"))
 
 
-def centered_ratings(ratings: DataFrame) -> DataFrame:
-    """Each rating minus its user's average over all the user's ratings."""
-    return ratings.join(user_means(ratings), on=S.USER).withColumn(
-        "centered", F.col(S.RATING) - F.col("user_mean")
+def centered_ratings(ratings: DataFrame, rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
+    """Each rating minus its user's average over all the user's ratings (P13, A5). The join of
+    ratings to the per-user means splits hot users across tasks."""
+    stats = user_stats(ratings)
+    joined = skew_safe_join(
+        ratings,
+        stats.select(S.USER, "user_mean"),
+        S.USER,
+        stats.select(S.USER, "n"),
+        salt_cols=[S.ITEM, S.TS, S.RATING],
+        rows_per_task=rows_per_task,
     )
+    return joined.withColumn("centered", F.col(S.RATING) - F.col("user_mean"))
 
 
 def seed_items(personal: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
@@ -66,29 +81,42 @@ def raters_of_seeds(
     return ratings.join(seeds, on=S.ITEM, how="left_semi")
 
 
-def _centered_latest(ratings: DataFrame) -> DataFrame:
-    """Latest rating per (user, item) centred by the mean of all of the user's rows."""
-    per_pair = ratings.groupBy(S.USER, S.ITEM).agg(
-        F.max(F.struct(F.col(S.TS), F.col(S.RATING))).alias("_last"),
-        F.sum(S.RATING).alias("_s"),
-        F.count(F.lit(1)).alias("_n"),
-    )
-    means = per_pair.groupBy(S.USER).agg((F.sum("_s") / F.sum("_n")).alias("user_mean"))
-    return per_pair.join(means, on=S.USER).select(
-        S.USER, S.ITEM, (F.col("_last." + S.RATING) - F.col("user_mean")).alias("centered")
-    )
-
-
 def co_rated_pairs(
-    ratings: DataFrame, personal: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS
+    ratings: DataFrame,
+    personal: DataFrame,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    rows_per_task: int = DEFAULT_ROWS_PER_TASK,
 ) -> DataFrame:
     """(user_id, seed_id, item_id, a, b) for every user who rated seed i and item j, j = i
-    included (J7). One join replaces the reference's per-seed loop of unions (U2)."""
-    c = _centered_latest(ratings)
+    included (J7). One join replaces the reference's per-seed loop of unions (U2).
+
+    The seed side (each user's ratings of seed items, with the user's mean attached) is the
+    replicated side of the self-join; the user's full rating list is the split side.
+    """
+    latest = dedupe_ratings(ratings).select(S.USER, S.ITEM, S.RATING)
+    stats = user_stats(ratings)
     seeds = seed_items(personal, max_broadcast_rows).select(SEED)
-    a = c.join(seeds, c[S.ITEM] == seeds[SEED]).select(S.USER, SEED, F.col("centered").alias("a"))
-    b = c.select(S.USER, S.ITEM, F.col("centered").alias("b"))
-    return a.join(b, on=S.USER)
+    seed_side = (
+        latest.join(seeds, latest[S.ITEM] == seeds[SEED])
+        .select(S.USER, SEED, F.col(S.RATING).alias("_ri"))
+        .join(stats.select(S.USER, "user_mean"), on=S.USER)
+    )
+    pairs = skew_safe_join(
+        latest,
+        seed_side,
+        S.USER,
+        stats.select(S.USER, "n"),
+        salt_cols=[S.ITEM],
+        rows_per_task=rows_per_task,
+        max_broadcast_rows=max_broadcast_rows,
+    )
+    return pairs.select(
+        S.USER,
+        SEED,
+        S.ITEM,
+        (F.col("_ri") - F.col("user_mean")).alias("a"),
+        (F.col(S.RATING) - F.col("user_mean")).alias("b"),
+    )
 
 
 def item_similarity(
@@ -96,10 +124,11 @@ def item_similarity(
     personal: DataFrame,
     digits: int | None = RANK_DIGITS,
     max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    rows_per_task: int = DEFAULT_ROWS_PER_TASK,
 ) -> DataFrame:
     """Adjusted cosine ``sim`` for each (seed_id, item_id) with a non-zero denominator (M7),
     with ``n_users`` co-raters. ``digits`` rounds ``sim`` (None keeps the raw value)."""
-    pairs = co_rated_pairs(ratings, personal, max_broadcast_rows)
+    pairs = co_rated_pairs(ratings, personal, max_broadcast_rows, rows_per_task)
     sums = pairs.groupBy(SEED, S.ITEM).agg(
         F.sum(F.col("a") * F.col("b")).alias("_ab"),
         F.sum(F.col("a") * F.col("a")).alias("_aa"),
@@ -125,10 +154,11 @@ def item_predictions(
     k: int = 10,
     digits: int | None = RANK_DIGITS,
     max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    rows_per_task: int = DEFAULT_ROWS_PER_TASK,
 ) -> DataFrame:
     """Predicted rating of every item that has at least one seed neighbour (A11 over W3).
     A zero sum of |sim| gives no prediction (rule D12)."""
-    top = item_neighbors_topk(item_similarity(ratings, personal, digits, max_broadcast_rows), k)
+    top = item_neighbors_topk(item_similarity(ratings, personal, digits, max_broadcast_rows, rows_per_task), k)
     seeds = seed_items(personal, max_broadcast_rows)
     pred = top.join(seeds, on=SEED).groupBy(S.ITEM).agg(
         safe_div(F.sum(F.col("sim") * F.col("p")), F.sum(F.abs("sim"))).alias("prediction")
@@ -146,10 +176,11 @@ def item_cf_recommend(
     n: int = 50,
     digits: int | None = RANK_DIGITS,
     max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    rows_per_task: int = DEFAULT_ROWS_PER_TASK,
 ) -> DataFrame:
     """The n items with the highest prediction (M9, W4), ties by item id, with titles.
     Seeds themselves are eligible. ``orderBy().limit()`` runs as a per-partition top-n."""
-    pred = item_predictions(ratings, personal, k, digits, max_broadcast_rows)
+    pred = item_predictions(ratings, personal, k, digits, max_broadcast_rows, rows_per_task)
     best = pred.orderBy(F.col("prediction").desc(), F.col(S.ITEM).asc()).limit(n)
     ranked = top_k(best, [], [F.col("prediction").desc(), F.col(S.ITEM).asc()], n)
     return attach_titles(ranked, items, max_broadcast_rows=max_broadcast_rows).select(

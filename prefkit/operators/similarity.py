@@ -95,10 +95,13 @@ def co_rated_pairs(
     """
     latest = dedupe_ratings(ratings).select(S.USER, S.ITEM, S.RATING)
     stats = user_stats(ratings)
-    seeds = seed_items(personal, max_broadcast_rows).select(SEED)
+    seeds = seed_items(personal, max_broadcast_rows).select(F.col(SEED).alias(S.ITEM))
+    # Deduplication is per (user, item), so the seed items' rows can be picked before it:
+    # only those rows are deduplicated and shuffled for the seed side.
+    seed_rows = ratings.join(seeds, on=S.ITEM, how="left_semi")
     seed_side = (
-        latest.join(seeds, latest[S.ITEM] == seeds[SEED])
-        .select(S.USER, SEED, F.col(S.RATING).alias("_ri"))
+        dedupe_ratings(seed_rows)
+        .select(S.USER, F.col(S.ITEM).alias(SEED), F.col(S.RATING).alias("_ri"))
         .join(stats.select(S.USER, "user_mean"), on=S.USER)
     )
     pairs = skew_safe_join(

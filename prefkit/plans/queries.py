@@ -34,6 +34,7 @@ PRED_DIGITS = 6
 POPULAR_THRESHOLD = 40
 RESPONSE_TS = 1_000_000_000
 ALS_PARAMS = dict(rank=10, max_iter=10, reg=0.1, seed=42)
+GRID_PARALLELISM = 4  # concurrent fits in the grid search (results do not depend on it)
 
 RATING_COLS = [S.USER, S.ITEM, S.RATING, S.TS]
 
@@ -283,7 +284,7 @@ def als_evaluate(spark, sf_dir):
 
 def als_grid_search(spark, sf_dir):
     training, validation, test = _als_splits(spark, sf_dir)
-    return M.grid_search(training, validation, test).trials
+    return M.grid_search(training, validation, test, parallelism=GRID_PARALLELISM).trials
 
 
 def als_recommend(spark, sf_dir):

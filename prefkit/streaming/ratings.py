@@ -1,0 +1,54 @@
+"""Ratings as a file stream feeding the genre aggregation."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from prefkit import schemas as S
+from prefkit.operators.aggregates import genre_table
+from prefkit.session import scratch_path
+from prefkit.sources.readers import RATING_CSV_OPTIONS
+
+
+def read_ratings_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """New headerless ratings CSV files dropped into ``path``, as a stream (schema fixed, no inference)."""
+    r = spark.readStream.schema(S.RATINGS).options(**RATING_CSV_OPTIONS).option("mode", "FAILFAST")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r.csv(path)
+
+
+def running_genre_average(ratings_stream: DataFrame, items: DataFrame) -> DataFrame:
+    """Average rating and count per genre over everything received so far (A3 on a stream).
+
+    A stream-static join with the (bounded, broadcast) genre table, then one aggregation whose
+    state is a running (sum, count) per genre."""
+    joined = ratings_stream.select(S.ITEM, S.RATING).join(genre_table(items), on=S.ITEM)
+    return joined.groupBy(S.GENRE).agg(
+        (F.sum(S.RATING) / F.count(F.lit(1))).alias("avg_rating"),
+        F.count(F.lit(1)).alias("n_ratings"),
+    )
+
+
+def start(
+    df: DataFrame,
+    name: str,
+    output_mode: str = "complete",
+    fmt: str = "memory",
+    path: str | None = None,
+    checkpoint: str | None = None,
+) -> StreamingQuery:
+    """Start ``df`` with its checkpoint under the shared folder (``spark.checkpoint.dir``).
+    ``fmt='memory'`` registers the result as table ``name`` (for tests and notebooks)."""
+    spark = df.sparkSession
+    w = (
+        df.writeStream.queryName(name)
+        .outputMode(output_mode)
+        .format(fmt)
+        .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{name}"))
+    )
+    if path:
+        w = w.option("path", path)
+    return w.start()

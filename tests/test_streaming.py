@@ -1,0 +1,20 @@
+from conftest import RATINGS_CSV, rows
+from prefkit.operators import aggregates as A
+from prefkit.streaming import read_ratings_stream, running_genre_average, start
+
+
+def test_running_genre_average_matches_batch(spark, tmp_path, ratings, items):
+    src = tmp_path / "incoming"
+    src.mkdir()
+    lines = RATINGS_CSV.strip().splitlines()
+    (src / "part1.csv").write_text("\n".join(lines[:5]) + "\n")
+    q = start(running_genre_average(read_ratings_stream(spark, str(src)), items), "genre_avg_stream")
+    try:
+        q.processAllAvailable()
+        (src / "part2.csv").write_text("\n".join(lines[5:]) + "\n")
+        q.processAllAvailable()
+        got = {r.genre: (round(r.avg_rating, 9), r.n_ratings) for r in spark.table("genre_avg_stream").collect()}
+    finally:
+        q.stop()
+    want = {r.genre: (round(r.avg_rating, 9), r.n_ratings) for r in A.genre_avg_rating(ratings, items).collect()}
+    assert got == want

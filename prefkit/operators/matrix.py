@@ -32,7 +32,8 @@ def item_column_summary(ratings: DataFrame, dedupe: bool = True) -> DataFrame:
     scalar, so no cross join is needed.
     """
     m = dedupe_ratings(ratings) if dedupe else ratings
-    n = m.agg(F.count_distinct(S.USER)).first()[0]
+    # Deduplication keeps every user, so N is counted on the input rows directly.
+    n = ratings.agg(F.count_distinct(S.USER)).first()[0]
     v = F.col(S.RATING)
     per_item = m.groupBy(S.ITEM).agg(
         F.count_if(v != 0).alias("nnz"),

@@ -67,3 +67,13 @@ def test_skew_safe_join_left_keeps_unmatched(spark, skewed):
     out = skew_safe_join(skewed, small, "user_id", counts, salt_cols=["item_id", "ts"], how="left", rows_per_task=50)
     assert out.count() == skewed.count()
     assert out.filter("user_id = 7 AND x IS NULL").count() == 400
+
+
+def test_item_mean_prediction_salted_equals_plain(ratings):
+    from prefkit.operators import factorize as M
+
+    model = M.item_mean_model(ratings)
+    plain = M.predict_item_mean(model, ratings)
+    salted = M.predict_item_mean(model, ratings, rows_per_task=1)
+    assert rows(salted) == rows(plain)
+    assert plain.count() == ratings.select("user_id", "item_id").distinct().count()

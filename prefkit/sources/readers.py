@@ -18,9 +18,20 @@ ITEM_CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"'}
 RATING_CSV_OPTIONS = {"sep": ",", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
 
 
-def read_ratings(spark: SparkSession, path: str, header: bool = False, mode: str = "FAILFAST") -> DataFrame:
-    """Scan a ratings CSV (S1). A malformed number fails the job (``FAILFAST``), like the
-    reference's ``parseInt``; pass ``mode='DROPMALFORMED'`` to skip such lines instead."""
+def _typed(spark: SparkSession, path: str, schema, fmt: str) -> DataFrame:
+    """A columnar / JSON source read with the fixed schema: only the schema's columns are
+    read (pruned at the scan), and filters applied later push down to it."""
+    return spark.read.schema(schema).format(fmt).load(path).select(*[f.name for f in schema.fields])
+
+
+def read_ratings(
+    spark: SparkSession, path: str, header: bool = False, mode: str = "FAILFAST", fmt: str = "csv"
+) -> DataFrame:
+    """Scan ratings (S1). For CSV a malformed number fails the job (``FAILFAST``), like the
+    reference's ``parseInt``; pass ``mode='DROPMALFORMED'`` to skip such lines instead.
+    ``fmt='parquet'`` (or ``orc``, ``json``) reads a table with the ratings columns."""
+    if fmt != "csv":
+        return _typed(spark, path, S.RATINGS, fmt)
     return (
         spark.read.schema(S.RATINGS)
         .options(**RATING_CSV_OPTIONS)
@@ -30,15 +41,17 @@ def read_ratings(spark: SparkSession, path: str, header: bool = False, mode: str
     )
 
 
-def read_personal_ratings(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
+def read_personal_ratings(spark: SparkSession, path: str, header: bool = False, fmt: str = "csv") -> DataFrame:
     """The target user's ratings file (S3): same layout and reader as S1, read from a shared
     (distributed) path, failing loudly rather than returning a partial list."""
-    return read_ratings(spark, path, header=header, mode="FAILFAST")
+    return read_ratings(spark, path, header=header, mode="FAILFAST", fmt=fmt)
 
 
-def read_items(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
-    """Scan an items CSV (S2). Lines whose id does not parse (e.g. a header line read with
+def read_items(spark: SparkSession, path: str, header: bool = False, fmt: str = "csv") -> DataFrame:
+    """Scan items (S2). CSV lines whose id does not parse (e.g. a header line read with
     ``header=False``) are dropped rather than kept as an all-NULL item."""
+    if fmt != "csv":
+        return _typed(spark, path, S.ITEMS, fmt).filter(F.col(S.ITEM).isNotNull())
     df = (
         spark.read.schema(S.ITEMS)
         .options(**ITEM_CSV_OPTIONS)

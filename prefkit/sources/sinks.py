@@ -6,11 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "csv", sep: str = "\t", mode: str = "overwrite") -> str:
+def write_table(
+    df: DataFrame,
+    path: str,
+    fmt: str = "csv",
+    sep: str = "\t",
+    mode: str = "overwrite",
+    partition_by: list[str] | None = None,
+) -> str:
     """Write ``df`` to ``path``. ``csv`` writes one delimited line per row (tab by default,
     the reference's text layout); ``parquet`` / ``json`` / ``orc`` keep types. Returns ``path``.
-    The write is distributed: each task writes its own part file."""
+    The write is distributed: each task writes its own part files; ``partition_by`` lays the
+    output out in one folder per value (e.g. per genre or split) so later reads prune folders."""
     w = df.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if fmt == "csv":
         w.option("sep", sep).option("header", "false").csv(path)
     else:

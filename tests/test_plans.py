@@ -13,6 +13,8 @@ SF = "/root/testdata/sf0.001"
 def test_no_python_udf(spark, name):
     text = plan_text(Q.QUERIES[name](spark, SF))
     assert "PythonUDF" not in text and "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+    # no cross joins anywhere
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
 def test_titles_broadcast(spark):

@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a narrow side (ids, a short string) that may be broadcast to every executor.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+# Rows of a narrow side (ids, a short string: well under 100 bytes a row) that may be broadcast
+# to every executor; at most a few tens of MB per executor.
+DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:

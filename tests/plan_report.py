@@ -1,0 +1,59 @@
+"""Summarise the executed (AQE final) physical plans of the headline queries as a markdown table.
+
+Usage: python tests/plan_report.py [sf_dir]  (prints markdown; used to write PLANS.md)
+"""
+
+from __future__ import annotations
+
+import os
+import re
+import sys
+
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, os.path.dirname(HERE))
+
+from bench import HEADLINE  # noqa: E402
+from prefkit.plans import queries as Q  # noqa: E402
+from prefkit.plans.inspect import plan_text  # noqa: E402
+from prefkit.session import local_session  # noqa: E402
+
+UNITS = {"B": 1, "KiB": 1024, "MiB": 1024**2, "GiB": 1024**3}
+
+
+def final_plan(text: str) -> str:
+    if "== Final Plan ==" in text:
+        text = text.split("== Final Plan ==", 1)[1]
+    return text.split("== Initial Plan ==", 1)[0].split("\n\n(1)", 1)[0]
+
+
+def summary(text: str) -> dict:
+    tree = final_plan(text)
+    shuffle_stats = re.findall(r"ShuffleQueryStage \(\d+\), Statistics\(sizeInBytes=([0-9.]+) (\w+), rowCount=([0-9.E+]+)\)", tree)
+    return {
+        "shuffles": len(re.findall(r"\+- Exchange \(", tree)) + len(re.findall(r"^\s*Exchange \(", tree, re.M)),
+        "reused": tree.count("ReusedExchange"),
+        "broadcasts": tree.count("BroadcastExchange"),
+        "bhj": tree.count("BroadcastHashJoin"),
+        "smj": tree.count("SortMergeJoin"),
+        "wgl": tree.count("WindowGroupLimit"),
+        "partial_aggs": len(re.findall(r"HashAggregate|SortAggregate", tree)),
+        "shuffled_mib": round(sum(float(v) * UNITS[u] for v, u, _ in shuffle_stats) / 1024**2, 2),
+        "shuffled_rows": int(sum(float(r) for _, _, r in shuffle_stats)),
+    }
+
+
+def main(argv):
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
+    spark = local_session(shuffle_partitions=16)
+    names = [n for n in HEADLINE if not n.startswith("als_")]
+    print("| query | shuffle exchanges | reused | broadcasts | BHJ | SMJ | WindowGroupLimit | aggregates | shuffled MiB | shuffled rows |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
+    for n in names:
+        df = Q.QUERIES[n](spark, sf_dir)
+        df.collect()
+        s = summary(plan_text(df))
+        print(f"| {n} | {s['shuffles']} | {s['reused']} | {s['broadcasts']} | {s['bhj']} | {s['smj']} | {s['wgl']} | {s['partial_aggs']} | {s['shuffled_mib']} | {s['shuffled_rows']} |")
+
+
+if __name__ == "__main__":
+    main(sys.argv)

@@ -20,10 +20,16 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS)
     """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
 
     The check is ``df.limit(max_rows + 1).count()``: it stops counting past the bound, so a
-    large side costs a bounded scan per partition, not a full count.
+    large side costs a bounded scan per partition, not a full count. The side is cached while
+    it is checked, so a side within the bound is computed once and the broadcast reads the
+    cache; a side over the bound is released again and joined by shuffle.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    cached = df.cache()
+    n = cached.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(cached)
+    cached.unpersist()
+    return df
 
 
 # A key of the big side holding more rows than this is split over several join tasks.
@@ -49,18 +55,17 @@ def skew_safe_join(
     once per salt. The join then runs on (key, salt), so a key holding a third of all rows is
     spread over ``s`` tasks and every (big, small) match is still produced exactly once.
 
-    The hot-key table is broadcast after a bounded count (there are at most
-    total_rows / rows_per_task hot keys). With no hot key this is the plain join; with more
-    hot keys than the bound it falls back to the plain join and AQE's skew handling.
+    The hot-key table is broadcast with a bound by construction: it holds the
+    ``max_broadcast_rows`` hottest keys in a total order (most rows first, then key), so both
+    sides see the same table even if it is recomputed. There are at most
+    total_rows / rows_per_task hot keys, so normally all of them fit; any beyond the bound keep
+    salt 0 and take the plain path. Results are exact either way; no extra job runs.
     ``how`` may be ``inner`` or ``left`` (big preserved).
     """
     hot = key_counts.filter(F.col("n") > rows_per_task).select(
         key, F.ceil(F.col("n") / F.lit(rows_per_task)).cast("int").alias("_nsalt")
     )
-    n_hot = hot.limit(max_broadcast_rows + 1).count()
-    if n_hot == 0 or n_hot > max_broadcast_rows:
-        return big.join(small, on=key, how=how)
-    hot_b = F.broadcast(hot)
+    hot_b = F.broadcast(hot.orderBy(F.col("_nsalt").desc(), F.col(key).asc()).limit(max_broadcast_rows))
     nsalt = F.coalesce(F.col("_nsalt"), F.lit(1))
     b = big.join(hot_b, on=key, how="left").withColumn("_salt", F.pmod(F.xxhash64(*salt_cols), nsalt).cast("int"))
     s = small.join(hot_b, on=key, how="left").withColumn("_salt", F.explode(F.sequence(F.lit(0), nsalt - 1)))

@@ -1,6 +1,10 @@
 """Summarise the executed (AQE final) physical plans of the headline queries as a markdown table.
 
-Usage: python tests/plan_report.py [sf_dir]  (prints markdown; used to write PLANS.md)
+Usage: python tests/plan_report.py [sf_dir] [--tables]  (prints markdown; used to write PLANS.md)
+
+With ``--tables`` the bound ratings and items are first written once as parquet under the
+shared folder and the queries read those tables, as a deployment reads its ratings table;
+without it they read the driver tables through the binding (one extra exchange per ratings scan).
 """
 
 from __future__ import annotations
@@ -42,9 +46,26 @@ def summary(text: str) -> dict:
     }
 
 
+def use_tables(spark, sf_dir):
+    """Materialise the binding once and point the binding functions at the written tables."""
+    from prefkit.session import scratch_path
+    from prefkit.sources import bindings as B
+    from prefkit.sources.sinks import write_table
+
+    paths = {}
+    for name, fn in (("ratings", B.bind_ratings), ("items", B.bind_items)):
+        paths[name] = scratch_path(spark, f"table-{name}")
+        write_table(fn(spark, sf_dir), paths[name], fmt="parquet")
+    B.bind_ratings = lambda spark, sf_dir: spark.read.parquet(paths["ratings"])
+    B.bind_items = lambda spark, sf_dir: spark.read.parquet(paths["items"])
+
+
 def main(argv):
-    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
+    args = [a for a in argv[1:] if not a.startswith("--")]
+    sf_dir = args[0] if args else "/root/testdata/sf0.1"
     spark = local_session(shuffle_partitions=16)
+    if "--tables" in argv:
+        use_tables(spark, sf_dir)
     names = [n for n in HEADLINE if not n.startswith("als_")]
     print("| query | shuffle exchanges | reused | broadcasts | BHJ | SMJ | WindowGroupLimit | aggregates | shuffled MiB | shuffled rows |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")

@@ -46,6 +46,23 @@ def rows_of(cols, records):
     return sorted(out, key=repr)
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_mismatches(sdf, res):
+    duck_types = {c[0]: str(c[1]).upper() for c in res.description}
+    out = []
+    for name, dtype in sdf.dtypes:
+        want = SPARK_TO_DUCK.get(dtype, dtype.upper())
+        got = duck_types.get(name)
+        if got is not None and got != want:
+            out.append((name, dtype, got))
+    return out
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -61,7 +78,8 @@ def compare(spark, con, name, fn, sql, sf_dir):
     ok_cols = sorted(s_cols) == sorted(d_cols)
     ok_n = len(s_rows) == len(d_rows)
     ok_v = ok_cols and ok_n and rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
-    info = dict(name=name, ok=ok_cols and ok_n and ok_v, cols=ok_cols, count=ok_n, values=ok_v,
+    types = type_mismatches(sdf, res)
+    info = dict(name=name, ok=ok_cols and ok_n and ok_v and not types, cols=ok_cols, count=ok_n, values=ok_v, types=types,
                 rows=len(s_rows), oracle_rows=len(d_rows), spark_s=round(t1 - t0, 2), duck_s=round(t2 - t1, 2))
     if not info["ok"]:
         info["spark_cols"] = s_cols

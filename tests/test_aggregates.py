@@ -74,3 +74,9 @@ def test_attach_titles_missing_is_null(spark, items):
 def test_genre_avg_independent_of_order_and_partitioning(ratings, items, order):
     shuffled = ratings.orderBy(F.rand(order)).repartition(3 + order)
     assert rows(A.genre_avg_rating(shuffled, items)) == rows(A.genre_avg_rating(ratings, items))
+
+
+def test_attach_titles_shuffle_path(spark, items, ratings):
+    a = I.attach_titles(A.ratings_per_item(ratings), items)
+    b = I.attach_titles(A.ratings_per_item(ratings), items, max_broadcast_rows=0)
+    assert rows(a) == rows(b)

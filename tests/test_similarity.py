@@ -72,3 +72,11 @@ def test_neighbors_topk(ratings, personal):
     top = SIM.item_neighbors_topk(sims, k=1)
     assert rows(top.filter("item_id = 1"), "seed_id", "sim") == [(1, 1.0)]
     assert top.groupBy("item_id").count().filter(F.col("count") > 1).count() == 0
+
+
+def test_shuffle_paths_equal_broadcast_paths(ratings, personal, items):
+    """Beyond the broadcast bound (max_broadcast_rows=0) every join falls back to a shuffle join."""
+    a = SIM.item_cf_recommend(ratings, personal, items)
+    b = SIM.item_cf_recommend(ratings, personal, items, max_broadcast_rows=0)
+    assert rows(a) == rows(b)
+    assert rows(SIM.raters_of_seeds(ratings, personal, max_broadcast_rows=0)) == rows(SIM.raters_of_seeds(ratings, personal))

@@ -30,3 +30,20 @@ def test_matrix_and_cf_jobs(spark, fixture_dir):
     jobs.item_cf_job(spark, r, p, i, out2)
     first = [row.value for row in spark.read.text(out2).collect() if row.value.startswith("1\t")]
     assert len(first) == 1 and first[0].startswith("1\t1\tToy Story (1995)\t1.97895")
+
+
+def test_cli_runs_jobs(spark, fixture_dir):
+    from prefkit.__main__ import parser, run
+
+    r, p, i = (str(fixture_dir / f) for f in ("ratings.csv", "personal.csv", "items.csv"))
+    out = scratch_path(spark, "cli-avg")
+    run(parser().parse_args(["genre-average", "--ratings", r, "--items", i, "--out", out]), spark)
+    assert spark.read.text(out).count() == 6
+    out2 = scratch_path(spark, "cli-matrix")
+    dims = run(parser().parse_args(["matrix-statistics", "--ratings", r, "--out", out2, "--threshold", "2"]), spark)
+    assert dims == {"n_rows": 4, "n_cols": 7}
+    out3 = scratch_path(spark, "cli-als")
+    res = run(parser().parse_args(["als", "--ratings", r, "--personal", p, "--items", i, "--out", out3, "--n", "3"]), spark)
+    assert res["best"]["grid_pos"] in range(8)
+    assert spark.read.text(out3 + "/trials").count() == 8
+    assert spark.read.text(out3 + "/recommendations").count() == 3

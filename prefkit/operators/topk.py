@@ -67,7 +67,9 @@ def genre_top_users(
     Order: count descending, then user id ascending compared **as text** (``"10"`` before
     ``"2"``), as the reference compares string ids. Overall totals are computed only for the
     selected users: their ids (at most k per genre, checked by count) are broadcast into a
-    semi-join on the ratings before aggregating, so no all-users aggregate is shuffled.
+    semi-join on the ratings before aggregating, so no all-users aggregate is shuffled. The
+    ranked rows (k per genre) are cached, so the ranking is computed once for the check and the
+    final join.
     """
     stats = genre_user_stats(ratings, items, max_broadcast_rows)
     order = [F.col("n_ratings").desc(), F.col(S.USER).cast("string").asc()]

@@ -47,9 +47,17 @@ def read_personal_ratings(spark: SparkSession, path: str, header: bool = False,
     return read_ratings(spark, path, header=header, mode="FAILFAST", fmt=fmt)
 
 
-def read_items(spark: SparkSession, path: str, header: bool = False, fmt: str = "csv") -> DataFrame:
+def read_items(
+    spark: SparkSession, path: str, header: bool = False, fmt: str = "csv", unquoted_titles: bool = False
+) -> DataFrame:
     """Scan items (S2). CSV lines whose id does not parse (e.g. a header line read with
-    ``header=False``) are dropped rather than kept as an all-NULL item."""
+    ``header=False``) are dropped rather than kept as an all-NULL item. ``unquoted_titles``
+    reads hand-written lists whose titles carry unquoted commas (see ``parse_items``)."""
+    if unquoted_titles:
+        lines = spark.read.text(path)
+        if header:
+            lines = lines.filter(~F.col("value").startswith("movieId") & ~F.col("value").startswith("item_id"))
+        return parse_items(lines, unquoted_titles=True)
     if fmt != "csv":
         return _typed(spark, path, S.ITEMS, fmt).filter(F.col(S.ITEM).isNotNull())
     df = (
@@ -73,10 +81,33 @@ def parse_ratings(df: DataFrame, value: str = "value", keep: list[str] | None =
     return out.filter(F.col(S.USER).isNotNull() & F.col(S.ITEM).isNotNull())
 
 
-def parse_items(df: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
+def parse_items(
+    df: DataFrame, value: str = "value", keep: list[str] | None = None, unquoted_titles: bool = False
+) -> DataFrame:
     """Parse a text column holding items lines into typed columns (S2 on a string column).
-    A line without a genre field gives NULL genres; surplus fields are ignored."""
-    out = _parsed(df, F.col(value), S.ITEMS_DDL, ITEM_CSV_OPTIONS, keep or [])
+    A line without a genre field gives NULL genres; surplus fields are ignored.
+
+    ``unquoted_titles=True`` accepts hand-written lines whose title has commas but no quotes
+    (``318,Shawshank Redemption, The (1994),Crime|Drama``): a line whose title is quoted is read
+    as CSV; otherwise the id is the text before the first comma, the genres the text after the
+    last comma, and the title everything between (P3, P4); a line with a single comma has no
+    genre field.
+    """
+    if not unquoted_titles:
+        out = _parsed(df, F.col(value), S.ITEMS_DDL, ITEM_CSV_OPTIONS, keep or [])
+        return out.filter(F.col(S.ITEM).isNotNull())
+    v = F.trim(F.col(value))
+    csv = F.from_csv(v, S.ITEMS_DDL, ITEM_CSV_OPTIONS)
+    quoted = v.rlike('^[^,]*,\\s*"')
+    three = v.rlike("^[^,]*,.*,")
+    title = F.when(three, F.regexp_extract(v, "^[^,]*,(.*),[^,]*$", 1)).otherwise(F.regexp_extract(v, "^[^,]*,(.*)$", 1))
+    genres = F.when(three, F.regexp_extract(v, ",([^,]*)$", 1))
+    out = df.select(
+        *(keep or []),
+        F.when(quoted, csv[S.ITEM]).otherwise(F.expr(f"try_cast(regexp_extract(trim(`{value}`), '^([^,]*)', 1) AS BIGINT)")).alias(S.ITEM),
+        F.when(quoted, csv[S.TITLE]).otherwise(title).alias(S.TITLE),
+        F.when(quoted, csv[S.GENRES]).otherwise(F.nullif(genres, F.lit(""))).alias(S.GENRES),
+    )
     return out.filter(F.col(S.ITEM).isNotNull())
 
 

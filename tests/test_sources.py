@@ -106,3 +106,23 @@ def test_partitioned_sink(spark, ratings):
     write_table(split_assignment(ratings), path, fmt="parquet", partition_by=["split"])
     back = spark.read.parquet(path)
     assert back.filter("split = 'test'").count() == 2
+
+
+def test_unquoted_comma_titles(spark, tmp_path):
+    # the hand-written top-ten list style: commas inside titles without quotes
+    p = tmp_path / "top.csv"
+    p.write_text(
+        "318,Shawshank Redemption, The (1994),Crime|Drama\n"
+        "2571,Matrix, The (1999),Action|Sci-Fi|Thriller\n"
+        "1,Toy Story (1995),Adventure|Animation\n"
+        '2,"Jeffrey Dahmer Files, The (2012)",Crime|Documentary\n'
+        "5,NoGenre (2001)\n"
+    )
+    got = {r.item_id: (r.title, r.genres) for r in read_items(spark, str(p), unquoted_titles=True).collect()}
+    assert got == {
+        318: ("Shawshank Redemption, The (1994)", "Crime|Drama"),
+        2571: ("Matrix, The (1999)", "Action|Sci-Fi|Thriller"),
+        1: ("Toy Story (1995)", "Adventure|Animation"),
+        2: ("Jeffrey Dahmer Files, The (2012)", "Crime|Documentary"),
+        5: ("NoGenre (2001)", None),
+    }

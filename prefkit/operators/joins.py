@@ -16,20 +16,27 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
+def broadcast_within(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame | None:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``None``.
 
     The check is ``df.limit(max_rows + 1).count()``: it stops counting past the bound, so a
     large side costs a bounded scan per partition, not a full count. The side is cached while
     it is checked, so a side within the bound is computed once and the broadcast reads the
-    cache; a side over the bound is released again and joined by shuffle.
+    cache; a side over the bound is released again.
     """
     cached = df.cache()
     n = cached.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(cached)
     cached.unpersist()
-    return df
+    return None
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows (see ``broadcast_within``),
+    else ``df`` unchanged, to be joined by shuffle."""
+    b = broadcast_within(df, max_rows)
+    return df if b is None else b
 
 
 # A key of the big side holding more rows than this is split over several join tasks.

@@ -80,3 +80,13 @@ def test_attach_titles_shuffle_path(spark, items, ratings):
     a = I.attach_titles(A.ratings_per_item(ratings), items)
     b = I.attach_titles(A.ratings_per_item(ratings), items, max_broadcast_rows=0)
     assert rows(a) == rows(b)
+
+
+def test_attach_titles_filters_large_items_by_requested_ids(spark, items):
+    from prefkit.plans.inspect import plan_text
+
+    df = spark.createDataFrame([(1,), (6,), (99,)], "item_id bigint")
+    # items "too large" to broadcast (bound 2 < 6 items) but the 3 requested ids are not
+    out = I.attach_titles(df, items, max_broadcast_rows=3)
+    assert dict(rows(out, "item_id", "title")) == {1: "Toy Story (1995)", 6: "Good, the Bad, and Ugly, The (1966)", 99: None}
+    assert "LeftSemi" in plan_text(out)

@@ -56,8 +56,8 @@ def use_tables(spark, sf_dir):
     for name, fn in (("ratings", B.bind_ratings), ("items", B.bind_items)):
         paths[name] = scratch_path(spark, f"table-{name}")
         write_table(fn(spark, sf_dir), paths[name], fmt="parquet")
-    B.bind_ratings = lambda spark, sf_dir: spark.read.parquet(paths["ratings"])
-    B.bind_items = lambda spark, sf_dir: spark.read.parquet(paths["items"])
+    B.bind_ratings = lambda spark, sf_dir, **kw: spark.read.parquet(paths["ratings"])
+    B.bind_items = lambda spark, sf_dir, **kw: spark.read.parquet(paths["items"])
 
 
 def main(argv):

@@ -37,16 +37,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def bind_ratings(spark: SparkSession, sf_dir: str, distribute: bool = True) -> DataFrame:
     """All ratings, the target user's included (columns of ``schemas.RATINGS``).
 
-    With ``distribute`` line items are distributed by order key into the session's shuffle
-    partitions: that is the partitioning the join with orders needs when both sides are large
-    (the orders side is then shuffled to match, with no second exchange of line items), and it
-    spreads a file written as one parquet row group (as the test tables are) over all cores
-    instead of one. A caller that keeps only one user's rows passes ``False``: the user filter
+    With ``distribute`` line items are distributed by order key (no fixed partition count, so AQE
+    sizes the partitions): that is the partitioning the join with orders needs when both sides
+    are large (the orders side is then shuffled to match, with no second exchange of line
+    items), and it spreads a file written as one parquet row group (as the test tables are) over
+    all cores instead of one. A caller that keeps only one user's rows passes ``False``: the user filter
     reaches the orders scan, the few matching orders are broadcast, and no line item moves.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
     if distribute:
-        li = li.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
+        li = li.repartition("l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     joined = li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
     epoch = F.expr(f"timestampdiff(SECOND, {EPOCH_NTZ}, l_shipdate)")

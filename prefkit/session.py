@@ -51,15 +51,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; set our own only when the session has none (tests).
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint directory when only that is
+    set); a folder of our own is made only when the session names none (tests).
     The SparkContext checkpoint directory is pointed at the same place so that
     ``DataFrame.checkpoint()`` and ALS's periodic checkpoints land there.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        # Only a local session (tests) gets here: a cluster names its shared folder.
         path = tempfile.mkdtemp(prefix="prefkit-ckpt-")
+    if not spark.conf.get("spark.checkpoint.dir", None):
         spark.conf.set("spark.checkpoint.dir", path)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path

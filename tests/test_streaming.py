@@ -1,4 +1,4 @@
-from conftest import RATINGS_CSV, rows
+from conftest import RATINGS_CSV
 from prefkit.operators import aggregates as A
 from prefkit.streaming import read_ratings_stream, running_genre_average, start
 

@@ -185,6 +185,7 @@ def item_cf_recommend(
     Seeds themselves are eligible. ``orderBy().limit()`` runs as a per-partition top-n."""
     pred = item_predictions(ratings, personal, k, digits, max_broadcast_rows, rows_per_task)
     best = pred.orderBy(F.col("prediction").desc(), F.col(S.ITEM).asc()).limit(n)
+    # ``best`` holds at most n rows, so numbering them in one unpartitioned window is bounded.
     ranked = top_k(best, [], [F.col("prediction").desc(), F.col(S.ITEM).asc()], n)
     return attach_titles(ranked, items, max_broadcast_rows=max_broadcast_rows).select(
         "rank", S.ITEM, S.TITLE, "prediction"

@@ -8,6 +8,7 @@ tables are never hinted: AQE sees their real size at run time.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,11 +25,13 @@ def broadcast_within(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS)
     it is checked, so a side within the bound is computed once and the broadcast reads the
     cache; a side over the bound is released again.
     """
+    was_cached = df.storageLevel != StorageLevel.NONE
     cached = df.cache()
     n = cached.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(cached)
-    cached.unpersist()
+    if not was_cached:  # release only a cache made here, never the caller's
+        cached.unpersist()
     return None
 
 

@@ -27,8 +27,9 @@ def _typed(spark: SparkSession, path: str, schema, fmt: str) -> DataFrame:
 def read_ratings(
     spark: SparkSession, path: str, header: bool = False, mode: str = "FAILFAST", fmt: str = "csv"
 ) -> DataFrame:
-    """Scan ratings (S1). For CSV a malformed number fails the job (``FAILFAST``), like the
-    reference's ``parseInt``; pass ``mode='DROPMALFORMED'`` to skip such lines instead.
+    """Scan ratings (S1). For CSV a line must have exactly four fields and numbers that parse;
+    otherwise the job fails (``FAILFAST``), like the reference's parsers; pass
+    ``mode='DROPMALFORMED'`` to skip such lines instead. Spaces around fields are trimmed.
     ``fmt='parquet'`` (or ``orc``, ``json``) reads a table with the ratings columns."""
     if fmt != "csv":
         return _typed(spark, path, S.RATINGS, fmt)

@@ -126,3 +126,12 @@ def test_unquoted_comma_titles(spark, tmp_path):
         2: ("Jeffrey Dahmer Files, The (2012)", "Crime|Documentary"),
         5: ("NoGenre (2001)", None),
     }
+
+
+@pytest.mark.parametrize("line", ["1,2,3.5,100,extra", "1,2,3.5", "1,x,3.5,100"])
+def test_ratings_lines_must_have_four_valid_fields(spark, tmp_path, line):
+    p = tmp_path / "bad.csv"
+    p.write_text(line + "\n2,3,4.0,5\n")
+    with pytest.raises(Exception):
+        read_ratings(spark, str(p)).collect()
+    assert rows(read_ratings(spark, str(p), mode="DROPMALFORMED")) == [(2, 3, 4.0, 5)]

@@ -23,8 +23,38 @@ RUNTIME_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    for k, v in RUNTIME_CONF.items():
+MIB = 1024 * 1024
+
+
+def sized_conf(
+    input_bytes: int, cores: int, partition_bytes: int = 256 * MIB, max_partitions: int = 200_000
+) -> dict:
+    """Shuffle and scan sizing for an input of ``input_bytes`` on ``cores`` executor cores.
+
+    The largest shuffles here (deduplication, the (genre, user) aggregate) are on the order of
+    the ratings input, so ``spark.sql.shuffle.partitions`` is the input divided by
+    ``partition_bytes`` (a partition stays well inside an executor core's share of memory and
+    spills if it must), never fewer than two per core, and at most ``max_partitions``: beyond
+    that the scheduling and map-status cost (maps x reducers) outweighs smaller partitions, so
+    partitions grow instead (about 500 MiB at 100 TB). AQE coalesces the small
+    post-aggregation stages back down, so a large value costs little there.
+    """
+    partitions = min(max_partitions, max(2 * cores, -(-input_bytes // partition_bytes)))
+    return {
+        **RUNTIME_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(partition_bytes, 128 * MIB)),
+    }
+
+
+def configure(spark: SparkSession, input_bytes: int | None = None, cores: int | None = None) -> SparkSession:
+    """Apply the runtime SQL settings (and, given the input size, the sized shuffle settings)
+    to a session, and make sure the shared folder is known."""
+    conf = dict(RUNTIME_CONF)
+    if input_bytes is not None:
+        conf = sized_conf(input_bytes, cores or spark.sparkContext.defaultParallelism)
+    for k, v in conf.items():
         spark.conf.set(k, v)
     shared_dir(spark)
     return spark

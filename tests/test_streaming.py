@@ -18,3 +18,26 @@ def test_running_genre_average_matches_batch(spark, tmp_path, ratings, items):
         q.stop()
     want = {r.genre: (round(r.avg_rating, 9), r.n_ratings) for r in A.genre_avg_rating(ratings, items).collect()}
     assert got == want
+
+
+def test_restart_resumes_from_checkpoint(spark, tmp_path, ratings, items):
+    from prefkit.session import scratch_path
+
+    src = tmp_path / "incoming2"
+    src.mkdir()
+    lines = RATINGS_CSV.strip().splitlines()
+    (src / "part1.csv").write_text("\n".join(lines[:6]) + "\n")
+    ckpt = scratch_path(spark, "stream-restart")
+    q = start(running_genre_average(read_ratings_stream(spark, str(src)), items), "genre_avg_r1", checkpoint=ckpt)
+    q.processAllAvailable()
+    q.stop()
+    # new data arrives while the query is down; the restarted query keeps its state
+    (src / "part2.csv").write_text("\n".join(lines[6:]) + "\n")
+    q = start(running_genre_average(read_ratings_stream(spark, str(src)), items), "genre_avg_r2", checkpoint=ckpt)
+    try:
+        q.processAllAvailable()
+        got = {r.genre: (round(r.avg_rating, 9), r.n_ratings) for r in spark.table("genre_avg_r2").collect()}
+    finally:
+        q.stop()
+    want = {r.genre: (round(r.avg_rating, 9), r.n_ratings) for r in A.genre_avg_rating(ratings, items).collect()}
+    assert got == want

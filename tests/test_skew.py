@@ -92,3 +92,24 @@ def test_bounded_broadcast_keeps_callers_cache(spark):
     bounded_broadcast(other, max_rows=10)
     assert other.storageLevel == StorageLevel.NONE
     mine.unpersist()
+
+
+def test_group_of_copies(spark, ratings):
+    """One (user, item) pair copied into a third of all rows: dedupe keeps the latest copy and the
+    matrix statistics see one value for that cell."""
+    from prefkit.operators import matrix as X
+
+    copies = spark.range(0, 6).select(
+        F.lit(1).cast("bigint").alias("user_id"),
+        F.lit(1).cast("bigint").alias("item_id"),
+        (F.col("id") % 5 + 1).cast("double").alias("rating"),
+        (F.col("id") + 10).alias("ts"),  # latest copy: ts 15, rating 1.0
+    )
+    data = ratings.unionByName(copies)  # 11 + 6 rows
+    d = {(r.user_id, r.item_id): (r.rating, r.ts) for r in SIM.dedupe_ratings(data).collect()}
+    assert d[(1, 1)] == (4.0, 1000000000)  # the original row has the largest ts
+    late = data.unionByName(copies.withColumn("ts", F.col("ts") + 2 * 10**9))
+    d = {(r.user_id, r.item_id): r.rating for r in SIM.dedupe_ratings(late).collect()}
+    assert d[(1, 1)] == 1.0 and len(d) == 10
+    s = {r.item_id: r.nnz for r in X.item_column_summary(late).collect()}
+    assert s[1] == 3

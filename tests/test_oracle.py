@@ -29,3 +29,21 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_als():
     missing = set(E.queries()) - set(E.oracle_sql())
     assert missing == {"als_factors", "als_predict", "als_evaluate", "als_grid_search", "als_recommend"}
+
+
+SENSITIVE = ["scan_ratings", "split_assignment", "dedupe_ratings", "item_cf_recommend", "preferences_from_responses",
+             "split_genres", "rating_error_metrics", "item_column_summary"]
+
+
+def test_results_do_not_depend_on_session_zone_or_ansi(spark, con):
+    """Timestamps, casts and divisions give the same answers in a non-UTC zone with ANSI off."""
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")}
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for name in SENSITIVE:
+            info = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
+            assert info["ok"], info
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)

@@ -46,11 +46,14 @@ def main():
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, app="prefkit-bench")
-    results = {}
+    results, errors = {}, {}
     for name in names:
-        run(spark, name, sf_dir)  # warm-up
-        times = [run(spark, name, sf_dir) for _ in range(runs)]
-        results[name] = round(statistics.median(times), 3)
+        try:
+            run(spark, name, sf_dir)  # warm-up
+            times = [run(spark, name, sf_dir) for _ in range(runs)]
+            results[name] = round(statistics.median(times), 3)
+        except Exception as e:  # keep the one-line report even if a query fails
+            errors[name] = f"{type(e).__name__}: {str(e).splitlines()[0][:200] if str(e) else ''}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "sum_of_median_query_seconds",
@@ -61,6 +64,8 @@ def main():
         "cpus": int(cpus),
         "runs": runs,
     }
+    if errors:
+        out["errors"] = errors
     print(json.dumps(out))
     spark.stop()
 

@@ -47,3 +47,16 @@ def test_results_do_not_depend_on_session_zone_or_ansi(spark, con):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
+
+
+def test_als_queries_rows(spark):
+    """The rows-only (ALS) registered queries run on the driver tables with the expected row counts."""
+    q = E.queries()
+    assert q["als_evaluate"](spark, SF).count() == 1
+    assert q["als_grid_search"](spark, SF).count() == 8
+    rec = q["als_recommend"](spark, SF).collect()
+    assert len(rec) == 50 and all(r.user_id == 0 for r in rec) and sorted(r["rank"] for r in rec) == list(range(1, 51))
+    n_items = q["training_with_personal"](spark, SF).select("item_id").distinct().count()
+    assert q["als_factors"](spark, SF).count() == n_items
+    validation = q["split_assignment"](spark, SF).filter("split = 'validation'").count()
+    assert q["als_predict"](spark, SF).count() == validation

@@ -3,7 +3,6 @@
 from prefkit.functions.columns import (  # noqa: F401
     genre_list,
     java_remainder,
-    rounded,
     safe_div,
     split_label,
     tab_line,

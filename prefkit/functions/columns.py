@@ -27,7 +27,7 @@ def genre_list(genres="genres") -> Column:
     ``'A|B||'`` -> ``[A, B]``. A repeated genre (``'A|A'``) is kept twice, as the reference's
     flat-map emits one row per listed entry. NULL genres give NULL.
     """
-    parts = F.split(_col(genres), "[|]")
+    parts = F.split(_col(genres), "[" + GENRE_SEPARATOR + "]")
     return F.filter(parts, lambda g: g != F.lit(""))
 
 
@@ -56,11 +56,6 @@ def safe_div(num, den) -> Column:
     return _col(num) / F.nullif(_col(den), F.lit(0))
 
 
-def rounded(c, digits: int) -> Column:
-    """Round a floating value for comparison and ranking (see README, rounding rule)."""
-    return F.round(_col(c), digits)
-
-
 def tab_line(*cols) -> Column:
     """Tab-joined text of the given columns (the reference's record ``toString`` layout)."""
     return F.concat_ws("\t", *[_col(c).cast("string") for c in cols])

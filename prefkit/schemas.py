@@ -31,15 +31,5 @@ ITEMS = T.StructType(
     ]
 )
 
-# The target user's own ratings have the ratings layout.
-PERSONAL = RATINGS
-
-RESPONSES = T.StructType(
-    [
-        T.StructField(ITEM, T.LongType()),
-        T.StructField("response", T.StringType()),
-    ]
-)
-
 RATINGS_DDL = "user_id BIGINT, item_id BIGINT, rating DOUBLE, ts BIGINT"
 ITEMS_DDL = "item_id BIGINT, title STRING, genres STRING"

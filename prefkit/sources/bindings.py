@@ -105,3 +105,16 @@ def item_lines(items: DataFrame) -> DataFrame:
     omitted when NULL so that the line has only two fields."""
     quoted = F.concat(F.lit('"'), F.regexp_replace(S.TITLE, '"', '""'), F.lit('"'))
     return items.select(F.concat_ws(",", F.col(S.ITEM).cast("string"), quoted, F.col(S.GENRES)).alias("value"))
+
+
+def materialize_bindings(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Write the bound ratings and items once as parquet tables under the shared folder
+    (``spark.checkpoint.dir``) and return their paths. Jobs that read them many times then scan
+    columnar tables with no binding join in their lineage."""
+    from prefkit.session import scratch_path
+
+    paths = {}
+    for name, fn in (("ratings", bind_ratings), ("items", bind_items)):
+        paths[name] = scratch_path(spark, f"table-{name}")
+        fn(spark, sf_dir).write.mode("overwrite").parquet(paths[name])
+    return paths

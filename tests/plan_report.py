@@ -48,14 +48,9 @@ def summary(text: str) -> dict:
 
 def use_tables(spark, sf_dir):
     """Materialise the binding once and point the binding functions at the written tables."""
-    from prefkit.session import scratch_path
     from prefkit.sources import bindings as B
-    from prefkit.sources.sinks import write_table
 
-    paths = {}
-    for name, fn in (("ratings", B.bind_ratings), ("items", B.bind_items)):
-        paths[name] = scratch_path(spark, f"table-{name}")
-        write_table(fn(spark, sf_dir), paths[name], fmt="parquet")
+    paths = B.materialize_bindings(spark, sf_dir)
     B.bind_ratings = lambda spark, sf_dir, **kw: spark.read.parquet(paths["ratings"])
     B.bind_items = lambda spark, sf_dir, **kw: spark.read.parquet(paths["items"])
 

@@ -135,3 +135,13 @@ def test_ratings_lines_must_have_four_valid_fields(spark, tmp_path, line):
     with pytest.raises(Exception):
         read_ratings(spark, str(p)).collect()
     assert rows(read_ratings(spark, str(p), mode="DROPMALFORMED")) == [(2, 3, 4.0, 5)]
+
+
+def test_materialize_bindings(spark):
+    from prefkit.sources import bindings as B
+
+    paths = B.materialize_bindings(spark, "/root/testdata/sf0.001")
+    r = spark.read.parquet(paths["ratings"])
+    assert r.columns == ["user_id", "item_id", "rating", "ts"]
+    assert rows(r) == rows(B.bind_ratings(spark, "/root/testdata/sf0.001"))
+    assert spark.read.parquet(paths["items"]).count() == 200

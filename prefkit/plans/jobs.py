@@ -19,9 +19,24 @@ from prefkit.operators import similarity as SIM
 from prefkit.operators import splits as SP
 from prefkit.operators import topk as W
 from prefkit.sources import read_items, read_personal_ratings, read_ratings
+from prefkit.session import scratch_path
 from prefkit.sources.sinks import write_table
 
 
+def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a parquet table in the shared folder and read it back. Jobs that scan
+    their ratings several times then parse the CSV once, and their lineage starts at a reliable
+    columnar table."""
+    path = scratch_path(spark, f"staged-{name}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _ratings(spark: SparkSession, path: str, stage: bool) -> DataFrame:
+    r = read_ratings(spark, path)
+    return _staged(spark, r, "ratings") if stage else r
+
+
 def genre_average_job(spark: SparkSession, ratings_path: str, items_path: str, out: str) -> DataFrame:
     """Average rating per genre, written as ``genre<TAB>avg<TAB>n`` lines."""
     res = A.genre_avg_rating(read_ratings(spark, ratings_path), read_items(spark, items_path))
@@ -36,9 +51,12 @@ def genre_top_items_job(spark: SparkSession, ratings_path: str, items_path: str,
     return res
 
 
-def genre_top_users_job(spark: SparkSession, ratings_path: str, items_path: str, out: str, k: int = 5) -> DataFrame:
-    """The k most active users per genre with genre and overall statistics."""
-    res = W.genre_top_users(read_ratings(spark, ratings_path), read_items(spark, items_path), k)
+def genre_top_users_job(
+    spark: SparkSession, ratings_path: str, items_path: str, out: str, k: int = 5, stage: bool = True
+) -> DataFrame:
+    """The k most active users per genre with genre and overall statistics (the ratings are
+    scanned twice, so with ``stage`` they are parsed once into a parquet table first)."""
+    res = W.genre_top_users(_ratings(spark, ratings_path, stage), read_items(spark, items_path), k)
     write_table(res, out)
     return res
 
@@ -53,11 +71,18 @@ def matrix_statistics_job(spark: SparkSession, ratings_path: str, out: str, thre
 
 
 def item_cf_job(
-    spark: SparkSession, ratings_path: str, personal_path: str, items_path: str, out: str, k: int = 10, n: int = 50
+    spark: SparkSession,
+    ratings_path: str,
+    personal_path: str,
+    items_path: str,
+    out: str,
+    k: int = 10,
+    n: int = 50,
+    stage: bool = True,
 ) -> DataFrame:
     """Neighbour-based top-n for the target user, written as ``rank<TAB>item<TAB>title<TAB>prediction``."""
     res = SIM.item_cf_recommend(
-        read_ratings(spark, ratings_path), read_personal_ratings(spark, personal_path), read_items(spark, items_path), k, n
+        _ratings(spark, ratings_path, stage), read_personal_ratings(spark, personal_path), read_items(spark, items_path), k, n
     )
     write_table(res, out)
     return res
@@ -71,11 +96,12 @@ def als_job(
     out: str,
     n: int = M.TOP_N,
     parallelism: int = 1,
+    stage: bool = True,
 ) -> dict:
     """Split on the timestamp digit, add the target user's rows to training, grid-search ALS,
     test the best model and write the target user's top-n with titles. Returns the trial
     table (written next to the recommendations) and the best cell."""
-    ratings = read_ratings(spark, ratings_path)
+    ratings = _ratings(spark, ratings_path, stage)
     personal = read_personal_ratings(spark, personal_path)
     train, validation, test = SP.split_frames(ratings)
     training = train.unionByName(personal.select(*train.columns))

@@ -3,4 +3,4 @@ as a Structured Streaming file stream, so new ratings files update the same decl
 aggregations incrementally (state: one row per genre), with the query's checkpoint in the
 shared folder so a restarted driver or lost executor resumes where it stopped."""
 
-from prefkit.streaming.ratings import read_ratings_stream, running_genre_average, start  # noqa: F401
+from prefkit.streaming.ratings import read_ratings_stream, running_genre_average, start, start_to_table  # noqa: F401

@@ -52,3 +52,23 @@ def start(
     if path:
         w = w.option("path", path)
     return w.start()
+
+
+def start_to_table(df: DataFrame, name: str, path: str, checkpoint: str | None = None) -> StreamingQuery:
+    """Keep the latest complete result of an aggregating stream as a parquet table at ``path``.
+
+    File sinks accept only appended rows, so each micro-batch's complete result replaces the
+    table through ``foreachBatch`` (the batch is already the whole, small per-genre result).
+    The checkpoint makes a restarted query resume from the last committed batch."""
+    spark = df.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    return (
+        df.writeStream.queryName(name)
+        .outputMode("complete")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{name}"))
+        .start()
+    )

@@ -41,3 +41,24 @@ def test_restart_resumes_from_checkpoint(spark, tmp_path, ratings, items):
         q.stop()
     want = {r.genre: (round(r.avg_rating, 9), r.n_ratings) for r in A.genre_avg_rating(ratings, items).collect()}
     assert got == want
+
+
+def test_stream_to_parquet_table(spark, tmp_path, ratings, items):
+    from prefkit.session import scratch_path
+    from prefkit.streaming import start_to_table
+
+    src = tmp_path / "incoming3"
+    src.mkdir()
+    lines = RATINGS_CSV.strip().splitlines()
+    (src / "a.csv").write_text("\n".join(lines[:4]) + "\n")
+    table = scratch_path(spark, "genre-avg-table")
+    q = start_to_table(running_genre_average(read_ratings_stream(spark, str(src)), items), "genre_avg_tbl", table)
+    try:
+        q.processAllAvailable()
+        (src / "b.csv").write_text("\n".join(lines[4:]) + "\n")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r.genre: (round(r.avg_rating, 9), r.n_ratings) for r in spark.read.parquet(table).collect()}
+    want = {r.genre: (round(r.avg_rating, 9), r.n_ratings) for r in A.genre_avg_rating(ratings, items).collect()}
+    assert got == want

@@ -22,7 +22,10 @@ from prefkit.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcas
 def top_k(
     df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column], k: int, rank_col: str = "rank"
 ) -> DataFrame:
-    """Rows ranked 1..k within each partition (gap-free; ``order_by`` must be a total order)."""
+    """Rows ranked 1..k within each partition (gap-free; ``order_by`` must be a total order).
+    Spark plans the ``<= k`` filter as a ``WindowGroupLimit`` on both sides of the shuffle. With
+    no ``partition_by`` the window is global (one task): use it only on bounded input, such as the
+    output of ``orderBy().limit(n)``."""
     w = Window.partitionBy(*partition_by).orderBy(*order_by)
     return df.withColumn(rank_col, F.row_number().over(w).cast("bigint")).filter(F.col(rank_col) <= k)
 

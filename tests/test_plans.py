@@ -36,3 +36,11 @@ def test_filter_and_pruning_reach_scan(spark):
     assert "PushedFilters: [IsNotNull(o_custkey), EqualTo(o_custkey,0)" in text
     # lineitem scan reads only the five bound columns
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int,l_quantity:double,l_shipdate:timestamp_ntz>" in text
+
+
+def test_salted_join_in_plan(spark, ratings):
+    from prefkit.operators import similarity as SIM
+
+    text = plan_text(SIM.centered_ratings(ratings, rows_per_task=1))
+    assert "xxhash64" in text and "generate" in text.lower()
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

@@ -134,3 +134,26 @@ def test_recommend_bounded(spark, data, seed_items):
     assert sorted(r.rank for r in rec) == list(range(1, len(rec) + 1))
     preds = [r.prediction for r in sorted(rec, key=lambda r: r.rank)]
     assert preds == sorted(preds, reverse=True)
+
+
+@SETTINGS
+@given(st.lists(
+    st.tuples(st.integers(1, 12), st.integers(1, 8), st.sampled_from([x / 2 for x in range(1, 11)]), st.integers(0, 99)),
+    min_size=1, max_size=40,
+))
+def test_top_users_brute_force(spark, data):
+    k = 2
+    got = {}
+    for r in W.genre_top_users(spark.createDataFrame(data, SCHEMA), _items(spark), k=k).collect():
+        got.setdefault(r.genre, []).append((r.rank, r.user_id, r.n_ratings, r.overall_n))
+    per = defaultdict(lambda: defaultdict(int))
+    overall = defaultdict(int)
+    for u, i, _, _ in data:
+        overall[u] += 1
+        for g in _genres(i):
+            per[g][u] += 1
+    want = {}
+    for g, users in per.items():
+        ranked = sorted(users.items(), key=lambda kv: (-kv[1], str(kv[0])))[:k]
+        want[g] = [(pos + 1, u, n, overall[u]) for pos, (u, n) in enumerate(ranked)]
+    assert {g: sorted(v) for g, v in got.items()} == want

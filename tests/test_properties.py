@@ -157,3 +157,34 @@ def test_top_users_brute_force(spark, data):
         ranked = sorted(users.items(), key=lambda kv: (-kv[1], str(kv[0])))[:k]
         want[g] = [(pos + 1, u, n, overall[u]) for pos, (u, n) in enumerate(ranked)]
     assert {g: sorted(v) for g, v in got.items()} == want
+
+
+@SETTINGS
+@given(st.lists(
+    st.tuples(st.integers(1, 6), st.integers(1, 8), st.sampled_from([0.0] + [x / 2 for x in range(1, 11)]), st.integers(0, 50)),
+    min_size=2, max_size=40,
+))
+def test_column_summary_brute_force(spark, data):
+    from prefkit.operators import matrix as X
+
+    latest = {}
+    for u, i, r, ts in data:
+        if (u, i) not in latest or (ts, r) > latest[(u, i)]:
+            latest[(u, i)] = (ts, r)
+    n = len({u for u, _, _, _ in data})
+    cols = defaultdict(list)
+    for (u, i), (_, r) in latest.items():
+        cols[i].append(r)
+    got = {r.item_id: r for r in X.item_column_summary(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert set(got) == set(cols)
+    for i, v in cols.items():
+        dense = v + [0.0] * (n - len(v))
+        mean = sum(dense) / n
+        g = got[i]
+        assert g.nnz == sum(1 for x in v if x != 0)
+        assert math.isclose(g.norm_l1, sum(abs(x) for x in v), abs_tol=1e-9)
+        assert math.isclose(g.norm_l2, math.sqrt(sum(x * x for x in v)), abs_tol=1e-9)
+        assert math.isclose(g.mean, mean, abs_tol=1e-9)
+        if n > 1:
+            assert math.isclose(g.variance, sum((x - mean) ** 2 for x in dense) / (n - 1), abs_tol=1e-9)
+        assert (g.min, g.max) == (min(dense), max(dense))

@@ -188,3 +188,27 @@ def test_column_summary_brute_force(spark, data):
         if n > 1:
             assert math.isclose(g.variance, sum((x - mean) ** 2 for x in dense) / (n - 1), abs_tol=1e-9)
         assert (g.min, g.max) == (min(dense), max(dense))
+
+
+@SETTINGS
+@given(rating_rows, st.lists(st.tuples(st.integers(1, 8), st.sampled_from([1.0, 2.0, 3.5, 5.0])), min_size=1, max_size=5,
+                             unique_by=lambda t: t[0]))
+def test_recommend_brute_force(spark, data, seeds):
+    personal = [(0, i, p, 1) for i, p in seeds]
+    p_of = dict(seeds)
+    sims = {key: round(s, 9) for key, (s, _) in _brute_similarity(data, personal).items()}
+    by_item = defaultdict(list)
+    for (i, j), s in sims.items():
+        by_item[j].append((-s, i))
+    preds = {}
+    for j, lst in by_item.items():
+        top = sorted(lst)[:10]
+        den = sum(abs(-ns) for ns, _ in top)
+        if den != 0:
+            preds[j] = round(sum(-ns * p_of[i] for ns, i in top) / den, 9)
+    want = sorted(preds.items(), key=lambda kv: (-kv[1], kv[0]))[:3]
+    rec = SIM.item_cf_recommend(spark.createDataFrame(data, SCHEMA), spark.createDataFrame(personal, SCHEMA), _items(spark), n=3)
+    got = [(r.item_id, r.prediction) for r in sorted(rec.collect(), key=lambda r: r.rank)]
+    assert [g[0] for g in got] == [w[0] for w in want]
+    for (_, a), (_, b) in zip(got, want):
+        assert math.isclose(a, b, abs_tol=1e-8)

@@ -4,6 +4,10 @@ Each job reads the ratings / items CSV files (or any DataFrame source), runs the
 writes the result with ``write_table``; the output path is always a parameter. These are what
 a user runs with ``spark-submit``; the registered queries in ``prefkit.plans.queries`` are the
 same operator chains over the test tables.
+
+Staged inputs and checkpoints are written under a fresh ``prefkit-*`` sub-folder of the shared
+folder for each run; they are left for the folder's own retention policy to remove (a job
+cannot delete them safely while a retried stage might still read them).
 """
 
 from __future__ import annotations

@@ -44,3 +44,25 @@ def test_salted_join_in_plan(spark, ratings):
     text = plan_text(SIM.centered_ratings(ratings, rows_per_task=1))
     assert "xxhash64" in text and "generate" in text.lower()
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_bounded_broadcast_plans(spark):
+    from prefkit.operators.joins import bounded_broadcast
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")  # only our explicit hint may broadcast
+    try:
+        big = spark.range(0, 1000)
+        within = big.join(bounded_broadcast(spark.range(0, 50), max_rows=100), "id")
+        beyond = big.join(bounded_broadcast(spark.range(0, 500), max_rows=100), "id")
+        assert "BroadcastHashJoin" in plan_text(within)
+        assert "SortMergeJoin" in plan_text(beyond) and "BroadcastHashJoin" not in plan_text(beyond)
+        assert within.count() == 50 and beyond.count() == 500
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

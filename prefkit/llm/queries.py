@@ -4,24 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prefkit.llm import exact_dedup, mixing, sharding
+from prefkit.llm import exact_dedup, mixing, packing, sharding, token_counts
 from prefkit.sources.bindings import table
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the public tokenizers' file ``name`` lies (the same place on every executor)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op2_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
 
 
+def op3_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, tokenizer_file("byte_bpe_50k.json"), length=2048)
+
+
 def op4_capped_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"), weights=(5.0, 2.0, 1.0), share=1.0, max_epochs=3)
     return out.select("doc_id", "size", "source_size", "target", "taken", "epochs")
 
 
+def op6_transducer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(docs, tokenizer_file("piece_bpe_32k.model"), limit=4096)
+
+
 def op8_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_lpt_sharding, op4_capped_mix, op8_grace_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op2_lpt_sharding,
+    op3_swap_packing,
+    op4_capped_mix,
+    op6_transducer_counts,
+    op8_grace_dedup,
+)}
 
 ORACLE_SQL = {
     "op8_grace_dedup": """

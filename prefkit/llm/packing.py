@@ -170,7 +170,7 @@ def packed_group(lengths: list[int], capacity: int, effort: int = EFFORT) -> lis
 
 
 def _pack(capacity: int, level: int):
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "doc_id", "piece"], kind="stable").reset_index(drop=True)
         length = group["length"].to_numpy()
         order, seq, offset, sparse = [], [], [], []

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prefkit.llm import exact_dedup, mixing, packing, sharding, token_counts
+from prefkit.llm import exact_dedup, jaccard_join, mixing, packing, sharding, token_counts
 from prefkit.sources.bindings import table
 
 
@@ -34,6 +34,11 @@ def op6_transducer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, tokenizer_file("piece_bpe_32k.model"), limit=4096)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return jaccard_join.jaccard_components(docs, width=3, num=90, den=100)
+
+
 def op8_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -43,6 +48,7 @@ QUERIES = {f.__name__: f for f in (
     op3_swap_packing,
     op4_capped_mix,
     op6_transducer_counts,
+    op7_jaccard_join,
     op8_grace_dedup,
 )}
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from prefkit.llm import exact_dedup, jaccard_join, mixing, packing, sharding, token_counts
+from prefkit.llm import exact_dedup, jaccard_join, language_id, mixing, packing, quality, sharding, token_counts
 from prefkit.sources.bindings import table
 
 
@@ -29,6 +30,13 @@ def op4_capped_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "epochs")
 
 
+def op5_naive_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = quality.is_held_out(4, 2)
+    found = language_id.identify(docs, ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op6_transducer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_counts.count_tokens(docs, tokenizer_file("piece_bpe_32k.model"), limit=4096)
@@ -43,13 +51,22 @@ def op8_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = quality.is_held_out(3, 1)
+    ranking = quality.trained_on(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return quality.score(docs, ranking).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES = {f.__name__: f for f in (
     op2_lpt_sharding,
     op3_swap_packing,
     op4_capped_mix,
+    op5_naive_bayes_language,
     op6_transducer_counts,
     op7_jaccard_join,
     op8_grace_dedup,
+    op9_pairwise_quality,
 )}
 
 ORACLE_SQL = {

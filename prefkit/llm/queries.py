@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefkit.llm import exact_dedup, jaccard_join, language_id, mixing, packing, quality, sharding, token_counts
+from prefkit.llm import exact_dedup, jaccard_join, language_id, mixing, packing, quality, sharding, token_counts, vector_graph
 from prefkit.sources.bindings import table
 
 
@@ -58,6 +58,10 @@ def op9_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, ranking).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op10_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op2_lpt_sharding,
     op3_swap_packing,
@@ -67,6 +71,7 @@ QUERIES = {f.__name__: f for f in (
     op7_jaccard_join,
     op8_grace_dedup,
     op9_pairwise_quality,
+    op10_pruned_graph,
 )}
 
 ORACLE_SQL = {

@@ -145,3 +145,13 @@ def mix(
     targets = written(targets.select("source", "source_size", "source_rows", "target"), "mix-targets")
     out = taken_rows(rows, targets, seed=seed)
     return out.withColumnRenamed("id", "doc_id")
+
+
+def repeated(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
+    """``docs`` with each row as often as ``mix`` takes it, all columns kept. Rows without an id go
+    through once. Repeated rows of one id are drawn alike."""
+    epochs = mix(docs, id_col=id_col, **settings).filter("doc_id IS NOT NULL")
+    epochs = epochs.groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max("epochs").alias("_mix_epochs"))
+    joined = docs.join(epochs, F.col(id_col) == F.col("_mix_id"), "left")
+    times = F.coalesce("_mix_epochs", F.lit(1)).cast("int")
+    return joined.withColumn("_mix_times", F.explode(F.array_repeat(F.lit(1), times))).select(*[docs[c] for c in docs.columns])

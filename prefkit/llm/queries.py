@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefkit.llm import exact_dedup, jaccard_join, language_id, mixing, packing, quality, sharding, token_counts, vector_graph
+from prefkit.llm import exact_dedup, jaccard_join, language_id, mixing, packing, quality, sharding, token_counts, url_filter, vector_graph
 from prefkit.sources.bindings import table
 
 
+#: Rules of op1: host/path -> verdict.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
 def tokenizer_file(name: str) -> str:
     """Where the public tokenizers' file ``name`` lies (the same place on every executor)."""
     import public_tokenizers
@@ -16,6 +20,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op2_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
 
@@ -63,6 +71,7 @@ def op10_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_path_templates,
     op2_lpt_sharding,
     op3_swap_packing,
     op4_capped_mix,

@@ -1,0 +1,53 @@
+import zlib
+from collections import defaultdict
+
+from prefkit.llm import sharding
+from cases import ODD_ROWS
+
+
+def check(rows, got, n_shards):
+    assert len(got) == len(rows)
+    texts = defaultdict(set)
+    for i, t, *_ in rows:
+        texts[i].add(t or "")
+    shards, slots, loads = defaultdict(set), defaultdict(list), [0] * n_shards
+    for r in got:
+        (text,) = texts[r["doc_id"]]
+        assert r["size"] == len(text.encode()) + 1 and r["text_crc32"] == zlib.crc32(text.encode())
+        assert r["law"] == "bytes" and r["grown_shard"] is None
+        shards[text].add(r["shard"])
+        slots[r["shard"]].append(r["slot"])
+        loads[r["shard"]] += r["size"]
+    assert all(len(s) == 1 for s in shards.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    return loads
+
+
+def test_odd_rows(documents):
+    check(ODD_ROWS, sharding.shard_documents(documents(ODD_ROWS), 3).collect(), 3)
+
+
+def test_loads_are_near_equal_with_a_hot_group(documents, prose):
+    rows = [(i, prose(5 + i % 90, i), "en", "a") for i in range(900)] + [(5000 + i, "copy " * 8, "en", "a") for i in range(90)]
+    loads = check(rows, sharding.shard_documents(documents(rows), 8).collect(), 8)
+    assert max(loads) - min(loads) <= 0.01 * max(loads)
+
+
+def test_bundles_are_bounded_and_balanced(spark):
+    rows = spark.range(20_000).selectExpr("id", "1 + id % 50 AS size", "cast(id AS string) AS key")
+    rows = rows.selectExpr("id", "size", "unhex(sha2(key, 256)) AS key", "'extra' AS bundle")
+    got = sharding.shard_groups(rows, 4, heavy=4, bundles=64).groupBy("shard").sum("size").collect()
+    loads = [r[1] for r in got]
+    assert len(loads) == 4 and max(loads) < 1.05 * min(loads)
+
+
+def test_empty_table(documents):
+    assert sharding.shard_documents(documents([]), 8).count() == 0
+
+
+def test_longest_first_is_within_the_classic_bound():
+    pieces = [(i, s) for i, s in enumerate([7, 7, 6, 6, 5, 5, 4, 4, 4])]
+    placed = sharding.longest_first(pieces, 3)
+    loads = [sum(s for i, s in pieces if placed[i] == k) for k in range(3)]
+    assert max(loads) <= 16 * (4 / 3 - 1 / 9)
+    assert sharding.longest_first([], 3) == {}

@@ -4,7 +4,8 @@
     python -m prefkit item-cf --ratings R --personal P --items I --out O
 
 Jobs: genre-average, genre-top-items, genre-top-users, matrix-statistics, item-cf, als.
-The session comes from the launcher (master, resources); only runtime SQL settings are applied.
+The session comes from the launcher (master, resources); only runtime SQL settings are applied, the
+shuffle and scan sizes among them from the size of the input files.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from prefkit.plans import jobs  # noqa: E402
-from prefkit.session import configure  # noqa: E402
+from prefkit.session import configure, input_bytes_of  # noqa: E402
 
 
 def parser() -> argparse.ArgumentParser:
@@ -63,7 +64,9 @@ def main(argv=None) -> int:
     from pyspark.sql import SparkSession
 
     args = parser().parse_args(argv)
-    spark = configure(SparkSession.builder.appName(f"prefkit-{args.job}").getOrCreate())
+    spark = SparkSession.builder.appName(f"prefkit-{args.job}").getOrCreate()
+    inputs = [getattr(args, a) for a in ("ratings", "personal", "items") if getattr(args, a, None)]
+    configure(spark, input_bytes=input_bytes_of(spark, *inputs))
     result = run(args, spark)
     if isinstance(result, dict):
         print(json.dumps(result, default=str))

@@ -82,14 +82,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint directory when only that is
-    set); a folder of our own is made only when the session names none (tests).
+    set). Where the session names none, a local session (tests) gets a folder of its own; on a
+    cluster that is an error, since executors would write to their own disks.
     The SparkContext checkpoint directory is pointed at the same place so that
     ``DataFrame.checkpoint()`` and ALS's periodic checkpoints land there.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
-        # Only a local session (tests) gets here: a cluster names its shared folder.
+        if not is_local(sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="prefkit-ckpt-")
     if not spark.conf.get("spark.checkpoint.dir", None):
         spark.conf.set("spark.checkpoint.dir", path)
@@ -98,6 +100,21 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process on one machine."""
+    return master == "local" or master.startswith("local[")
+
+
+def input_bytes_of(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the files under ``paths``, by the file system that holds each."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        total += p.getFileSystem(conf).getContentSummary(p).getLength()
+    return total
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-path of the shared folder for one written table."""
     base = shared_dir(spark).rstrip("/")

@@ -27,29 +27,22 @@ from prefkit import schemas as S
 TARGET_USER = 0
 NO_GENRE_MODULUS = 97
 NO_ANSWER_LINENUMBER = 7
-EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def bind_ratings(spark: SparkSession, sf_dir: str, distribute: bool = True) -> DataFrame:
-    """All ratings, the target user's included (columns of ``schemas.RATINGS``).
-
-    With ``distribute`` line items are distributed by order key (no fixed partition count, so AQE
-    sizes the partitions): that is the partitioning the join with orders needs when both sides
-    are large (the orders side is then shuffled to match, with no second exchange of line
-    items), and it spreads a file written as one parquet row group (as the test tables are) over
-    all cores instead of one. A caller that keeps only one user's rows passes ``False``: the user filter
-    reaches the orders scan, the few matching orders are broadcast, and no line item moves.
-    """
+def bind_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ratings, the target user's included (columns of ``schemas.RATINGS``). How line items meet
+    orders is left to Spark: orders are broadcast while they are small, and shuffled with the line
+    items beyond that; a filter on one user reaches the orders scan."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
-    if distribute:
-        li = li.repartition("l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     joined = li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
-    epoch = F.expr(f"timestampdiff(SECOND, {EPOCH_NTZ}, l_shipdate)")
+    # Day number and time of day: no session time zone (and no gap in one) takes part.
+    clock = F.hour("l_shipdate") * 3600 + F.minute("l_shipdate") * 60 + F.second("l_shipdate")
+    epoch = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400 + clock
     return joined.select(
         F.col("o_custkey").alias(S.USER),
         F.col("l_partkey").alias(S.ITEM),
@@ -64,9 +57,8 @@ def community_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def personal_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The target user's ratings (the reference's personal ratings file), without moving the
-    other users' line items (see ``bind_ratings``)."""
-    return bind_ratings(spark, sf_dir, distribute=False).filter(F.col(S.USER) == TARGET_USER)
+    """The target user's ratings (the reference's personal ratings file)."""
+    return bind_ratings(spark, sf_dir).filter(F.col(S.USER) == TARGET_USER)
 
 
 def bind_items(spark: SparkSession, sf_dir: str) -> DataFrame:

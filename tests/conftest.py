@@ -7,12 +7,12 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 # Mini fixture (FIXTURES.md section 2): six items, eleven community ratings, two personal ratings.
-ITEMS_CSV = """1,Toy Story (1995),Adventure|Animation|Comedy
-2,"Jeffrey Dahmer Files, The (2012)",Crime|Documentary
-3,Heat (1995),Crime|Drama
-4,Lonely (2000),Drama
+ITEMS_CSV = """1,Paper Kite (1995),Adventure|Animation|Comedy
+2,"Harbour Papers, The (2012)",Crime|Documentary
+3,Ember (1995),Crime|Drama
+4,Quiet Mill (2000),Drama
 5,NoGenre (2001)
-6,"Good, the Bad, and Ugly, The (1966)",Adventure|Crime
+6,"Salt, the Wind, and Stone, The (1966)",Adventure|Crime
 """
 
 RATINGS_CSV = """1,1,4.0,1000000000
@@ -33,6 +33,27 @@ PERSONAL_CSV = """0,1,5,1000000000
 """
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """A context in which Spark broadcasts nothing by size."""
+    import contextlib
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+    @contextlib.contextmanager
+    def off():
+        saved = {k: spark.conf.get(k, None) for k in keys}
+        for k in keys:
+            spark.conf.set(k, "-1")
+        try:
+            yield
+        finally:
+            for k, v in saved.items():
+                spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+    return off
+
+
 @pytest.fixture(scope="session")
 def spark():
     from prefkit.session import local_session

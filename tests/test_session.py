@@ -1,4 +1,8 @@
-from prefkit.session import MIB, configure, scratch_path, shared_dir, sized_conf
+from types import SimpleNamespace
+
+import pytest
+
+from prefkit.session import MIB, configure, input_bytes_of, is_local, scratch_path, shared_dir, sized_conf
 
 
 def test_sized_conf():
@@ -19,3 +23,22 @@ def test_configure_and_shared_dir(spark):
     configure(spark, input_bytes=2048 * MIB, cores=2)
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
     spark.conf.set("spark.sql.shuffle.partitions", prev)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    def session(master):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda p: None)
+        conf = SimpleNamespace(get=lambda k, d=None: d, set=lambda k, v: None)
+        return SimpleNamespace(sparkContext=sc, conf=conf)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session("yarn"))
+    assert is_local("local[4]") and not is_local("local-cluster[3,2,1024]")
+    assert shared_dir(session("local"))
+
+
+def test_input_bytes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x" * 10)
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "b.csv").write_text("x" * 7)
+    assert input_bytes_of(spark, str(tmp_path / "a.csv"), str(tmp_path / "d")) == 17

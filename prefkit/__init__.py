@@ -7,7 +7,7 @@ Layout:
   functions/   Column expressions (genre lists, timestamp buckets, split labels, safe division, row formatting)
   operators/   DataFrame -> DataFrame operators: items, aggregates, top-k, splits, matrix, similarity, ALS
   plans/       end-to-end jobs composed from operators, and physical-plan inspection helpers
-  streaming/   the ratings source as a file stream feeding the same declarative operators
+  llm/         operators of a training-data pipeline over documents, pages and embeddings
 """
 
 __version__ = "0.1.0"

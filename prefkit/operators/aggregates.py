@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from prefkit import schemas as S
 from prefkit.operators.items import explode_genres
-from prefkit.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
 
 
 def ratings_per_item(ratings: DataFrame, item: str = S.ITEM) -> DataFrame:
@@ -30,44 +29,35 @@ def user_rating_totals(ratings: DataFrame, user: str = S.USER, rating: str = S.R
     )
 
 
-def genre_table(items: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """(item_id, genre) rows, broadcast when their count is within the bound."""
-    return bounded_broadcast(explode_genres(items), max_broadcast_rows)
-
-
-def ratings_by_genre(
-    ratings: DataFrame, items: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS
-) -> DataFrame:
+def ratings_by_genre(ratings: DataFrame, items: DataFrame) -> DataFrame:
     """Each rating once per genre of its item (J1; inner join, so items without genres and
-    ratings of unknown items drop out)."""
-    return ratings.join(genre_table(items, max_broadcast_rows), on=S.ITEM)
+    ratings of unknown items drop out). Beyond a broadcast, adaptive execution splits a hot item: both
+    sides come from plain exchanges and an item has few genres."""
+    return ratings.join(explode_genres(items), on=S.ITEM)
 
 
-def genre_avg_rating(
-    ratings: DataFrame, items: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS
-) -> DataFrame:
-    """Average rating and number of ratings per genre (A3).
+def genre_avg_rating(ratings: DataFrame, items: DataFrame) -> DataFrame:
+    """Average rating and number of ratings per genre (A3). A row without a rating counts neither in
+    the average nor in the number, as in A2 and A4.
 
     Ratings are first reduced to one (sum, count) row per item and only then joined to the
     genres: the join and the genre shuffle see item-sized data, not rating-sized data. Sums of
     half-star ratings are exact in DOUBLE, so the result equals the row-by-row average.
     """
     per_item = ratings.groupBy(S.ITEM).agg(
-        F.sum(S.RATING).alias("_sum"), F.count(F.lit(1)).alias("_n")
+        F.sum(S.RATING).alias("_sum"), F.count(S.RATING).alias("_n")
     )
-    joined = per_item.join(genre_table(items, max_broadcast_rows), on=S.ITEM)
+    joined = per_item.join(explode_genres(items), on=S.ITEM)
     return joined.groupBy(S.GENRE).agg(
-        (F.sum("_sum") / F.sum("_n")).alias("avg_rating"),
+        (F.sum("_sum") / F.nullif(F.sum("_n"), F.lit(0))).alias("avg_rating"),
         F.sum("_n").alias("n_ratings"),
     )
 
 
-def genre_user_stats(
-    ratings: DataFrame, items: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS
-) -> DataFrame:
+def genre_user_stats(ratings: DataFrame, items: DataFrame) -> DataFrame:
     """Per (genre, user): number of ratings, their sum and average (A4)."""
     return (
-        ratings_by_genre(ratings.select(S.USER, S.ITEM, S.RATING), items, max_broadcast_rows)
+        ratings_by_genre(ratings.select(S.USER, S.ITEM, S.RATING), items)
         .groupBy(S.GENRE, S.USER)
         .agg(
             F.count(F.lit(1)).alias("n_ratings"),
@@ -78,11 +68,12 @@ def genre_user_stats(
 
 
 def dataset_counts(ratings: DataFrame) -> DataFrame:
-    """One row: number of ratings, distinct users, distinct items."""
-    return ratings.agg(
-        F.count(F.lit(1)).alias("n_ratings"),
-        F.count_distinct(S.USER).alias("n_users"),
-        F.count_distinct(S.ITEM).alias("n_items"),
+    """One row: number of ratings, distinct users, distinct items (A8, A9). The distinct values are
+    counted by grouping, each in a subquery of the one plan, so rows are never expanded."""
+    users = ratings.select(S.USER).distinct().agg(F.count(S.USER).alias("n"))
+    items = ratings.select(S.ITEM).distinct().agg(F.count(S.ITEM).alias("n"))
+    return ratings.agg(F.count(F.lit(1)).alias("n_ratings")).select(
+        "n_ratings", users.scalar().alias("n_users"), items.scalar().alias("n_items")
     )
 
 

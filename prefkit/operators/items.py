@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from prefkit import schemas as S
 from prefkit.functions.columns import genre_list
-from prefkit.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_within
 
 
 def items_with_genres(items: DataFrame, genres: str = S.GENRES) -> DataFrame:
@@ -25,25 +24,7 @@ def explode_genres(items: DataFrame, item: str = S.ITEM, genres: str = S.GENRES)
     return items_with_genres(items, genres).select(F.col(item), F.explode(genre_list(genres)).alias(S.GENRE))
 
 
-def attach_titles(
-    df: DataFrame,
-    items: DataFrame,
-    item: str = S.ITEM,
-    title: str = S.TITLE,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-) -> DataFrame:
-    """Left-join titles onto ``df`` by item id (J6); a missing title is NULL, never an error.
-
-    The titles side is broadcast when its row count is within the bound. Otherwise, when the ids
-    asked for are within the bound (a top-n report), they are broadcast into a semi-join that
-    filters the items table map-side, so only the matching titles reach the join; beyond both
-    bounds it is a shuffle join.
-    """
-    titles = items.select(item, title)
-    small = broadcast_within(titles, max_broadcast_rows)
-    if small is not None:
-        return df.join(small, on=item, how="left")
-    ids = broadcast_within(df.select(item).distinct(), max_broadcast_rows)
-    if ids is not None:
-        titles = titles.join(ids, on=item, how="left_semi")
-    return df.join(titles, on=item, how="left")
+def attach_titles(df: DataFrame, items: DataFrame, item: str = S.ITEM, title: str = S.TITLE) -> DataFrame:
+    """Left-join titles onto ``df`` by item id (J6); a missing title is NULL, never an error. Spark
+    broadcasts whichever side its measured size allows (the titles, or nothing)."""
+    return df.join(items.select(item, title), on=item, how="left")

@@ -28,12 +28,12 @@ def item_column_summary(ratings: DataFrame, dedupe: bool = True) -> DataFrame:
     min, max over all N users, implicit zeros included (M6b).
 
     A matrix cell holds one value, so duplicate (user, item) rows are first reduced to the
-    latest one (``dedupe=True``, rule D11). N (number of rows) is a one-row aggregate read as a
-    scalar, so no cross join is needed.
+    latest one (``dedupe=True``, rule D11). N (number of rows) is a scalar subquery of the same
+    plan: nothing runs before the result is asked for.
     """
     m = dedupe_ratings(ratings) if dedupe else ratings
     # Deduplication keeps every user, so N is counted on the input rows directly.
-    n = ratings.agg(F.count_distinct(S.USER)).first()[0]
+    n = ratings.select(S.USER).distinct().agg(F.count(S.USER).alias("n")).scalar()
     v = F.col(S.RATING)
     per_item = m.groupBy(S.ITEM).agg(
         F.count_if(v != 0).alias("nnz"),
@@ -44,8 +44,9 @@ def item_column_summary(ratings: DataFrame, dedupe: bool = True) -> DataFrame:
         F.min(v).alias("_min"),
         F.max(v).alias("_max"),
     )
-    n_lit = F.lit(n).cast("double")
-    has_zero = F.col("_c") < F.lit(n)
+    per_item = per_item.withColumn("_n", n.cast("double"))
+    n_lit = F.col("_n")
+    has_zero = F.col("_c") < n_lit
     return per_item.select(
         S.ITEM,
         "nnz",

@@ -9,10 +9,10 @@ user's rows; r(u, .) uses the latest rating of a duplicated (user, item) (rule D
 prediction for item j is sum(sim * p(i)) / sum(|sim|) over j's ``k`` most similar seeds, p(i)
 being the target user's rating; it is not mean-restored, so values may leave the rating scale.
 
-Plan: dedupe and user statistics are aggregations (partial before the shuffle); the seed list
-is broadcast only after a bounded count; the seed-side rows (few per user) carry the user
-mean; the user self-join splits hot users over several tasks (``skew_safe_join``), so a user
-holding a third of all rows is not one task. Nothing is collected.
+Plan: the ratings are shuffled once, by (user, salt); deduplication and the user self-join both
+use that partitioning. The seed-side rows (few per user) carry the user mean. A user gets as many
+salts as the pairs that the self-join gives for them need (their rows times the seeds they rated), so
+neither a user with a third of all rows nor one with many seeds is one task. Nothing is collected.
 """
 
 from __future__ import annotations
@@ -23,12 +23,7 @@ from pyspark.sql import functions as F
 from prefkit import schemas as S
 from prefkit.functions.columns import safe_div
 from prefkit.operators.items import attach_titles
-from prefkit.operators.joins import (
-    DEFAULT_BROADCAST_MAX_ROWS,
-    DEFAULT_ROWS_PER_TASK,
-    bounded_broadcast,
-    skew_safe_join,
-)
+from prefkit.operators.joins import DEFAULT_ROWS_PER_TASK, hot_keys, skew_safe_join
 from prefkit.operators.topk import top_k
 
 SEED = "seed_id"
@@ -67,58 +62,48 @@ def centered_ratings(ratings: DataFrame, rows_per_task: int = DEFAULT_ROWS_PER_T
     return joined.withColumn("centered", F.col(S.RATING) - F.col("user_mean"))
 
 
-def seed_items(personal: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """The target user's items with their (latest) rating: ``seed_id, p``; broadcast when bounded."""
-    seeds = dedupe_ratings(personal).select(F.col(S.ITEM).alias(SEED), F.col(S.RATING).alias("p"))
-    return bounded_broadcast(seeds, max_broadcast_rows)
+def seed_items(personal: DataFrame) -> DataFrame:
+    """The target user's items with their (latest) rating: ``seed_id, p``."""
+    return dedupe_ratings(personal).select(F.col(S.ITEM).alias(SEED), F.col(S.RATING).alias("p"))
 
 
-def raters_of_seeds(
-    ratings: DataFrame, personal: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS
-) -> DataFrame:
+def raters_of_seeds(ratings: DataFrame, personal: DataFrame) -> DataFrame:
     """Community ratings of the seed items (P10: "has this user rated item i?")."""
-    seeds = seed_items(personal, max_broadcast_rows).select(F.col(SEED).alias(S.ITEM))
-    return ratings.join(seeds, on=S.ITEM, how="left_semi")
+    return ratings.join(seed_items(personal).select(F.col(SEED).alias(S.ITEM)), on=S.ITEM, how="left_semi")
 
 
 def co_rated_pairs(
-    ratings: DataFrame,
-    personal: DataFrame,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    rows_per_task: int = DEFAULT_ROWS_PER_TASK,
+    ratings: DataFrame, personal: DataFrame, rows_per_task: int = DEFAULT_ROWS_PER_TASK
 ) -> DataFrame:
     """(user_id, seed_id, item_id, a, b) for every user who rated seed i and item j, j = i
     included (J7). One join replaces the reference's per-seed loop of unions (U2).
 
-    The seed side (each user's ratings of seed items, with the user's mean attached) is the
-    replicated side of the self-join; the user's full rating list is the split side.
+    The seed side (each user's ratings of seed items, with the user's mean attached) is replicated
+    once per salt of its user; the user's full rating list is split by a hash of the item.
+    ``rows_per_task`` is the number of pairs that one salt may give.
     """
-    latest = dedupe_ratings(ratings).select(S.USER, S.ITEM, S.RATING)
-    stats = user_stats(ratings)
-    seeds = seed_items(personal, max_broadcast_rows).select(F.col(SEED).alias(S.ITEM))
-    # Deduplication is per (user, item), so the seed items' rows can be picked before it:
-    # only those rows are deduplicated and shuffled for the seed side.
-    seed_rows = ratings.join(seeds, on=S.ITEM, how="left_semi")
-    seed_side = (
-        dedupe_ratings(seed_rows)
-        .select(S.USER, F.col(S.ITEM).alias(SEED), F.col(S.RATING).alias("_ri"))
-        .join(stats.select(S.USER, "user_mean"), on=S.USER)
-    )
-    pairs = skew_safe_join(
-        latest,
-        seed_side,
-        S.USER,
-        stats.select(S.USER, "n"),
-        salt_cols=[S.ITEM],
-        rows_per_task=rows_per_task,
-        max_broadcast_rows=max_broadcast_rows,
+    # Deduplication is per (user, item), so the seed items' rows can be picked before it.
+    seed_side = dedupe_ratings(raters_of_seeds(ratings, personal)).select(
+        S.USER, F.col(S.ITEM).alias(SEED), F.col(S.RATING).alias("_ri")
     )
+    stats = user_stats(ratings)
+    seeds_rated = seed_side.groupBy(S.USER).agg(F.count(F.lit(1)).alias("_m"))
+    work = stats.join(seeds_rated, on=S.USER).select(S.USER, (F.col("n") * F.col("_m")).alias("n"))
+    hot = hot_keys(work, S.USER, rows_per_task)
+    nsalt = F.coalesce(F.col("_nsalt"), F.lit(1))
+    salt = F.pmod(F.xxhash64(S.ITEM), nsalt).cast("int")
+    last = F.max(F.struct(F.col(S.TS), F.col(S.RATING))).alias("_last")
+    salted = ratings.join(hot, on=S.USER, how="left").withColumn("_salt", salt)
+    latest = salted.repartition(S.USER, "_salt").groupBy(S.USER, "_salt", S.ITEM).agg(last)
+    seed_side = seed_side.join(stats.select(S.USER, "user_mean"), on=S.USER).join(hot, on=S.USER, how="left")
+    seed_side = seed_side.withColumn("_salt", F.explode(F.sequence(F.lit(0), nsalt - 1)))
+    pairs = latest.join(seed_side, on=[S.USER, "_salt"])
     return pairs.select(
         S.USER,
         SEED,
         S.ITEM,
         (F.col("_ri") - F.col("user_mean")).alias("a"),
-        (F.col(S.RATING) - F.col("user_mean")).alias("b"),
+        (F.col("_last." + S.RATING) - F.col("user_mean")).alias("b"),
     )
 
 
@@ -126,12 +111,11 @@ def item_similarity(
     ratings: DataFrame,
     personal: DataFrame,
     digits: int | None = RANK_DIGITS,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     rows_per_task: int = DEFAULT_ROWS_PER_TASK,
 ) -> DataFrame:
     """Adjusted cosine ``sim`` for each (seed_id, item_id) with a non-zero denominator (M7),
     with ``n_users`` co-raters. ``digits`` rounds ``sim`` (None keeps the raw value)."""
-    pairs = co_rated_pairs(ratings, personal, max_broadcast_rows, rows_per_task)
+    pairs = co_rated_pairs(ratings, personal, rows_per_task)
     sums = pairs.groupBy(SEED, S.ITEM).agg(
         F.sum(F.col("a") * F.col("b")).alias("_ab"),
         F.sum(F.col("a") * F.col("a")).alias("_aa"),
@@ -156,13 +140,12 @@ def item_predictions(
     personal: DataFrame,
     k: int = 10,
     digits: int | None = RANK_DIGITS,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     rows_per_task: int = DEFAULT_ROWS_PER_TASK,
 ) -> DataFrame:
     """Predicted rating of every item that has at least one seed neighbour (A11 over W3).
     A zero sum of |sim| gives no prediction (rule D12)."""
-    top = item_neighbors_topk(item_similarity(ratings, personal, digits, max_broadcast_rows, rows_per_task), k)
-    seeds = seed_items(personal, max_broadcast_rows)
+    top = item_neighbors_topk(item_similarity(ratings, personal, digits, rows_per_task), k)
+    seeds = seed_items(personal)
     pred = top.join(seeds, on=SEED).groupBy(S.ITEM).agg(
         safe_div(F.sum(F.col("sim") * F.col("p")), F.sum(F.abs("sim"))).alias("prediction")
     )
@@ -178,15 +161,12 @@ def item_cf_recommend(
     k: int = 10,
     n: int = 50,
     digits: int | None = RANK_DIGITS,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     rows_per_task: int = DEFAULT_ROWS_PER_TASK,
 ) -> DataFrame:
     """The n items with the highest prediction (M9, W4), ties by item id, with titles.
     Seeds themselves are eligible. ``orderBy().limit()`` runs as a per-partition top-n."""
-    pred = item_predictions(ratings, personal, k, digits, max_broadcast_rows, rows_per_task)
+    pred = item_predictions(ratings, personal, k, digits, rows_per_task)
     best = pred.orderBy(F.col("prediction").desc(), F.col(S.ITEM).asc()).limit(n)
     # ``best`` holds at most n rows, so numbering them in one unpartitioned window is bounded.
     ranked = top_k(best, [], [F.col("prediction").desc(), F.col(S.ITEM).asc()], n)
-    return attach_titles(ranked, items, max_broadcast_rows=max_broadcast_rows).select(
-        "rank", S.ITEM, S.TITLE, "prediction"
-    )
+    return attach_titles(ranked, items).select("rank", S.ITEM, S.TITLE, "prediction")

@@ -16,7 +16,6 @@ from prefkit import schemas as S
 from prefkit.functions.columns import genre_list
 from prefkit.operators.aggregates import genre_user_stats, ratings_per_item, user_rating_totals
 from prefkit.operators.items import items_with_genres
-from prefkit.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
 
 
 def top_k(
@@ -30,14 +29,11 @@ def top_k(
     return df.withColumn(rank_col, F.row_number().over(w).cast("bigint")).filter(F.col(rank_col) <= k)
 
 
-def _genres_with_titles(items: DataFrame, max_broadcast_rows: int) -> DataFrame:
-    g = items_with_genres(items).select(S.ITEM, S.TITLE, F.explode(genre_list(S.GENRES)).alias(S.GENRE))
-    return bounded_broadcast(g, max_broadcast_rows)
+def _genres_with_titles(items: DataFrame) -> DataFrame:
+    return items_with_genres(items).select(S.ITEM, S.TITLE, F.explode(genre_list(S.GENRES)).alias(S.GENRE))
 
 
-def genre_top_items(
-    ratings: DataFrame, items: DataFrame, k: int = 5, max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS
-) -> DataFrame:
+def genre_top_items(ratings: DataFrame, items: DataFrame, k: int = 5) -> DataFrame:
     """The k most-rated items per genre (W1): count descending, then item id ascending (rule D7).
 
     Counts are computed before the join (the reference's aggregate-then-join order), unrated
@@ -45,40 +41,32 @@ def genre_top_items(
     Two items with equal titles stay apart (D14).
     """
     counts = ratings_per_item(ratings)
-    joined = counts.join(_genres_with_titles(items, max_broadcast_rows), on=S.ITEM)
+    joined = counts.join(_genres_with_titles(items), on=S.ITEM)
     ranked = top_k(joined, [S.GENRE], [F.col("n_ratings").desc(), F.col(S.ITEM).asc()], k)
     return ranked.select(S.GENRE, "rank", S.ITEM, S.TITLE, "n_ratings")
 
 
-def genre_top_items_packed(
-    ratings: DataFrame, items: DataFrame, k: int = 5, max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS
-) -> DataFrame:
+def genre_top_items_packed(ratings: DataFrame, items: DataFrame, k: int = 5) -> DataFrame:
     """One row per genre with its top items as text ``title:count, title:count, ...`` in rank
     order (A7). Only the k ranked rows per genre are collected, so each list is bounded by k."""
-    top = genre_top_items(ratings, items, k, max_broadcast_rows)
+    top = genre_top_items(ratings, items, k)
     entries = F.array_sort(F.collect_list(F.struct("rank", S.TITLE, "n_ratings")))
     text = F.transform(entries, lambda e: F.concat(e[S.TITLE], F.lit(":"), e["n_ratings"].cast("string")))
     return top.groupBy(S.GENRE).agg(F.concat_ws(", ", text).alias("top_items"))
 
 
-def genre_top_users(
-    ratings: DataFrame, items: DataFrame, k: int = 5, max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS
-) -> DataFrame:
+def genre_top_users(ratings: DataFrame, items: DataFrame, k: int = 5) -> DataFrame:
     """The k users with most ratings per genre (W2), with their genre average and their overall
     average and count (J4).
 
     Order: count descending, then user id ascending compared **as text** (``"10"`` before
-    ``"2"``), as the reference compares string ids. Overall totals are computed only for the
-    selected users: their ids (at most k per genre, checked by count) are broadcast into a
-    semi-join on the ratings before aggregating, so no all-users aggregate is shuffled. The
-    ranked rows (k per genre) are cached, so the ranking is computed once for the check and the
-    final join.
+    ``"2"``), as the reference compares string ids. Overall totals are aggregated per user (one row
+    per user and task crosses the exchange) and joined to the ranked rows, k per genre, which
+    adaptive execution broadcasts.
     """
-    stats = genre_user_stats(ratings, items, max_broadcast_rows)
-    order = [F.col("n_ratings").desc(), F.col(S.USER).cast("string").asc()]
-    top = top_k(stats, [S.GENRE], order, k).cache()
-    ids = bounded_broadcast(top.select(S.USER).distinct(), max_broadcast_rows)
-    totals = user_rating_totals(ratings.join(ids, on=S.USER, how="left_semi")).select(
+    stats = genre_user_stats(ratings, items)
+    top = top_k(stats, [S.GENRE], [F.col("n_ratings").desc(), F.col(S.USER).cast("string").asc()], k)
+    totals = user_rating_totals(ratings).select(
         S.USER, F.col("avg_rating").alias("overall_avg"), F.col("n_ratings").alias("overall_n")
     )
     return top.join(totals, on=S.USER).select(

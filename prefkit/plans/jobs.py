@@ -103,8 +103,8 @@ def als_job(
     stage: bool = True,
 ) -> dict:
     """Split on the timestamp digit, add the target user's rows to training, grid-search ALS,
-    test the best model and write the target user's top-n with titles. Returns the trial
-    table (written next to the recommendations) and the best cell."""
+    test the best model and write the target user's top-n with titles. Written next to these: the
+    trial table and both factor tables of the best model. Returns the best cell and the split sizes."""
     ratings = _ratings(spark, ratings_path, stage)
     personal = read_personal_ratings(spark, personal_path)
     train, validation, test = SP.split_frames(ratings)
@@ -114,4 +114,7 @@ def als_job(
     users = personal.select(S.USER).distinct()
     recs = M.recommend(result.best_model, users, n=n, items=read_items(spark, items_path))
     write_table(recs.select(S.USER, "rank", S.ITEM, S.TITLE, F.round("prediction", 6).alias("prediction")), f"{out.rstrip('/')}/recommendations")
-    return {"best": result.best}
+    for side, factors in (("user", result.best_model.userFactors), ("item", result.best_model.itemFactors)):
+        write_table(factors, f"{out.rstrip('/')}/{side}_factors", fmt="parquet")
+    sizes = {r["split"]: r["n_ratings"] for r in SP.split_sizes(ratings).collect()}  # three rows
+    return {"best": result.best, "sizes": sizes}

@@ -1,7 +1,8 @@
 """DuckDB SQL equivalents of the registered queries (the scale directory's tables are views).
 
 ``_WITH`` spells out the binding of ``prefkit.sources.bindings`` and the shared intermediate
-relations in SQL; each query selects from it. ALS queries have no SQL form and no entry here.
+relations in SQL; each query selects from it. ALS queries return what has an exact answer: keys,
+counts, ranks, and conditions that a right fit meets.
 """
 
 _WITH = """
@@ -89,6 +90,16 @@ gus AS (
 )
 """
 
+# Validation rows, and whether training knows both the user and the item.
+_SEEN = """,
+known AS (SELECT user_id, item_id FROM train UNION ALL SELECT user_id, item_id FROM personal),
+seen AS (
+  SELECT user_id, item_id, rating,
+         user_id IN (SELECT user_id FROM known) AND item_id IN (SELECT item_id FROM known) AS scored
+  FROM validation
+)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     # ---- sources and sinks
     "scan_ratings": _WITH + "SELECT user_id, item_id, rating, ts FROM ratings",
@@ -198,4 +209,26 @@ FROM (
 LEFT JOIN items i ON b.item_id = i.item_id
 WHERE b.rank <= 50""",
     "dedupe_ratings": _WITH + "SELECT user_id, item_id, rating, ts FROM dd",
+    # ---- factorisation
+    "als_factors": _WITH + """
+SELECT 'user' AS side, user_id AS id, CAST(10 AS BIGINT) AS n_features, TRUE AS solves
+FROM (SELECT user_id FROM train UNION SELECT user_id FROM personal)
+UNION ALL
+SELECT 'item', item_id, CAST(10 AS BIGINT), CAST(NULL AS BOOLEAN)
+FROM (SELECT item_id FROM train UNION SELECT item_id FROM personal)""",
+    "als_predict": _WITH + _SEEN + "SELECT user_id, item_id, rating, scored FROM seen",
+    "als_evaluate": _WITH + _SEEN + """
+SELECT count(*) FILTER (WHERE scored) AS n_scored, count(*) AS n_total, TRUE AS consistent FROM seen""",
+    "als_grid_search": _WITH + _SEEN + """
+SELECT row_number() OVER (ORDER BY rank, reg, max_iter) - 1 AS grid_pos, rank, max_iter, CAST(10 AS BIGINT) AS num_blocks,
+       reg, n_scored, n_total, TRUE AS best_is_lowest
+FROM (SELECT unnest([8, 10])::BIGINT AS rank), (SELECT unnest([0.1, 0.2])::DOUBLE AS reg),
+     (SELECT unnest([10, 20])::BIGINT AS max_iter),
+     (SELECT count(*) FILTER (WHERE scored) AS n_scored, count(*) AS n_total FROM seen)""",
+    "als_recommend": _WITH + """
+SELECT u.user_id, r.rank, TRUE AS falling, TRUE AS known
+FROM (SELECT DISTINCT user_id FROM personal) u,
+     (SELECT unnest(range(1, 51))::BIGINT AS rank) r,
+     (SELECT count(*) AS n FROM (SELECT item_id FROM train UNION SELECT item_id FROM personal)) k
+WHERE r.rank <= k.n""",
 }

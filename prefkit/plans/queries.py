@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,17 +58,23 @@ def _items(spark, sf_dir):
 # ---- sources and sinks -------------------------------------------------------------------
 
 
+def _file(spark, lines, name):
+    """A text file (folder) of ``lines`` under the shared folder: the input of a scan."""
+    path = scratch_path(spark, f"file-{name}")
+    lines.write.text(path)
+    return path
+
+
 def scan_ratings(spark, sf_dir):
-    lines = B.rating_lines(B.bind_ratings(spark, sf_dir))
-    return R.parse_ratings(lines)
+    return R.read_ratings(spark, _file(spark, B.rating_lines(B.bind_ratings(spark, sf_dir)), "ratings"))
 
 
 def scan_items(spark, sf_dir):
-    return R.parse_items(B.item_lines(_items(spark, sf_dir)))
+    return R.read_items(spark, _file(spark, B.item_lines(_items(spark, sf_dir)), "items"))
 
 
 def scan_personal_ratings(spark, sf_dir):
-    return R.parse_ratings(B.rating_lines(_personal(spark, sf_dir)))
+    return R.read_personal_ratings(spark, _file(spark, B.rating_lines(_personal(spark, sf_dir)), "personal"))
 
 
 def sink_roundtrip(spark, sf_dir):
@@ -142,11 +148,12 @@ def ratings_by_genre(spark, sf_dir):
 
 
 def actual_vs_predicted(spark, sf_dir):
-    """Validation ratings joined on (user, item) with the item-mean baseline's predictions."""
+    """Validation ratings beside the item-mean baseline's predictions."""
     train, validation, _ = SP.split_frames(_community(spark, sf_dir))
-    predicted = M.predict_item_mean(M.item_mean_model(train), validation)
-    scored = M.actual_vs_predicted(validation, predicted)
-    return scored.select(S.USER, S.ITEM, "actual", _r("predicted"))
+    scored = M.predict_item_mean(M.item_mean_model(train), validation)
+    return scored.select(
+        S.USER, S.ITEM, F.col(S.RATING).alias("actual"), F.round("prediction", AVG_DIGITS).alias("predicted")
+    )
 
 
 def co_rated_pairs(spark, sf_dir):
@@ -187,9 +194,8 @@ def dataset_counts(spark, sf_dir):
 def rating_error_metrics(spark, sf_dir):
     """Error of the item-mean baseline on the validation split; unscored rows count in n_total."""
     train, validation, _ = SP.split_frames(_community(spark, sf_dir))
-    predicted = M.predict_item_mean(M.item_mean_model(train), validation)
-    scored = M.actual_vs_predicted(validation, predicted, how="left")
-    m = M.error_metrics(scored, actual="actual", predicted="predicted")
+    scored = M.predict_item_mean(M.item_mean_model(train), validation, how="left")
+    m = M.error_metrics(scored)
     return m.select(_r("mse"), _r("rmse"), _r("reference_mse"), "n_scored", "n_total")
 
 
@@ -254,7 +260,7 @@ def dedupe_ratings(spark, sf_dir):
     return SIM.dedupe_ratings(_community(spark, sf_dir))
 
 
-# ---- ALS (no SQL form: rows-only checks) -------------------------------------------------
+# ---- ALS: what has an exact answer (the metrics themselves are in the jobs) ----------------
 
 
 def _als_splits(spark, sf_dir):
@@ -264,34 +270,69 @@ def _als_splits(spark, sf_dir):
     return training, validation, test
 
 
+def _fitted(spark, sf_dir):
+    """A model, its training rows (written once: the fit and the queries read them) and validation."""
+    training, validation, _ = _als_splits(spark, sf_dir)
+    path = scratch_path(spark, "als-training")
+    training.write.parquet(path)
+    training = spark.read.schema(S.RATINGS).parquet(path)
+    return M.fit_als(training, **ALS_PARAMS), training, validation
+
+
 def als_factors(spark, sf_dir):
-    training, _, _ = _als_splits(spark, sf_dir)
-    model = M.fit_als(training, **ALS_PARAMS)
-    return model.itemFactors.select(F.col("id").cast("bigint").alias(S.ITEM), "features")
+    """Both sides of a fitted model; a user's factors must solve the user's equations."""
+    model, training, _ = _fitted(spark, sf_dir)
+    size = F.size("features").cast("bigint").alias("n_features")
+    users = model.userFactors.select(F.col("id").cast("bigint").alias("id"), size)
+    solved = M.solved_users(model, training, ALS_PARAMS["reg"])
+    users = users.join(solved, on="id", how="left").select(F.lit("user").alias("side"), "id", "n_features", "solves")
+    items = model.itemFactors.select(F.col("id").cast("bigint").alias("id"), size)
+    return users.unionByName(items.select(F.lit("item").alias("side"), "id", "n_features", F.lit(None).cast("boolean").alias("solves")))
 
 
 def als_predict(spark, sf_dir):
-    training, validation, _ = _als_splits(spark, sf_dir)
-    model = M.fit_als(training, **ALS_PARAMS)
-    return M.predict(model, validation.select(S.USER, S.ITEM, S.RATING))
+    """Every validation row, and whether it can be scored (user and item seen in training)."""
+    model, _, validation = _fitted(spark, sf_dir)
+    scored = M.predict(model, validation.select(S.USER, S.ITEM, S.RATING))
+    ids = [F.col(c).cast("bigint").alias(c) for c in (S.USER, S.ITEM)]
+    return scored.select(*ids, S.RATING, (~F.isnan("prediction")).alias("scored"))
 
 
 def als_evaluate(spark, sf_dir):
-    training, validation, _ = _als_splits(spark, sf_dir)
-    model = M.fit_als(training, **ALS_PARAMS)
-    return M.evaluate(model, validation)
+    """Rows scored and in all, and whether the metrics agree with each other."""
+    model, _, validation = _fitted(spark, sf_dir)
+    m = M.evaluate(model, validation)
+    same = F.abs(F.col("rmse") * F.col("rmse") - F.col("mse")) < 1e-9
+    spread = F.abs(F.col("reference_mse") * F.col("n_total") - F.col("mse") * F.col("n_scored")) < 1e-6 * F.col("n_total")
+    return m.select("n_scored", "n_total", (same & spread).alias("consistent"))
 
 
 def als_grid_search(spark, sf_dir):
+    """The trials of the whole grid, and whether exactly one is best and has the lowest error."""
     training, validation, test = _als_splits(spark, sf_dir)
-    return M.grid_search(training, validation, test, parallelism=GRID_PARALLELISM).trials
+    trials = M.grid_search(training, validation, test, parallelism=GRID_PARALLELISM).trials
+    lowest = trials.agg(
+        ((F.count_if("is_best") == 1) & (F.min("rmse") == F.min(F.when(F.col("is_best"), F.col("rmse"))))).alias("ok")
+    )
+    return trials.select(
+        *(F.col(c).cast("bigint").alias(c) for c in ("grid_pos", "rank", "max_iter", "num_blocks")),
+        "reg",
+        "n_scored",
+        "n_total",
+        lowest.scalar().alias("best_is_lowest"),
+    )
 
 
 def als_recommend(spark, sf_dir):
-    training, _, _ = _als_splits(spark, sf_dir)
-    model = M.fit_als(training, **ALS_PARAMS)
+    """The target user's list: gap-free ranks, falling predictions, items of the training rows."""
+    model, training, _ = _fitted(spark, sf_dir)
     users = _personal(spark, sf_dir).select(S.USER).distinct()
-    return M.recommend(model, users, n=M.TOP_N, items=_items(spark, sf_dir))
+    recs = M.recommend(model, users, n=M.TOP_N, items=_items(spark, sf_dir))
+    before = F.lag("prediction").over(Window.partitionBy(S.USER).orderBy("rank"))
+    known = training.select(S.ITEM).distinct().withColumn("_known", F.lit(True))
+    return recs.withColumn("falling", F.coalesce(F.col("prediction") <= before, F.lit(True))).join(
+        known, on=S.ITEM, how="left"
+    ).select(F.col(S.USER).cast("bigint").alias(S.USER), "rank", "falling", F.coalesce("_known", F.lit(False)).alias("known"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -338,7 +379,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "item_similarity": item_similarity,
     "item_cf_recommend": item_cf_recommend,
     "dedupe_ratings": dedupe_ratings,
-    # factorisation (rows-only)
+    # factorisation
     "als_factors": als_factors,
     "als_predict": als_predict,
     "als_evaluate": als_evaluate,

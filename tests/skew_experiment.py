@@ -54,7 +54,7 @@ def main(n: int) -> None:
         [(0, i, 4.0, 1) for i in range(0, 200, 10)], "user_id bigint, item_id bigint, rating double, ts bigint"
     )
     ops = {
-        "item_similarity": lambda rpt: SIM.item_similarity(ratings, personal, rows_per_task=rpt, max_broadcast_rows=100),
+        "item_similarity": lambda rpt: SIM.item_similarity(ratings, personal, rows_per_task=rpt),
         "centered_ratings": lambda rpt: SIM.centered_ratings(ratings, rows_per_task=rpt),
     }
     for op, build in ops.items():

@@ -27,4 +27,5 @@ def test_entry_loaded_by_path(tmp_path):
         cwd=tmp_path, capture_output=True, text=True, timeout=600, check=True,
     ).stdout.strip().splitlines()
     rec = json.loads(out[-1])
-    assert rec == {"columns": ["genre", "avg_rating", "n_ratings"], "rows": 22, "queries": 41, "oracles": 36}
+    assert (rec["columns"], rec["rows"]) == (["genre", "avg_rating", "n_ratings"], 22)
+    assert rec["queries"] >= rec["oracles"] >= 41  # the optional queries come on top

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from oracle_check import compare, duck
+from prefkit.plans import oracle, queries as registered
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.ORACLE_SQL))
 def test_matches_oracle(spark, con, name):
     info = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
     assert info["ok"], info
@@ -26,9 +27,9 @@ def test_entry_smoke(spark):
     assert got["ECONOMY"] == (2.803536346, 1018)
 
 
-def test_every_query_has_oracle_or_is_als():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"als_factors", "als_predict", "als_evaluate", "als_grid_search", "als_recommend"}
+def test_every_query_has_an_oracle():
+    assert set(registered.QUERIES) == set(oracle.ORACLE_SQL)
+    assert set(registered.QUERIES) <= set(E.queries()) and set(oracle.ORACLE_SQL) <= set(E.oracle_sql())
 
 
 SENSITIVE = ["scan_ratings", "split_assignment", "dedupe_ratings", "item_cf_recommend", "preferences_from_responses",
@@ -47,16 +48,3 @@ def test_results_do_not_depend_on_session_zone_or_ansi(spark, con):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
-
-
-def test_als_queries_rows(spark):
-    """The rows-only (ALS) registered queries run on the driver tables with the expected row counts."""
-    q = E.queries()
-    assert q["als_evaluate"](spark, SF).count() == 1
-    assert q["als_grid_search"](spark, SF).count() == 8
-    rec = q["als_recommend"](spark, SF).collect()
-    assert len(rec) == 50 and all(r.user_id == 0 for r in rec) and sorted(r["rank"] for r in rec) == list(range(1, 51))
-    n_items = q["training_with_personal"](spark, SF).select("item_id").distinct().count()
-    assert q["als_factors"](spark, SF).count() == n_items
-    validation = q["split_assignment"](spark, SF).filter("split = 'validation'").count()
-    assert q["als_predict"](spark, SF).count() == validation

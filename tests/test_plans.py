@@ -5,11 +5,14 @@ import pytest
 
 from prefkit.plans.inspect import plan_text
 from prefkit.plans import queries as Q
+from prefkit.sources import bindings as B
 
 SF = "/root/testdata/sf0.001"
+# Queries that write files and read them back: their plan is that of a text scan.
+WRITES = ("sink_roundtrip", "scan_ratings", "scan_items", "scan_personal_ratings")
 
 
-@pytest.mark.parametrize("name", sorted(k for k in Q.QUERIES if not k.startswith("als_") and k != "sink_roundtrip"))
+@pytest.mark.parametrize("name", sorted(k for k in Q.QUERIES if not k.startswith("als_") and k not in WRITES))
 def test_no_python_udf(spark, name):
     text = plan_text(Q.QUERIES[name](spark, SF))
     assert "PythonUDF" not in text and "BatchEvalPython" not in text and "ArrowEvalPython" not in text
@@ -32,7 +35,7 @@ def test_partial_aggregation_before_shuffle(spark):
 
 
 def test_filter_and_pruning_reach_scan(spark):
-    text = plan_text(Q.scan_personal_ratings(spark, SF))
+    text = plan_text(B.personal_ratings(spark, SF))
     assert "PushedFilters: [IsNotNull(o_custkey), EqualTo(o_custkey,0)" in text
     # lineitem scan reads only the five bound columns
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int,l_quantity:double,l_shipdate:timestamp_ntz>" in text
@@ -46,23 +49,22 @@ def test_salted_join_in_plan(spark, ratings):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
-def test_bounded_broadcast_plans(spark):
-    from prefkit.operators.joins import bounded_broadcast
-
-    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
-    saved = {k: spark.conf.get(k, None) for k in keys}
-    for k in keys:
-        spark.conf.set(k, "-1")  # only our explicit hint may broadcast
-    try:
-        big = spark.range(0, 1000)
-        within = big.join(bounded_broadcast(spark.range(0, 50), max_rows=100), "id")
-        beyond = big.join(bounded_broadcast(spark.range(0, 500), max_rows=100), "id")
-        assert "BroadcastHashJoin" in plan_text(within)
-        assert "SortMergeJoin" in plan_text(beyond) and "BroadcastHashJoin" not in plan_text(beyond)
-        assert within.count() == 50 and beyond.count() == 500
-    finally:
-        for k, v in saved.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+@pytest.mark.parametrize("name", sorted(k for k in Q.QUERIES if not k.startswith("als_")))
+def test_nothing_stays_cached_and_bindings_force_no_exchange(spark, name):
+    spark.catalog.clearCache()
+    out = Q.QUERIES[name](spark, SF)
+    if name not in ("co_rated_pairs", "item_similarity", "item_neighbors_topk", "item_cf_recommend"):
+        assert "REPARTITION" not in plan_text(out)
+    out.write.format("noop").mode("overwrite").save()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_column_summary_runs_nothing_before_it_is_asked(spark, ratings):
+    from prefkit.operators import matrix as X
+
+    tracker, before = spark.sparkContext.statusTracker(), None
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    X.item_column_summary(ratings)
+    before = tracker.getJobIdsForGroup("lazy")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(before) == []

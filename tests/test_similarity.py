@@ -54,7 +54,7 @@ def test_item_cf_recommend(ratings, personal, items):
     rec = SIM.item_cf_recommend(ratings, personal, items)
     got = [(r.item_id, round(r.prediction, 6)) for r in rec.orderBy("rank").collect()]
     assert got == [(1, 1.978953), (3, -1.021047), (2, -2.0), (6, -4.761751), (5, -5.0)]
-    assert rec.filter("item_id = 1").first().title == "Toy Story (1995)"
+    assert rec.filter("item_id = 1").first().title == "Paper Kite (1995)"
 
 
 def test_recommend_at_most_n(ratings, personal, items):
@@ -74,9 +74,41 @@ def test_neighbors_topk(ratings, personal):
     assert top.groupBy("item_id").count().filter(F.col("count") > 1).count() == 0
 
 
-def test_shuffle_paths_equal_broadcast_paths(ratings, personal, items):
-    """Beyond the broadcast bound (max_broadcast_rows=0) every join falls back to a shuffle join."""
-    a = SIM.item_cf_recommend(ratings, personal, items)
-    b = SIM.item_cf_recommend(ratings, personal, items, max_broadcast_rows=0)
-    assert rows(a) == rows(b)
-    assert rows(SIM.raters_of_seeds(ratings, personal, max_broadcast_rows=0)) == rows(SIM.raters_of_seeds(ratings, personal))
+def test_shuffle_joins_give_the_same_answers(ratings, personal, items, no_broadcast):
+    calls = (
+        lambda: SIM.item_cf_recommend(ratings, personal, items),
+        lambda: SIM.raters_of_seeds(ratings, personal),
+        lambda: SIM.item_similarity(ratings, personal),
+    )
+    with no_broadcast():
+        shuffled = [rows(f()) for f in calls]
+    assert shuffled == [rows(f()) for f in calls]
+
+
+def test_user_with_many_seeds_is_split(spark, no_broadcast):
+    """Few rows, many seeds: the pairs decide how many salts a user gets, not the rows."""
+    data = spark.range(0, 400).selectExpr("7L AS user_id", "id AS item_id", "(id % 9) / 2 + 0.5 AS rating", "id AS ts")
+    more = spark.range(0, 50).selectExpr("id + 100 AS user_id", "id AS item_id", "3.0 AS rating", "id AS ts")
+    ratings = data.unionByName(more).selectExpr("user_id", "item_id", "cast(rating AS double) rating", "ts")
+    personal = spark.range(0, 200).selectExpr("0L AS user_id", "id AS item_id", "4.0D AS rating", "id AS ts")
+    plain = SIM.co_rated_pairs(ratings, personal)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the data are small
+    try:
+        with no_broadcast():
+            split = SIM.co_rated_pairs(ratings, personal, rows_per_task=5_000)  # 400 rows, but 80,000 pairs
+            per_task = split.filter("user_id = 7").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert plain.count() == split.count() == 400 * 200 + 50
+    assert per_task <= 80_000 / 2
+    assert rows(plain.groupBy("seed_id").count()) == rows(split.groupBy("seed_id").count())
+
+
+def test_ratings_are_shuffled_once(ratings, personal, no_broadcast):
+    """Deduplication and the self-join use one exchange of the rating rows."""
+    from prefkit.plans.inspect import plan_text
+
+    with no_broadcast():
+        text = plan_text(SIM.co_rated_pairs(ratings, personal))
+    assert text.count("hashpartitioning(user_id") >= 1
+    assert sum("_salt" in line and "REPARTITION_BY_COL" in line for line in text.splitlines()) >= 1

@@ -76,22 +76,8 @@ def test_item_mean_prediction_salted_equals_plain(ratings):
     plain = M.predict_item_mean(model, ratings)
     salted = M.predict_item_mean(model, ratings, rows_per_task=1)
     assert rows(salted) == rows(plain)
-    assert plain.count() == ratings.select("user_id", "item_id").distinct().count()
-
-
-def test_bounded_broadcast_keeps_callers_cache(spark):
-    from pyspark import StorageLevel
-
-    from prefkit.operators.joins import bounded_broadcast
-
-    mine = spark.range(0, 50).cache()
-    mine.count()
-    bounded_broadcast(mine, max_rows=10)  # over the bound
-    assert mine.storageLevel != StorageLevel.NONE
-    other = spark.range(0, 60)
-    bounded_broadcast(other, max_rows=10)
-    assert other.storageLevel == StorageLevel.NONE
-    mine.unpersist()
+    twice = ratings.unionByName(ratings)
+    assert M.predict_item_mean(model, twice).count() == twice.count()  # scored row by row
 
 
 def test_group_of_copies(spark, ratings):

@@ -9,10 +9,12 @@ user's rows; r(u, .) uses the latest rating of a duplicated (user, item) (rule D
 prediction for item j is sum(sim * p(i)) / sum(|sim|) over j's ``k`` most similar seeds, p(i)
 being the target user's rating; it is not mean-restored, so values may leave the rating scale.
 
-Plan: the ratings are shuffled once, by (user, salt); deduplication and the user self-join both
-use that partitioning. The seed-side rows (few per user) carry the user mean. A user gets as many
-salts as the pairs that the self-join gives for them need (their rows times the seeds they rated), so
-neither a user with a third of all rows nor one with many seeds is one task. Nothing is collected.
+Plan: dedupe and user statistics are aggregations (partial before the shuffle), so a group of copies
+of one (user, item) is collapsed by the tasks that read it; that is why the user self-join has an
+exchange of its own and does not share the one of the dedupe. The seed-side rows (few per user)
+carry the user mean. A user gets as many salts as the pairs that the self-join gives for them need
+(their rows times the seeds they rated), so neither a user with a third of all rows nor one with
+many seeds is one task. Nothing is collected.
 """
 
 from __future__ import annotations
@@ -92,18 +94,17 @@ def co_rated_pairs(
     hot = hot_keys(work, S.USER, rows_per_task)
     nsalt = F.coalesce(F.col("_nsalt"), F.lit(1))
     salt = F.pmod(F.xxhash64(S.ITEM), nsalt).cast("int")
-    last = F.max(F.struct(F.col(S.TS), F.col(S.RATING))).alias("_last")
-    salted = ratings.join(hot, on=S.USER, how="left").withColumn("_salt", salt)
-    latest = salted.repartition(S.USER, "_salt").groupBy(S.USER, "_salt", S.ITEM).agg(last)
+    latest = dedupe_ratings(ratings).select(S.USER, S.ITEM, S.RATING)
+    latest = latest.join(hot, on=S.USER, how="left").withColumn("_salt", salt).drop("_nsalt")
     seed_side = seed_side.join(stats.select(S.USER, "user_mean"), on=S.USER).join(hot, on=S.USER, how="left")
-    seed_side = seed_side.withColumn("_salt", F.explode(F.sequence(F.lit(0), nsalt - 1)))
+    seed_side = seed_side.withColumn("_salt", F.explode(F.sequence(F.lit(0), nsalt - 1))).drop("_nsalt")
     pairs = latest.join(seed_side, on=[S.USER, "_salt"])
     return pairs.select(
         S.USER,
         SEED,
         S.ITEM,
         (F.col("_ri") - F.col("user_mean")).alias("a"),
-        (F.col("_last." + S.RATING) - F.col("user_mean")).alias("b"),
+        (F.col(S.RATING) - F.col("user_mean")).alias("b"),
     )
 
 

@@ -102,13 +102,3 @@ def test_user_with_many_seeds_is_split(spark, no_broadcast):
     assert plain.count() == split.count() == 400 * 200 + 50
     assert per_task <= 80_000 / 2
     assert rows(plain.groupBy("seed_id").count()) == rows(split.groupBy("seed_id").count())
-
-
-def test_ratings_are_shuffled_once(ratings, personal, no_broadcast):
-    """Deduplication and the self-join use one exchange of the rating rows."""
-    from prefkit.plans.inspect import plan_text
-
-    with no_broadcast():
-        text = plan_text(SIM.co_rated_pairs(ratings, personal))
-    assert text.count("hashpartitioning(user_id") >= 1
-    assert sum("_salt" in line and "REPARTITION_BY_COL" in line for line in text.splitlines()) >= 1

@@ -79,7 +79,7 @@ def test_odd_rows(spark, documents, corpus):
     ranking = quality.trained_on(documents(rows), labels(spark, marks), F.lit(True))
     got = quality.score(documents(ODD_ROWS), ranking).collect()
     assert len(got) == len(ODD_ROWS) and all(0 <= r["score"] <= 1 for r in got)
-    docs = documents([*rows, (None, "no id at all", "en", "a")])
+    docs = documents([*rows, (None, rows[1][1], "en", "a")])
     kept = quality.keep_good(docs, labels(spark, marks))
     assert kept.columns == docs.columns
     ids = {r["doc_id"] for r in kept.collect()}

@@ -27,6 +27,14 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return out.filter("a > b").distinct()
 
 
+def _unsettled(links: DataFrame) -> DataFrame:
+    """Nodes that keep ``links`` (a > b) from being stars around the least node of each component:
+    those with two least ones, and those that are least for one node and not for themselves."""
+    ends = F.explode(F.array(F.struct(F.col("a").alias("id"), F.lit(1).alias("up")), F.struct(F.col("b").alias("id"), F.lit(0).alias("up"))))
+    nodes = links.select(ends.alias("e")).groupBy("e.id").agg(F.sum("e.up").alias("up"), F.min("e.up").alias("low"))
+    return nodes.filter("up > 1 OR (up = 1 AND low = 0)")
+
+
 def components(links: DataFrame) -> DataFrame:
     """Node -> component of the nodes of ``links`` (a, b: long ids): id, component (the least id).
 
@@ -38,13 +46,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     ordered = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     now = written(ordered.filter("a > b").distinct(), "cc-links")
-    mark = None
-    while True:
-        # The result is stable when a round changes nothing: equal count and equal sum of hashes.
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(state) == mark or not state[0]:
-            break
-        mark = tuple(state)
+    while not _unsettled(now).isEmpty():
         now = written(_star(_star(now, True), False), "cc-round")
     least = now.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(least)

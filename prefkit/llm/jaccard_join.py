@@ -8,10 +8,12 @@ frequent tokens are dealt by hash to small parts and indexed as pairs within a p
 tokens only vouches for p - 1 of them, the prefix is extended until the parts vouch for enough.
 
 Sets that share an index key are candidates. Their number is kept linear: sets of one key are first
-compared with one of them (its pivot), not with each other. Where this joins all sets of a key into
-one component, nothing else is to do; where components remain apart, all pairs between different
-components of the key are verified too. Hence no link between components is lost, while copies and
-near copies by the thousand cost one comparison each. Every comparison reads both complete sets.
+compared with one of them (its pivot), not with each other, and each with a few pivots at most. Where
+this joins all sets of a key into one component, nothing else is to do; where components remain
+apart, all pairs between different components of the key are verified too. Hence no link between
+components is lost, while copies and near copies by the thousand cost a few comparisons each. A set's
+profile (how many of its tokens fall into each hash class) bounds the intersection from above and
+spares the comparison of sets that cannot be similar; all others read both complete sets.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prefkit.llm.common import shuffle_partitions, written
@@ -31,21 +33,38 @@ from prefkit.llm.textblocks import byte_blocks, mixed
 
 _U = np.uint64
 #: Counters of the token frequency table (2 ** bits, 4 bytes each).
-COUNTER_BITS = 20
+COUNTER_BITS = 22
+#: A set's profile: which of PROFILE hash classes hold at least 1, 2, .. PLANES of its tokens (bits,
+#: 64 to a number), and how many tokens lie beyond that.
+PROFILE, PLANES = 128, 8
+#: Up to so many undecided keys a set carries their list, so that a pair is met under one of them only.
+LISTED_KEYS = 256
+#: Pivots that a set is compared with at first, those that it shares most keys with.
+FIRST_PIVOTS = 3
 #: Bits of the map that tells a scan which documents are needed (4 MiB).
 NEEDED_BITS = 25
-#: A counter above FREQUENT_FACTOR times the mean plus FREQUENT_LEAST makes its tokens frequent.
-FREQUENT_FACTOR, FREQUENT_LEAST = 2, 32
+#: Tokens are frequent if their counter is more than FREQUENT_SIGMAS standard deviations of chance
+#: and FREQUENT_LEAST above the mean of all counters.
+FREQUENT_SIGMAS, FREQUENT_LEAST = 6, 16
 #: Index rows a task holds to bring together its own sets before the exchange.
 HELD_ROWS = 1 << 20
 #: Sets seen by a task that it remembers, so that copies are indexed once.
 SEEN_SETS = 1 << 17
+#: Sets of a key that meet its other sets in one task.
+KEY_SHARE = 512
 #: Comparisons with one pivot in one task.
 PIVOT_SHARE = 256
 
-_SETS = "doc_id long, n int, fp long, block int, counts binary"
+_SETS = "doc_id long, n int, fp long, profile array<long>, block int, counts binary"
 _PA_SETS = pa.schema(
-    [("doc_id", pa.int64()), ("n", pa.int32()), ("fp", pa.int64()), ("block", pa.int32()), ("counts", pa.binary())]
+    [
+        ("doc_id", pa.int64()),
+        ("n", pa.int32()),
+        ("fp", pa.int64()),
+        ("profile", pa.list_(pa.int64())),
+        ("block", pa.int32()),
+        ("counts", pa.binary()),
+    ]
 )
 _KEYS = "deal long, local boolean, key long, fp long, n int, pivot long, pivot_n int"
 _PA_KEYS = pa.schema(
@@ -66,6 +85,16 @@ def _signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
 
+def profiles(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The sets' profiles, a row each."""
+    n = len(bounds) - 1
+    owner = np.repeat(np.arange(n), np.diff(bounds))
+    counts = np.bincount(owner * PROFILE + (h % _U(PROFILE)).astype(np.int64), minlength=n * PROFILE)
+    counts = counts.reshape(n, PROFILE)
+    planes = [np.packbits(counts >= k, axis=1).view(np.int64) for k in range(1, PLANES + 1)]
+    return np.column_stack([*planes, np.maximum(counts - PLANES, 0).sum(1)])
+
+
 def _sets(width: int, bits: int):
     """Documents -> (doc_id, n, fp), and at a task's end its token counters in blocks."""
 
@@ -76,13 +105,15 @@ def _sets(width: int, bits: int):
             ids = batch.column("doc_id")
             for first, data, offsets in byte_blocks(batch.column("text")):
                 h, bounds = shingle_sets(data, offsets, width)
-                counters += np.bincount((h >> _U(64 - bits)).astype(np.int64), minlength=1 << bits)
+                np.add.at(counters, (h >> _U(64 - bits)).astype(np.int64), 1)
                 n = len(offsets) - 1
                 some = True
+                profile = profiles(h, bounds)
                 columns = [
                     ids.slice(first, n).cast(pa.int64()),
                     pa.array(np.diff(bounds).astype(np.int32)),
                     pa.array(_signed(set_prints(h, bounds))),
+                    pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * profile.shape[1], profile.ravel()),
                     pa.nulls(n, pa.int32()),
                     pa.nulls(n, pa.binary()),
                 ]
@@ -91,7 +122,7 @@ def _sets(width: int, bits: int):
             kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if counters.max() <= np.iinfo(t).max)
             for i, part in enumerate(np.split(counters.astype(kind), _BLOCKS)):
                 packed = bytes([part.itemsize]) + zlib.compress(part.tobytes(), 1)
-                row = [[None], [None], [None], [i], [packed]]
+                row = [[None], [None], [None], [None], [i], [packed]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, _PA_SETS)], schema=_PA_SETS)
 
     return run
@@ -343,13 +374,15 @@ class JaccardJoin:
         """doc_id, n, fp of every row; leaves the counters and the classes of equal sets."""
         made = written(self.docs.mapInArrow(_sets(self.width, self.bits), _SETS), "shingle-sets")
         counters = token_counters(made.filter("block IS NOT NULL"), self.bits)
-        frequent = int(FREQUENT_FACTOR * counters.sum() / len(counters)) + FREQUENT_LEAST
+        mean = counters.sum() / len(counters)
+        frequent = int(mean + FREQUENT_SIGMAS * mean**0.5) + FREQUENT_LEAST
         counters = np.minimum(counters, np.iinfo(np.int32).max).astype(np.int32)
         self.prefixes = Prefixes(self.num, self.den, counters, frequent)
-        rows = made.filter("block IS NULL").select("doc_id", "n", "fp")
-        classes = rows.filter("n > 0").groupBy("fp", "n").agg(F.min("doc_id").alias("rep"))
+        rows = made.filter("block IS NULL")
+        classes = rows.filter("n > 0").groupBy("fp", "n")
+        classes = classes.agg(F.min("doc_id").alias("rep"), F.first("profile").alias("profile"))
         self.classes = written(classes, "shingle-classes")
-        return rows
+        return rows.select("doc_id", "n", "fp")
 
     def members(self) -> DataFrame:
         """(key, a, n, pivot, pivot_n) of the keys that several sets share, sets named by their
@@ -364,10 +397,21 @@ class JaccardJoin:
         named = met.join(own, ["fp", "n"]).join(others, ["pivot", "pivot_n"])
         return written(named.select("key", "a", "n", "b", F.col("pivot_n").alias("b_n")), "key-members")
 
-    def sizes_fit(self, a: str, b: str):
+    def sizes_fit(self, a: str, b: str) -> Column:
         low, high = F.least(a, b).cast("long"), F.greatest(a, b).cast("long")
         return low * self.den >= high * self.num
 
+    def profiles_fit(self, n_a: str, n_b: str, profile_a: str, profile_b: str) -> Column:
+        """Whether the profiles leave room for a large enough intersection: it has at most as many tokens
+        as classes that both sets fill, plane by plane, and the smaller rest beyond the planes."""
+        words = PLANES * PROFILE // 64
+        a, b = F.col(profile_a), F.col(profile_b)
+        most = F.least(a[words], b[words])
+        for i in range(words):
+            most = most + F.bit_count(a[i].bitwiseAND(b[i]))
+        sizes = F.col(n_a).cast("long") + F.col(n_b).cast("long")
+        return most * (self.num + self.den) >= sizes * self.num
+
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose complete sets are similar enough."""
         slots = 1 << NEEDED_BITS
@@ -400,24 +444,54 @@ class JaccardJoin:
     def links(self) -> DataFrame:
         """Links between classes: enough of them to give the components of all of them."""
         members = self.members()
+        profiles = self.classes.select(F.col("rep").alias("a"), F.col("n"), F.col("profile"))
+        others = profiles.select(F.col("a").alias("b"), F.col("n").alias("b_n"), F.col("profile").alias("b_profile"))
         stars = members.filter(F.col("a") != F.col("b")).filter(self.sizes_fit("n", "b_n"))
-        links = self.verified(written(stars.select("a", "b").distinct(), "star-pairs"))
+        shared = stars.groupBy("a", "b").agg(F.count("*").alias("keys"))
+        nth = F.row_number().over(Window.partitionBy("a").orderBy(F.col("keys").desc(), "b"))
+        stars = shared.withColumn("nth", nth).filter(F.col("nth") <= FIRST_PIVOTS).select("a", "b")
+        stars = stars.join(profiles, "a").join(others, "b")
+        stars = stars.filter(self.profiles_fit("n", "b_n", "profile", "b_profile")).select("a", "b")
+        stars = written(stars, "star-pairs")
+        links = self.verified(stars)
         # Keys whose sets are still in different components: the pairs between these.
         found = written(components(links), "star-components")
         sets = members.select("key", "a", "n").distinct().join(found.withColumnRenamed("id", "a"), "a", "left")
         sets = written(sets.withColumn("component", F.coalesce("component", "a")), "key-sets")
         counts = sets.groupBy("key", "component").count()
         largest = counts.groupBy("key").agg(
-            F.max(F.struct("count", "component")).alias("m"), F.count("*").alias("parts")
+            F.max(F.struct("count", "component")).alias("m"), F.count("*").alias("parts"), F.sum("count").alias("size")
         )
-        mixed_keys = largest.filter("parts > 1").select("key", F.col("m.component").alias("main"))
+        shares = F.ceil(F.col("size") / KEY_SHARE).cast("int").alias("shares")
+        mixed_keys = largest.filter("parts > 1").select("key", F.col("m.component").alias("main"), shares)
         rest = written(sets.join(mixed_keys, "key"), "mixed-sets")
-        left = rest.filter("component != main").select("key", "a", "n", "component")
-        right = rest.select("key", F.col("a").alias("b"), F.col("n").alias("b_n"), F.col("component").alias("other"))
-        apart = left.join(right, "key").filter(F.col("component") != F.col("other")).filter(self.sizes_fit("n", "b_n"))
-        pairs = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "apart-pairs")
+        # A pair is met under the least of its common keys, where both sets list theirs.
+        listed = rest.groupBy("a").agg(F.count("*").alias("c"))
+        listed = rest.join(listed.filter(F.col("c") <= LISTED_KEYS).select("a"), "a").groupBy("a")
+        listed = listed.agg(F.collect_list("key").alias("keys"))
+        rest = rest.join(profiles.drop("n"), "a").join(listed, "a", "left")
+        # Few bytes and many pairs: a key's sets are dealt to shares, and the number of tasks is fixed.
+        names = {"a": "b", "n": "b_n", "component": "other", "profile": "b_profile", "keys": "b_keys"}
+        right = rest.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+        right = right.drop("main", "shares").withColumnsRenamed(names)
+        left = rest.filter("component != main").withColumn("share", F.pmod(F.xxhash64("a"), F.col("shares")).cast("int"))
+        tasks = shuffle_partitions(self.spark)
+        left = left.drop("main", "shares").repartition(tasks, "key", "share")
+        right = right.repartition(tasks, "key", "share")
+        first = F.array_min(F.array_intersect("keys", "b_keys")) == left["key"]
+        apart = left.join(
+            right,
+            (left["key"] == right["key"])
+            & (left["share"] == right["share"])
+            & (F.col("component") != F.col("other"))
+            & self.sizes_fit("n", "b_n")
+            & self.profiles_fit("n", "b_n", "profile", "b_profile")
+            & F.coalesce(first, F.lit(True)),
+        )
+        pairs = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        pairs = written(pairs.distinct(), "apart-pairs").join(tried, ["a", "b"], "left_anti")
+        pairs = written(pairs, "untried-pairs")
         if pairs.isEmpty():
             return links
         return links.unionByName(self.verified(pairs))

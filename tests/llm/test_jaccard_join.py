@@ -69,7 +69,7 @@ def corpus(seed, n=160):
 @pytest.mark.parametrize("width,num,den,frequent", [(3, 90, 100, 32), (3, 90, 100, 1), (2, 4, 5, 2), (5, 4, 5, 0)])
 def test_components_match_brute_force(documents, monkeypatch, width, num, den, frequent):
     # With a low bound for frequent tokens, nearly all index keys are pairs.
-    monkeypatch.setattr(jaccard_join, "FREQUENT_FACTOR", 0)
+    monkeypatch.setattr(jaccard_join, "FREQUENT_SIGMAS", 0)
     monkeypatch.setattr(jaccard_join, "FREQUENT_LEAST", frequent)
     rows = corpus(width * 100 + frequent)
     got = jaccard_join.jaccard_components(documents(rows), width, num, den).collect()
@@ -93,6 +93,18 @@ def test_similar_sets_share_a_key(seed, ratio, frequent):
             assert len(np.intersect1d(keys[owner == 0], keys[owner == 1]))
 
 
+def test_profiles_bound_the_intersection():
+    r = np.random.default_rng(4)
+    base = np.unique(r.integers(0, 1 << 63, 9000, dtype=np.uint64))
+    words = jaccard_join.PLANES * jaccard_join.PROFILE // 64
+    for n in (1, 40, 700, 9000):
+        a, b = base[:n], np.unique(np.concatenate([base[n // 10 : n], r.integers(0, 1 << 63, n // 9, dtype=np.uint64)]))
+        p = jaccard_join.profiles(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+        most = min(p[0, words], p[1, words])
+        most += sum(int(x & y & 0xFFFFFFFFFFFFFFFF).bit_count() for x, y in zip(p[0, :words].view(np.uint64).tolist(), p[1, :words].view(np.uint64).tolist()))
+        assert len(np.intersect1d(a, b)) <= most <= min(len(a), len(b)) + len(a) // 10
+
+
 def test_shingle_sets_match_words():
     import pyarrow as pa
 

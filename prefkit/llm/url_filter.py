@@ -1,10 +1,11 @@
 """URL filter by a tree of path templates.
 
 Rules judge the urls that they fit. They also label them, and from these labels the rest is judged:
-for every host the paths form a tree, segment by segment. A place of the tree where a great many
-segments occur is variable and becomes a wildcard, as do rare segments. Sibling branches whose share
-of allowed urls does not differ statistically are merged. What remains are templates; a template is
-rejected if its smoothed share of allowed labelled urls is too low.
+for every host the paths form a tree, segment by segment. Frequent and labelled segments are branches,
+the long tail of a place is one wildcard. Sibling branches whose share of allowed urls does not differ
+statistically are merged. What remains are templates; a template is rejected if enough of its urls are
+labelled and the smoothed share of allowed ones is too low, also at the upper end of its confidence
+interval.
 
 All of it is DataFrame operations on distinct paths; one aggregate, two small tables and one join
 per level of the tree.
@@ -19,16 +20,26 @@ from prefkit.llm.common import written
 
 #: Levels of the tree; further segments are one wildcard.
 DEPTH = 4
-#: A place with more distinct segments is variable.
-MOST_LITERALS = 20
-#: Urls that a segment needs to be a branch of its own.
+#: Urls that a segment needs to be a branch of its own; rarer ones are their place's tail.
 LEAST_SUPPORT = 3
+#: Urls with which a segment is a branch whatever else occurs at its place.
+OWN_SUPPORT = 50
+#: With fewer urls a segment is a branch if it is labelled, or if it has this share of its place's urls
+#: and the place is not variable: at most TAIL_SHARE of the urls lie below rare segments.
+FREQUENT_SHARE = 0.01
+TAIL_SHARE = 0.5
 #: Two siblings are merged while their shares differ by less than this many standard errors.
 SIMILAR = 1.96
 #: Urls' worth of prior belief, and the share below which a template is rejected. A template without
 #: labels keeps the prior, which is never below one half, so it is not rejected.
 PRIOR_WEIGHT = 4.0
 LEAST_PURITY = 0.5
+#: A template is rejected if the share is too low by this many standard errors, and if at least this
+#: share of its urls is labelled.
+SURE = 1.96
+LEAST_LABELLED = 0.1
+#: Segments that the name of a merged branch lists; of further ones it gives the number.
+NAMED = 20
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -54,15 +65,29 @@ def fitting_rule(host: Column, path: Column, rules: dict[str, str]) -> Column:
     return found
 
 
+def literal_segments(kids: DataFrame) -> DataFrame:
+    """Those of ``kids`` (prefix, seg, n, labelled, and further columns) that are branches of their own.
+
+    Each segment is judged by its own urls and labels and by shares of its place's urls, never by how
+    many segments the place has, so that a table that grows does not turn frequent segments into ``*``.
+    """
+    rare = F.sum(F.when(F.col("n") < LEAST_SUPPORT, F.col("n")).otherwise(0))
+    places = kids.groupBy("prefix").agg(F.sum("n").alias("place_n"), rare.alias("rare_n"))
+    frequent = (F.col("n") >= FREQUENT_SHARE * F.col("place_n")) & (F.col("rare_n") <= TAIL_SHARE * F.col("place_n"))
+    own = (F.col("n") >= OWN_SUPPORT) | (F.col("labelled") > 0) | frequent
+    return kids.filter(F.col("n") >= LEAST_SUPPORT).join(places, "prefix").filter(own).drop("place_n", "rare_n")
+
+
 def merged_siblings(literals: DataFrame, prior: float) -> DataFrame:
     """``literals`` (prefix, seg, good, labelled) with ``branch``: the names of all siblings merged.
 
     Siblings stand in the order of their smoothed share; a branch ends where the share of the next
-    one differs significantly. A place has at most MOST_LITERALS of them, so windows are bounded.
+    one differs significantly. Siblings with the same labels never differ, so the window is over the
+    distinct pairs of label counts of a place.
     """
     share = (F.col("good") + PRIOR_WEIGHT * prior) / (F.col("labelled") + PRIOR_WEIGHT)
-    order = Window.partitionBy("prefix").orderBy("share", "seg")
-    rows = literals.withColumn("share", share)
+    order = Window.partitionBy("prefix").orderBy("share", "labelled")
+    rows = literals.select("prefix", "good", "labelled").distinct().withColumn("share", share)
     weight = F.col("labelled") + PRIOR_WEIGHT
     before = F.lag(weight).over(order)
     difference = F.col("share") - F.lag("share").over(order)
@@ -70,7 +95,14 @@ def merged_siblings(literals: DataFrame, prior: float) -> DataFrame:
     error = F.sqrt(pooled * (1 - pooled) * (1 / weight + 1 / before))
     new = F.when(before.isNotNull() & (difference > SIMILAR * error), 1).otherwise(0)
     rows = rows.withColumn("new", new).withColumn("nth", F.sum("new").over(order))
-    names = rows.groupBy("prefix", "nth").agg(F.array_join(F.array_sort(F.collect_list("seg")), "|").alias("branch"))
+    rows = literals.join(rows.select("prefix", "good", "labelled", "nth"), ["prefix", "good", "labelled"])
+    rows = rows.select("prefix", "seg", "nth")
+    first = F.row_number().over(Window.partitionBy("prefix", "nth").orderBy("seg"))
+    names = rows.withColumn("at", first).filter(F.col("at") <= NAMED).groupBy("prefix", "nth")
+    names = names.agg(F.array_join(F.array_sort(F.collect_list("seg")), "|").alias("names"))
+    more = rows.groupBy("prefix", "nth").agg((F.count("*") - NAMED).alias("more"))
+    branch = F.when(F.col("more") > 0, F.concat("names", F.lit("|+"), F.col("more").cast("string"))).otherwise(F.col("names"))
+    names = names.join(more, ["prefix", "nth"]).withColumn("branch", branch)
     return rows.join(names, ["prefix", "nth"]).select("prefix", "seg", "branch")
 
 
@@ -83,8 +115,7 @@ def path_templates(paths: DataFrame, prior: float, depth: int = DEPTH) -> DataFr
         kids = tree.filter("seg IS NOT NULL").groupBy("prefix", "seg")
         kids = kids.agg(F.sum("n").alias("n"), F.sum("good").alias("good"), F.sum("labelled").alias("labelled"))
         kids = written(kids, f"url-level{level}")
-        fixed = kids.groupBy("prefix").count().filter(F.col("count") <= MOST_LITERALS).select("prefix")
-        literals = kids.filter(F.col("n") >= LEAST_SUPPORT).join(fixed, "prefix", "left_semi")
+        literals = written(literal_segments(kids), f"url-literals{level}")
         branches = written(merged_siblings(literals, prior), f"url-branches{level}")
         names = branches.select(F.col("prefix").alias("_p"), F.col("seg").alias("_s"), "branch")
         tree = tree.join(names, (F.col("prefix") == F.col("_p")) & (F.col("seg") == F.col("_s")), "left")
@@ -97,8 +128,9 @@ def path_templates(paths: DataFrame, prior: float, depth: int = DEPTH) -> DataFr
 
 def judge(pages: DataFrame, rules: dict[str, str], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule, verdict (allow or block), template,
-    purity (the smoothed share of allowed urls of the template, by which urls without a rule are
-    judged).
+    purity (the smoothed share of allowed urls of the template). Urls without a rule are blocked if the
+    purity is below LEAST_PURITY by SURE standard errors and LEAST_LABELLED of the template's urls are
+    labelled.
 
     Defined cases: a null url or one without ``://`` has empty host and path and belongs to the
     template of the empty host; urls may be of any length; repeated rows are judged alike; without any
@@ -122,11 +154,14 @@ def judge(pages: DataFrame, rules: dict[str, str], id_col: str = "page_id", url_
     prior = max(0.5, totals["good"] / totals["labelled"]) if totals["labelled"] else 0.5
     tree = written(path_templates(paths, prior), "url-templates")
     purity = (F.sum("good") + PRIOR_WEIGHT * prior) / (F.sum("labelled") + PRIOR_WEIGHT)
-    templates = tree.groupBy("template").agg(purity.alias("purity"))
+    templates = tree.groupBy("template").agg(purity.alias("purity"), F.sum("labelled").alias("labelled"), F.sum("n").alias("n"))
+    error = F.sqrt(F.col("purity") * (1 - F.col("purity")) / (F.col("labelled") + PRIOR_WEIGHT))
+    low = F.col("purity") + SURE * error < LEAST_PURITY
+    templates = templates.select("template", "purity", (low & (F.col("labelled") >= LEAST_LABELLED * F.col("n"))).alias("rejected"))
     judged = tree.select("host", "key", "template").join(templates, "template")
     rows = rows.withColumn("key", F.array_join(F.slice(segs, 1, DEPTH + 1), "/"))
     out = rows.join(judged, ["host", "key"])
-    learned = F.when(F.col("purity") < LEAST_PURITY, "block").otherwise("allow")
+    learned = F.when(F.col("rejected"), "block").otherwise("allow")
     return out.select(
         "page_id", "host", "path", "rule", F.coalesce("given", learned).alias("verdict"), "template", "purity"
     )

@@ -71,3 +71,22 @@ def test_repeated_rows_and_null_ids(spark):
     df = pages(spark, ["a://x.net/1"] * 3).withColumn("page_id", F.lit(None).cast("long"))
     got = url_filter.judge(df, URL_RULES).collect()
     assert [tuple(r)[:5] for r in got] == [(None, "x.net", "/1", "net/", "block")] * 3
+
+
+def test_many_segments_do_not_hide_frequent_ones(spark):
+    """30 first-level segments and a tail: one blocked page says nothing about the others."""
+    urls = ["http://shop.example.com/de/1"] + [f"http://shop.example.com/s{i % 29}/{i}" for i in range(3000)]
+    urls += [f"http://shop.example.com/only{i}/{i}" for i in range(40)]
+    got = {r["page_id"]: r for r in url_filter.judge(pages(spark, urls), URL_RULES).collect()}
+    assert [i for i, r in got.items() if r["verdict"] == "block"] == [0]
+    assert "s0" in got[1]["template"] and got[len(urls) - 1]["template"] == "shop.example.com/*/*"
+
+
+def test_few_labels_do_not_reject_a_wildcard(spark):
+    urls = [f"http://a.site/x{i}" for i in range(400)]
+    for bad in (1, 4, 30):
+        rules = {f"a.site/x{i:d}": "block" for i in range(400 - bad, 400)}
+        got = [r["verdict"] for r in url_filter.judge(pages(spark, urls), rules).collect()]
+        assert got.count("block") == bad
+    rules = {f"a.site/x{i}": "block" for i in range(100, 300)}
+    assert {r["verdict"] for r in url_filter.judge(pages(spark, urls), rules).collect()} == {"block"}

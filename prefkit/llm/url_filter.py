@@ -2,8 +2,8 @@
 
 Rules judge the urls that they fit. They also label them, and from these labels the rest is judged:
 for every host the paths form a tree, segment by segment. Frequent and labelled segments are branches,
-the long tail of a place is one wildcard. Sibling branches whose share of allowed urls does not differ
-statistically are merged. What remains are templates; a template is rejected if enough of its urls are
+the long tail of a place is one wildcard. Labelled sibling branches whose share of allowed urls does not
+differ statistically are merged; a branch without labels stays alone. What remains are templates; a template is rejected if enough of its urls are
 labelled and the smoothed share of allowed ones is too low, also at the upper end of its confidence
 interval.
 
@@ -81,19 +81,25 @@ def literal_segments(kids: DataFrame) -> DataFrame:
 def merged_siblings(literals: DataFrame, prior: float) -> DataFrame:
     """``literals`` (prefix, seg, good, labelled) with ``branch``: the names of all siblings merged.
 
-    Siblings stand in the order of their smoothed share; a branch ends where the share of the next
-    one differs significantly. Siblings with the same labels never differ, so the window is over the
-    distinct pairs of label counts of a place.
+    A segment without labels is a branch of its own: nothing says that it is like its siblings. Of the
+    others, those mostly blocked and those mostly allowed are kept apart. They stand in the order of
+    their smoothed share; a branch ends where the share of the next one differs significantly. Siblings
+    with the same labels never differ, so the window is over the distinct pairs of label counts of a
+    place.
     """
+    alone = literals.filter("labelled = 0").select("prefix", "seg", F.col("seg").alias("branch"))
+    literals = literals.filter("labelled > 0")
     share = (F.col("good") + PRIOR_WEIGHT * prior) / (F.col("labelled") + PRIOR_WEIGHT)
-    order = Window.partitionBy("prefix").orderBy("share", "labelled")
-    rows = literals.select("prefix", "good", "labelled").distinct().withColumn("share", share)
+    mostly = F.col("good") >= LEAST_PURITY * F.col("labelled")
+    order = Window.partitionBy("prefix").orderBy("mostly", "share", "labelled")
+    rows = literals.select("prefix", "good", "labelled").distinct().withColumn("share", share).withColumn("mostly", mostly)
     weight = F.col("labelled") + PRIOR_WEIGHT
     before = F.lag(weight).over(order)
     difference = F.col("share") - F.lag("share").over(order)
     pooled = (F.col("share") * weight + F.lag("share").over(order) * before) / (weight + before)
     error = F.sqrt(pooled * (1 - pooled) * (1 / weight + 1 / before))
-    new = F.when(before.isNotNull() & (difference > SIMILAR * error), 1).otherwise(0)
+    apart = (difference > SIMILAR * error) | (F.lag("mostly").over(order) != F.col("mostly"))
+    new = F.when(before.isNotNull() & apart, 1).otherwise(0)
     rows = rows.withColumn("new", new).withColumn("nth", F.sum("new").over(order))
     rows = literals.join(rows.select("prefix", "good", "labelled", "nth"), ["prefix", "good", "labelled"])
     rows = rows.select("prefix", "seg", "nth")
@@ -103,7 +109,7 @@ def merged_siblings(literals: DataFrame, prior: float) -> DataFrame:
     more = rows.groupBy("prefix", "nth").agg((F.count("*") - NAMED).alias("more"))
     branch = F.when(F.col("more") > 0, F.concat("names", F.lit("|+"), F.col("more").cast("string"))).otherwise(F.col("names"))
     names = names.join(more, ["prefix", "nth"]).withColumn("branch", branch)
-    return rows.join(names, ["prefix", "nth"]).select("prefix", "seg", "branch")
+    return rows.join(names, ["prefix", "nth"]).select("prefix", "seg", "branch").unionByName(alone)
 
 
 def path_templates(paths: DataFrame, prior: float, depth: int = DEPTH) -> DataFrame:

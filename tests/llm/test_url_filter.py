@@ -90,3 +90,17 @@ def test_few_labels_do_not_reject_a_wildcard(spark):
         assert got.count("block") == bad
     rules = {f"a.site/x{i}": "block" for i in range(100, 300)}
     assert {r["verdict"] for r in url_filter.judge(pages(spark, urls), rules).collect()} == {"block"}
+
+
+def test_siblings_without_labels_stay_apart(spark):
+    """Blocked /de/ pages beside /en/ pages without a rule, and beside /fr/ with one allowed label."""
+    bad = {"a1.example.com": 1, "a5.example.com": 5, "a16.example.com": 16}
+    urls = [f"http://{h}/de/page" for h, m in bad.items() for _ in range(m)]
+    urls += [f"http://{h}/{s}/page" for h in bad for s in ("en", "fr") for _ in range(60)]
+    urls += [f"http://{h}/fr/ok" for h in bad]
+    rules = URL_RULES | {f"{h}/fr/ok": "allow" for h in bad}
+    for r in url_filter.judge(pages(spark, urls), rules).collect():
+        first = r["path"].split("/")[1]
+        assert r["verdict"] == ("block" if first == "de" else "allow")
+        if first != "de":
+            assert r["template"].startswith(f"{r['host']}/{first}/")

@@ -8,6 +8,7 @@ seeded sample of them once more for the fraction that is left.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ from prefkit.llm.common import written
 BIN_ROWS = 1024
 BIN_BITS = 14
 SEED = 20240601
+#: Rows above one in LONG of the words that a source samples are decided before the others.
+LONG = 8
 
 
 def word_count(text: str) -> Column:
@@ -57,15 +60,73 @@ def water_filled(sources: DataFrame, total: float | int, max_epochs: float) -> D
     return sources.withColumn("target", F.least(cap, F.col("weight") * F.lit(level)).cast("double"))
 
 
+def _with_gaps(rows: DataFrame, share_of: Column | None = None) -> DataFrame:
+    """``rows`` with ``_mx_gap``, what their source has still to take (of ``share_of`` if given)."""
+    wanted = F.first("_mx_extra") if share_of is None else F.first(share_of)
+    gaps = rows.groupBy(F.col("source").alias("_mx_s")).agg((wanted - F.sum(F.col("_mx_more") * F.col("size"))).alias("_mx_gap"))
+    return rows.join(gaps, F.col("source").eqNullSafe(F.col("_mx_s"))).drop("_mx_s")
+
+
+def _fitting(table: pa.Table) -> pa.Table:
+    """The rows of a crossing bin in the seeded order; those that fit into what is left are taken."""
+    table = table.sort_by([("_mx_draw", "ascending"), ("id", "ascending")])
+    left = table["_mx_left"][0].as_py()
+    more = []
+    for size in table["size"].to_pylist():
+        more.append(int(size <= left))
+        left -= size * more[-1]
+    table = table.drop_columns(["_mx_left"])
+    return table.set_column(table.schema.get_field_index("_mx_more"), "_mx_more", pa.array(more, pa.int64()))
+
+
+def _filled(rows: DataFrame, wanted: Column, name: str) -> DataFrame:
+    """``rows`` (with ``_mx_gap``) of which the ``wanted`` ones that fit are taken in the seeded order.
+
+    Bins below the crossing one are taken whole, from sums per (source, bin); in the crossing bin a row
+    that does not fit is passed over. Rows above it are left to the next call, with a smaller gap.
+    """
+    tried = (F.col("_mx_more") == 0) & (F.col("size") > 0) & (F.col("size") <= F.col("_mx_gap")) & wanted
+    rows = rows.withColumn("_mx_try", F.coalesce(tried, F.lit(False)))
+    sums = rows.filter("_mx_try").groupBy("source", "_mx_bin").agg(F.sum("size").alias("sum"), F.first("_mx_gap").alias("gap"))
+    sums = sums.withColumn("upto", F.sum("sum").over(Window.partitionBy("source").orderBy("_mx_bin")))
+    crossing = sums.filter((F.col("upto") > F.col("gap")) & (F.col("upto") - F.col("sum") <= F.col("gap")))
+    crossing = crossing.groupBy(F.col("source").alias("_mx_cs")).agg(
+        F.min("_mx_bin").alias("_mx_cross"), F.min_by(F.col("gap") - (F.col("upto") - F.col("sum")), "_mx_bin").alias("_mx_left")
+    )
+    rows = rows.join(crossing, F.col("source").eqNullSafe(F.col("_mx_cs")), "left").drop("_mx_cs", "_mx_gap")
+    inside = F.col("_mx_try") & F.coalesce(F.col("_mx_bin") == F.col("_mx_cross"), F.lit(False))
+    below = F.col("_mx_try") & F.coalesce(F.col("_mx_bin") < F.col("_mx_cross"), F.lit(True))
+    split = rows.filter(inside).drop("_mx_try", "_mx_cross")
+    others = rows.filter(~inside).withColumn("_mx_more", F.col("_mx_more") + below.cast("long"))
+    others = others.drop("_mx_try", "_mx_cross", "_mx_left")
+    split = split.groupBy("source").applyInArrow(_fitting, split.drop("_mx_left").schema)
+    return written(others.unionByName(split), name)
+
+
+def _nearest(rows: DataFrame, wanted: Column, name: str) -> DataFrame:
+    """``rows`` (with ``_mx_gap``) of which one further row a source is taken, the ``wanted`` one whose
+    size is nearest to the gap, if that brings the source nearer to its target."""
+    free = (F.col("_mx_more") == 0) & (F.col("size") > 0) & (F.col("size") < 2 * F.col("_mx_gap")) & wanted
+    by = F.struct(F.abs(F.col("size") - F.col("_mx_gap")), "_mx_draw", "size")
+    best = rows.filter(free).groupBy(F.col("source").alias("_mx_s")).agg(F.min(by).alias("_mx_best"))
+    rows = rows.join(best, F.col("source").eqNullSafe(F.col("_mx_s")), "left").drop("_mx_s")
+    found = F.coalesce(free & (by == F.col("_mx_best")), F.lit(False))
+    # Repeated rows tie; one of them is taken.
+    nth = F.row_number().over(Window.partitionBy("source").orderBy("id"))
+    one = rows.filter(found).withColumn("_mx_more", (nth == 1).cast("long"))
+    return written(rows.filter(~found).unionByName(one).drop("_mx_gap", "_mx_best"), name)
+
+
 def taken_rows(rows: DataFrame, targets: DataFrame, seed: int = SEED) -> DataFrame:
     """``rows`` (id, source, size) with source_size, target, ``epochs`` (how often a row is taken)
     and ``taken`` (size times epochs). ``targets``: source, source_size, source_rows, target.
 
     Whole repetitions are the same for all rows of a source. For the fraction, rows stand in the
-    order of a seeded hash, and the first ones that fit into what is left are taken once more, then
-    the one further row whose size is nearest to the gap. The prefix is found from sums per (source,
-    hash bin): bins below the crossing one are taken whole, and only the crossing bin (about
-    ``BIN_ROWS`` rows, or one in ``2 ** BIN_BITS`` of a large source) is sorted by a task.
+    order of a seeded hash. Long rows (above 1 / LONG of the fraction) are decided first, up to their
+    share of the source's words; then the others fill what is left, and after them all rows that still
+    fit, until none does. Last comes the one further row whose size is nearest to the gap. Each pass
+    sums per (source, hash bin); only the bin in which the sum exceeds the gap (about ``BIN_ROWS`` rows,
+    or one in ``2 ** BIN_BITS`` of a large source) is sorted by a task.
     """
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     bits = F.ceil(F.log2(F.greatest(F.col("source_rows") / BIN_ROWS, F.lit(1.0))))
@@ -82,29 +143,23 @@ def taken_rows(rows: DataFrame, targets: DataFrame, seed: int = SEED) -> DataFra
     draw = F.xxhash64(F.col("id").cast("string"), F.lit(seed))
     rows = rows.withColumn("_mx_draw", F.shiftrightunsigned(draw, 64 - BIN_BITS).cast("int"))
     rows = rows.withColumn("_mx_bin", F.expr(f"shiftright(_mx_draw, {BIN_BITS} - _mx_bits)")).withColumn("_mx_draw", draw)
-    sums = rows.groupBy("source", "_mx_bin").agg(F.sum("size").alias("sum"), F.first("_mx_extra").alias("extra"))
-    sums = sums.withColumn("upto", F.sum("sum").over(Window.partitionBy("source").orderBy("_mx_bin")))
-    crossing = sums.filter((F.col("upto") > F.col("extra")) & (F.col("upto") - F.col("sum") <= F.col("extra")))
-    crossing = crossing.filter("sum > 0 and extra > 0").select(
-        F.col("source").alias("_mx_cs"),
-        F.col("_mx_bin").alias("_mx_cross"),
-        (F.col("extra") - (F.col("upto") - F.col("sum"))).alias("_mx_left"),
-    )
-    joined = rows.join(crossing, F.col("source").eqNullSafe(F.col("_mx_cs")), "left").drop("_mx_cs")
-    inside = F.coalesce(F.col("_mx_bin") == F.col("_mx_cross"), F.lit(False))
-    order = Window.partitionBy("source").orderBy("_mx_draw", "id")
-    split = joined.filter(inside)
-    split = split.withColumn("_mx_run", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    first = F.col("_mx_run") <= F.col("_mx_left")
-    gap = F.col("_mx_left") - F.coalesce(F.max(F.when(first, F.col("_mx_run"))).over(Window.partitionBy("source")), F.lit(0))
-    split = split.withColumn("_mx_first", first).withColumn("_mx_gap", gap)
-    nearest = Window.partitionBy("source", "_mx_first").orderBy(F.abs(F.col("size") - F.col("_mx_gap")), "_mx_draw", "id")
-    split = split.withColumn("_mx_rank", F.row_number().over(nearest))
-    fills = ~F.col("_mx_first") & (F.col("_mx_rank") == 1) & (F.col("size") < 2 * F.col("_mx_gap"))
-    split = split.withColumn("_mx_more", (F.col("_mx_first") | fills).cast("long"))
-    split = split.drop("_mx_run", "_mx_first", "_mx_gap", "_mx_rank")
-    below = F.coalesce(F.col("_mx_bin") < F.col("_mx_cross"), F.lit(False))
-    out = joined.filter(~inside).withColumn("_mx_more", below.cast("long")).unionByName(split)
+    is_long = F.col("size") * LONG > F.col("_mx_extra")
+    longs = rows.filter(is_long).groupBy(F.col("source").alias("_mx_s")).agg(F.sum("size").alias("_mx_long"))
+    rows = rows.join(longs, F.col("source").eqNullSafe(F.col("_mx_s")), "left").drop("_mx_s")
+    rows = rows.withColumn("_mx_more", F.lit(0).cast("long"))
+    rows = written(rows.withColumn("_mx_long", F.coalesce("_mx_long", F.lit(0))), "mix-drawn")
+    share = F.when(F.col("source_size") > 0, F.col("_mx_extra") * F.col("_mx_long") / F.col("source_size")).otherwise(0.0)
+    if not rows.filter(is_long & (F.col("_mx_extra") > 0)).isEmpty():
+        rows = _filled(_with_gaps(rows, share), is_long, "mix-long")
+        fits = F.col("size") <= F.col("_mx_gap") + F.col("_mx_extra") - share
+        rows = _nearest(_with_gaps(rows, share), is_long & fits, "mix-long")
+    rows = _filled(_with_gaps(rows), ~is_long, "mix-filled")
+    while True:
+        gaps = _with_gaps(rows)
+        if gaps.filter("_mx_more = 0 AND size > 0 AND size <= _mx_gap").isEmpty():
+            break
+        rows = _filled(gaps, F.lit(True), "mix-filled")
+    out = _nearest(gaps, F.lit(True), "mix-taken")
     out = out.withColumn("epochs", (F.col("_mx_whole") + F.col("_mx_more")).cast("long"))
     out = out.withColumn("taken", F.col("epochs") * F.col("size"))
     return out.select("id", "source", "size", "source_size", "target", "epochs", "taken")

@@ -70,3 +70,18 @@ def test_repeated_keeps_columns(documents, prose):
     for r in out.collect():
         times[r["doc_id"]] += 1
     assert times == {r["doc_id"]: r["epochs"] for r in mixing.mix(docs).collect() if r["epochs"] and r["doc_id"] is not None} | {None: 1}
+
+
+def test_long_documents_leave_no_gap(spark):
+    """A long text in the sample's order neither ends the sample nor is taken far beyond the target."""
+    sizes = {"a": [20000] + [300] * 60, "b": [10000] + [100] * 60, "c": [10000] * 3 + [100] * 60, "d": [9000]}
+    extra = {"a": 15000, "b": 12000, "c": 15000, "d": 5000}
+    rows = [(1000 * i + j, s, n) for i, (s, all_) in enumerate(sizes.items()) for j, n in enumerate(all_)]
+    df = spark.createDataFrame(rows, "id long, source string, size long")
+    targets = [(s, sum(n), len(n), float(extra[s])) for s, n in sizes.items()]
+    targets = spark.createDataFrame(targets, "source string, source_size long, source_rows long, target double")
+    for seed in (1, 2):
+        got = mixing.taken_rows(df, targets, seed=seed).collect()
+        assert len(got) == len(rows)
+        taken = {s: sum(r["taken"] for r in got if r["source"] == s) for s in sizes}
+        assert taken == {"a": 15000, "b": 12000, "c": 15000, "d": 9000}

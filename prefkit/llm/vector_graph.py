@@ -6,7 +6,8 @@ directions. A vector's adjacency lists of all its shards are united. Each vector
 shards' united graph of its nearest centroid: a greedy beam search from medoids, and from whatever
 it finds within the range an expansion along the graph until nothing new is within it. Found pairs
 are verified by their cosine in double precision. A brute-force audit of sampled vectors measures the
-recall; if it is below what is asked, more overlap and a wider beam are tried.
+recall; if it is below what is asked, more overlap and a wider beam are tried. Links that are still
+below ``demanded`` then are not used: the query fails.
 
 Bounds: equal vectors are one class, carried by one of them. A shard of more than ``SHARD_MOST``
 vectors is split by hash into parts, and the cluster's vectors search all parts in blocks, so no
@@ -15,6 +16,7 @@ task holds more than one part and one block, however many vectors lie in one pla
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -39,14 +41,19 @@ class Settings:
     pool: int = 64  # candidates that are pruned to them
     alpha: float = 1.2  # how much nearer a neighbour must be to cover a candidate
     beam: int = 40  # width of the greedy search
-    audited: int = 400  # vectors whose links are found by brute force as well
+    audited: int = 400  # vectors whose links are found by brute force as well, at first
+    audited_most: int = 6400  # the same, while few of them have links
+    linked: int = 100  # of them with links, for the audit to say anything
     recall: float = 0.97  # what the audit asks for
+    demanded: float = 0.9  # below this after the last try the query fails
     tries: int = 3
     seed: int = 20240604
 
 
 #: Vectors of one part of a shard, and of one block of searching vectors.
 SHARD_MOST = 8192
+#: Audited vectors that a batch is compared with at once.
+AUDIT_BLOCK = 512
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -363,29 +370,54 @@ def graph_links(vectors: DataFrame, s: Settings) -> DataFrame:
     return written(tasks.applyInPandas(_search(s), _LINKS).distinct(), "vector-links")
 
 
-def audited_recall(vectors: DataFrame, links: DataFrame, s: Settings) -> tuple[float, int]:
-    """Share of the links of sampled vectors that ``links`` holds, against brute force over all
-    vectors, and the number of true links of the sample. 1.0 without any."""
-    n = vectors.count()
-    draw = F.pmod(F.xxhash64("id", F.lit(s.seed + 1)), F.lit(1 << 20)) / float(1 << 20)
-    rows = vectors.filter(draw < min(1.0, s.audited / max(n, 1))).select("id", "e").collect()
-    if not rows:
-        return 1.0, 0
+def true_links(vectors: DataFrame, sample: DataFrame, s: Settings) -> DataFrame:
+    """(a, b) of all links of the ``sample``'s vectors, by brute force over ``vectors``."""
+    rows = sample.collect()
     held = vectors.sparkSession.sparkContext.broadcast((np.array([r["id"] for r in rows]), unit(np.array([r["e"] for r in rows]))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, q = held.value
         for batch in batches:
             if len(batch):
-                own = batch.column("id").to_numpy()
-                u, v = np.nonzero(unit(_matrix(batch.column("e"))) @ q.T >= s.least)
-                a, b = own[u], ids[v]
-                lo, hi = np.minimum(a, b)[a != b], np.maximum(a, b)[a != b]
-                yield pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], ["a", "b"])
+                own, x = batch.column("id").to_numpy(), unit(_matrix(batch.column("e")))
+                for at in range(0, len(ids), AUDIT_BLOCK):
+                    u, v = np.nonzero(x @ q[at : at + AUDIT_BLOCK].T >= s.least)
+                    a, b = own[u], ids[at + v]
+                    lo, hi = np.minimum(a, b)[a != b], np.maximum(a, b)[a != b]
+                    yield pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], ["a", "b"])
+
+    return written(vectors.select("id", "e").mapInArrow(run, _LINKS).distinct(), "true-links")
+
 
-    true = written(vectors.select("id", "e").mapInArrow(run, _LINKS).distinct(), "true-links")
-    total = true.count()
-    return (true.join(links, ["a", "b"], "left_semi").count() / total if total else 1.0), total
+def audited_recall(vectors: DataFrame, links: DataFrame, s: Settings) -> tuple[float, int]:
+    """Share of its true links that ``links`` holds, averaged over the sampled vectors that have any (so
+    that a crowd does not outweigh pairs), and the number of true links of the sample. 1.0 without any.
+
+    The sample begins with ``audited`` vectors and grows fourfold until ``linked`` of them have links, or
+    it holds all vectors or ``audited_most``; with fewer a warning says how many there were.
+    """
+    n = vectors.count()
+    if not n:
+        return 1.0, 0
+    draw = F.pmod(F.xxhash64("id", F.lit(s.seed + 1)), F.lit(1 << 20)) / float(1 << 20)
+    audited = s.audited
+    while True:
+        sample = vectors.filter(draw < min(1.0, audited / n)).select("id", "e")
+        if not sample.isEmpty():
+            true = true_links(vectors, sample, s)
+            held = true.join(links.select("a", "b").distinct().withColumn("held", F.lit(1.0)), ["a", "b"], "left")
+            ends = held.select(F.explode(F.array("a", "b")).alias("id"), F.coalesce("held", F.lit(0.0)).alias("held"))
+            per = ends.join(sample.select("id"), "id", "left_semi").groupBy("id").agg(F.avg("held").alias("held"))
+            row = per.agg(F.avg("held").alias("recall"), F.count("*").alias("n")).first()
+            found, recall, total = row["n"], row["recall"], true.count()
+        else:
+            found, recall, total = 0, None, 0
+        if found >= s.linked or audited >= min(n, max(s.audited, s.audited_most)):
+            break
+        audited *= 4
+    if found < s.linked and audited < n:
+        warnings.warn(f"the audit of about {audited} of {n} vectors found only {found} with links", stacklevel=2)
+    return (1.0 if recall is None else recall), total
 
 
 def near_duplicate_vectors(
@@ -418,10 +450,14 @@ def near_duplicate_vectors(
     s = settings
     for attempt in range(s.tries):
         links = graph_links(vectors, s)
-        recall, _ = audited_recall(vectors, links, s)
+        recall, audited_links = audited_recall(vectors, links, s)
         if recall >= s.recall:
             break
         s = replace(s, overlap=s.overlap * 2, beam=s.beam * 2)
+    if recall < s.demanded:
+        raise RuntimeError(f"recall {recall:.3f} of {audited_links} audited links after {s.tries} tries, {s.demanded} is demanded")
+    if recall < s.recall:
+        warnings.warn(f"recall {recall:.3f} of {audited_links} audited links after {s.tries} tries, {s.recall} was asked for", stacklevel=2)
     near = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     size = classes.select(F.xxhash64("key").alias("id"), "size", F.col("id").alias("least"))
     counts = near.join(size.select(F.col("id").alias("b"), "size"), "b").groupBy("a").agg(F.sum("size").alias("others"))

@@ -104,3 +104,22 @@ def test_audit_measures_recall(spark):
     assert recall == 0.0 and links == want
     recall, _ = vg.audited_recall(vectors, vg.graph_links(vectors, s), s)
     assert recall >= 0.97
+
+
+def test_audit_counts_vectors_and_grows(spark):
+    """A crowd whose links are all found does not hide lost pairs; a small sample is enlarged."""
+    r = np.random.default_rng(8)
+    x = r.normal(size=(140, 24))
+    x[:40] = x[0] + 0.01 * r.normal(size=(40, 24))
+    x[41:140:2] = x[40:140:2]  # 50 pairs
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, e array<double>")
+    crowd_links = spark.createDataFrame([(a, b) for a in range(40) for b in range(a + 1, 40)], "a long, b long")
+    recall, links = vg.audited_recall(vectors, crowd_links, vg.Settings(audited=5))
+    assert recall == pytest.approx(40 / 140) and links == 40 * 39 // 2 + 50
+
+
+def test_low_recall_fails(spark, monkeypatch):
+    table = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.01])], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(vg, "audited_recall", lambda *_: (0.5, 40))
+    with pytest.raises(RuntimeError, match="0.500 of 40"):
+        vg.near_duplicate_vectors(table, vg.Settings(tries=1))

@@ -90,9 +90,3 @@ def personal(spark, fixture_dir):
     from prefkit.sources import read_personal_ratings
 
     return read_personal_ratings(spark, str(fixture_dir / "personal.csv"))
-
-
-def rows(df, *cols):
-    """Collect ``cols`` of ``df`` as a sorted list of tuples."""
-    sel = df.select(*cols) if cols else df
-    return sorted(tuple(r) for r in sel.collect())

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from prefkit.functions.columns import genre_list
 from prefkit.operators import aggregates as A
 from prefkit.operators import items as I

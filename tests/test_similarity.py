@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from prefkit.operators import similarity as SIM
 
 

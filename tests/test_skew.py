@@ -7,7 +7,7 @@ the fixture; the skewed dataset has one user holding a third of all rows.
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from prefkit.operators import similarity as SIM
 from prefkit.operators.joins import skew_safe_join
 

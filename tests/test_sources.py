@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from frames import rows
 from prefkit import schemas as S
 from prefkit.session import scratch_path
 from prefkit.sources import (

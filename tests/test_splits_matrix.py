@@ -1,4 +1,4 @@
-from conftest import rows
+from frames import rows
 from prefkit.operators import matrix as X
 from prefkit.operators import splits as SP
 

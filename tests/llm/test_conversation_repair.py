@@ -1,0 +1,129 @@
+import heapq
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from prefkit.llm import conversation_repair as R
+
+SCHEMA = "conv_id long, turn long, role string, text string, cost string, rows string"
+AFTER = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+
+
+def cheapest_first(initials, faults):
+    """All repairs in the order of (cost, audit): the first complete one is the best."""
+    heap, done = [(0, "", 0, 0)], set()
+    while True:
+        cost, audit, i, state = heapq.heappop(heap)
+        if (i, state) in done:
+            continue
+        done.add((i, state))
+        if i == len(faults) and state in (0, 3):
+            return cost, audit
+        ours = 3 if state == 2 else 2
+        heapq.heappush(heap, (cost + 2, audit + "I", i, ours))
+        if i < len(faults):
+            heapq.heappush(heap, (cost + 3, audit + "D", i + 1, state))
+            if faults[i] in (R.SOUND, R.CUT):
+                extra = int(faults[i] == R.CUT)
+                heapq.heappush(heap, (cost + 2 + extra, audit + "R", i + 1, ours))
+                if initials[i] in AFTER[state]:
+                    heapq.heappush(heap, (cost + extra, audit + "K", i + 1, AFTER[state][initials[i]]))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_search_against_all_repairs_in_order(seed):
+    r = random.Random(seed)
+    for _ in range(1500):
+        n = r.randint(0, 10)
+        initials = [r.choice("uasux ") for _ in range(n)]
+        faults = [r.choice([0, 0, 0, 0, 1, 2, 3]) for _ in range(n)]
+        assert R.cheapest_edits(initials, faults) == cheapest_first(initials, faults)
+
+
+def test_long_conversations_stay_cheap():
+    """Two hundred thousand rows: nodes and memory in step with the rows."""
+    r = random.Random(3)
+    n = 200_000
+    cost, audit = R.cheapest_edits([r.choice("sua") for _ in range(n)], [r.choice([0, 0, 1, 2]) for _ in range(n)])
+    assert sum(e != "I" for e in audit) == n and cost > 0
+
+
+def spaced(text):
+    return not text.strip(" \t\n\x0b\x0c\r")
+
+
+def brute(rows):
+    talks = defaultdict(list)
+    for conv, turn, role, text in rows:
+        talks[conv].append((turn is not None, turn or 0, " " if role is None else role, " " if text is None else text))
+    out = {}
+    for conv, talk in talks.items():
+        talk.sort()
+        faults, seen = [], set()
+        for _, _, role, text in talk:
+            if spaced(text):
+                faults.append(R.BLANK)
+            elif (role, text) in seen:
+                faults.append(R.REPEATED)
+            else:
+                faults.append(R.SOUND if text.rstrip(" \t\n\x0b\x0c\r")[-1] in ".!?" else R.CUT)
+            seen.add((role, text))
+        turns = {t for known, t, *_ in talk if known}
+        initials = [role[:1] for *_, role, _ in talk]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+        cost, audit = cheapest_first(initials, faults)
+        made, i = [], 0
+        for e in audit:
+            system = bool(made) and made[0][0][:1] == "s"
+            ours = "user" if (len(made) - system) % 2 == 0 else "assistant"
+            if e == "K":
+                made.append((talk[i][2], talk[i][3]))
+            elif e != "D":
+                made.append((ours, talk[i][3] if e == "R" else ""))
+            i += e != "I"
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        out[conv] = (gaps, faults.count(R.BLANK), faults.count(R.REPEATED), faults.count(R.CUT), illegal, cost, audit, made)
+    return out
+
+
+def reports(spark, rows):
+    got = R.repair(spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)).collect()
+    return {r.conv_id: (*list(r)[1:8], [(t.role, t.text) for t in r.repaired]) for r in got}
+
+
+def test_reports_against_brute_force(spark):
+    r = random.Random(8)
+    texts = ["Done.", "Why?", "cut off", "", " \t\n", "a! \n", None, "é.", " ", "x. "]
+    roles = ["user", "assistant", "system", "tool", "", None]
+    rows = [
+        (c, r.choice([None, *range(9)]), r.choice(roles[:3] if r.random() < 0.8 else roles), r.choice(texts))
+        for c in [None, *range(120)]
+        for _ in range(r.randint(1, 7))
+    ]
+    assert reports(spark, rows) == brute(rows)
+
+
+def test_long_texts_ties_and_repeated_rows(spark):
+    rows = [(1, 0, "user", "é" * 3_000_000 + "."), (1, 1, "assistant", "x" * 2_000_000), (2, 5, "user", "b."), (2, 5, "user", "a."), (2, 5, "user", "a.")]
+    rows += [(3, t, ("user", "assistant")[t % 2], f"{t}.") for t in range(2000) if t % 7]
+    found = reports(spark, rows)
+    assert found == brute(rows)
+    assert found[2][:7] == (0, 0, 1, 0, 2, 5, "KDR")
+
+
+def test_empty_table(spark):
+    assert reports(spark, []) == {}
+
+
+def test_damage_follows_the_remainders(spark):
+    rows = [(c, t, "assistant", "One. Two!") for c in range(30) for t in range(6)] + [(None, None, None, None), (7, None, "user", "x")]
+    got = defaultdict(list)
+    for r in R.damaged(spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)).collect():
+        got[r.conv_id, r.turn].append((r.role, r.text))
+    for c, t, role, text in rows:
+        kind = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        want = [("user" if kind == 4 else role, "" if kind == 1 else text.translate({33: None, 46: None, 63: None}) if kind == 2 else text)]
+        assert got[c, t] == ([] if kind == 0 else want * (2 if kind == 3 else 1))

@@ -40,7 +40,7 @@ def parser() -> argparse.ArgumentParser:
     add("genre-top-users", "ratings", "items", k=(int, 5))
     add("matrix-statistics", "ratings", threshold=(int, 300))
     add("item-cf", "ratings", "personal", "items", k=(int, 10), n=(int, 50))
-    add("als", "ratings", "personal", "items", n=(int, 50), parallelism=(int, 1))
+    add("als", "ratings", "personal", "items", n=(int, 50), parallelism=(int, 1), num_blocks=(int, None), trials=(str, None))
     return p
 
 
@@ -56,7 +56,9 @@ def run(args, spark) -> object:
     if args.job == "item-cf":
         return jobs.item_cf_job(spark, args.ratings, args.personal, args.items, args.out, args.k, args.n)
     if args.job == "als":
-        return jobs.als_job(spark, args.ratings, args.personal, args.items, args.out, args.n, args.parallelism)
+        return jobs.als_job(
+            spark, args.ratings, args.personal, args.items, args.out, args.n, args.parallelism, num_blocks=args.num_blocks, trials=args.trials
+        )
     raise ValueError(args.job)
 
 

@@ -23,7 +23,7 @@ from prefkit.operators import similarity as SIM
 from prefkit.operators import splits as SP
 from prefkit.operators import topk as W
 from prefkit.sources import read_items, read_personal_ratings, read_ratings
-from prefkit.session import scratch_path
+from prefkit.session import input_bytes_of, scratch_path
 from prefkit.sources.sinks import write_table
 
 
@@ -101,15 +101,24 @@ def als_job(
     n: int = M.TOP_N,
     parallelism: int = 1,
     stage: bool = True,
+    num_blocks: int | None = None,
+    trials: str | None = None,
 ) -> dict:
     """Split on the timestamp digit, add the target user's rows to training, grid-search ALS,
     test the best model and write the target user's top-n with titles. Written next to these: the
-    trial table and both factor tables of the best model. Returns the best cell and the split sizes."""
+    trial table and both factor tables of the best model. Returns the best cell and the split sizes.
+
+    ``num_blocks`` (user and item blocks) follows from the size of the ratings file unless it is given,
+    and is recorded in the trial rows. ``trials`` names a folder in which finished cells are kept: the job
+    started again with it fits only those that are missing."""
     ratings = _ratings(spark, ratings_path, stage)
+    num_blocks = num_blocks or M.blocks_for(input_bytes_of(spark, ratings_path))
     personal = read_personal_ratings(spark, personal_path)
     train, validation, test = SP.split_frames(ratings)
     training = train.unionByName(personal.select(*train.columns))
-    result = M.grid_search(training, validation, test, parallelism=parallelism)
+    result = M.grid_search(
+        training, validation, test, parallelism=parallelism, num_blocks=num_blocks, trials_path=trials, check_errors=True
+    )
     write_table(result.trials, f"{out.rstrip('/')}/trials")
     users = personal.select(S.USER).distinct()
     recs = M.recommend(result.best_model, users, n=n, items=read_items(spark, items_path))

@@ -216,17 +216,17 @@ FROM (SELECT user_id FROM train UNION SELECT user_id FROM personal)
 UNION ALL
 SELECT 'item', item_id, CAST(10 AS BIGINT), CAST(NULL AS BOOLEAN)
 FROM (SELECT item_id FROM train UNION SELECT item_id FROM personal)""",
-    "als_predict": _WITH + _SEEN + "SELECT user_id, item_id, rating, scored FROM seen",
+    "als_predict": _WITH + _SEEN + "SELECT user_id, item_id, rating, scored, TRUE AS agrees FROM seen",
     "als_evaluate": _WITH + _SEEN + """
-SELECT count(*) FILTER (WHERE scored) AS n_scored, count(*) AS n_total, TRUE AS consistent FROM seen""",
+SELECT count(*) FILTER (WHERE scored) AS n_scored, count(*) AS n_total, TRUE AS consistent, TRUE AS errors_agree FROM seen""",
     "als_grid_search": _WITH + _SEEN + """
 SELECT row_number() OVER (ORDER BY rank, reg, max_iter) - 1 AS grid_pos, rank, max_iter, CAST(10 AS BIGINT) AS num_blocks,
-       reg, n_scored, n_total, TRUE AS best_is_lowest
+       reg, n_scored, n_total, TRUE AS errors_agree, TRUE AS best_is_lowest
 FROM (SELECT unnest([8, 10])::BIGINT AS rank), (SELECT unnest([0.1, 0.2])::DOUBLE AS reg),
      (SELECT unnest([10, 20])::BIGINT AS max_iter),
      (SELECT count(*) FILTER (WHERE scored) AS n_scored, count(*) AS n_total FROM seen)""",
     "als_recommend": _WITH + """
-SELECT u.user_id, r.rank, TRUE AS falling, TRUE AS known
+SELECT u.user_id, r.rank, TRUE AS falling, TRUE AS known, TRUE AS in_exact_top, TRUE AS list_complete
 FROM (SELECT DISTINCT user_id FROM personal) u,
      (SELECT unnest(range(1, 51))::BIGINT AS rank) r,
      (SELECT count(*) AS n FROM (SELECT item_id FROM train UNION SELECT item_id FROM personal)) k

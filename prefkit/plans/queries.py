@@ -22,7 +22,7 @@ from prefkit.operators import matrix as X
 from prefkit.operators import similarity as SIM
 from prefkit.operators import splits as SP
 from prefkit.operators import topk as W
-from prefkit.session import scratch_path
+from prefkit.session import input_bytes_of, scratch_path
 from prefkit.sources import bindings as B
 from prefkit.sources import readers as R
 from prefkit.sources import sinks
@@ -264,19 +264,27 @@ def dedupe_ratings(spark, sf_dir):
 
 
 def _als_splits(spark, sf_dir):
-    community = _community(spark, sf_dir)
-    train, validation, test = SP.split_frames(community)
-    training = train.unionByName(_personal(spark, sf_dir).select(*RATING_COLS))
-    return training, validation, test
+    """Training (the target user's rows included), validation and test. The ratings are bound and
+    labelled in one pass, written once and read from there by the fits and the checks."""
+    path = scratch_path(spark, "als-ratings")
+    rows = SP.split_assignment(B.bind_ratings(spark, sf_dir)).select(*RATING_COLS, "split")
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    own = F.col(S.USER) == B.TARGET_USER
+    training = rows.filter(own | (F.col("split") == "train"))
+    return [d.select(*RATING_COLS) for d in (training, *(rows.filter(~own & (F.col("split") == x)) for x in ("validation", "test")))]
+
+
+def _blocks(spark, sf_dir):
+    """Blocks of a fit, from the size of the tables that the ratings come from."""
+    base = sf_dir.rstrip("/")
+    return M.blocks_for(input_bytes_of(spark, *(f"{base}/{t}.parquet" for t in ("lineitem", "orders"))))
 
 
 def _fitted(spark, sf_dir):
-    """A model, its training rows (written once: the fit and the queries read them) and validation."""
+    """A model, its training rows and the validation rows."""
     training, validation, _ = _als_splits(spark, sf_dir)
-    path = scratch_path(spark, "als-training")
-    training.write.parquet(path)
-    training = spark.read.schema(S.RATINGS).parquet(path)
-    return M.fit_als(training, **ALS_PARAMS), training, validation
+    return M.fit_als(training, **ALS_PARAMS, num_blocks=_blocks(spark, sf_dir)), training, validation
 
 
 def als_factors(spark, sf_dir):
@@ -291,48 +299,69 @@ def als_factors(spark, sf_dir):
 
 
 def als_predict(spark, sf_dir):
-    """Every validation row, and whether it can be scored (user and item seen in training)."""
+    """Every validation row, whether it can be scored (user and item seen in training), and whether its
+    prediction is the product of the two factor vectors."""
     model, _, validation = _fitted(spark, sf_dir)
-    scored = M.predict(model, validation.select(S.USER, S.ITEM, S.RATING))
+    scored = M.dot_scores(model, M.predict(model, validation.select(S.USER, S.ITEM, S.RATING)))
     ids = [F.col(c).cast("bigint").alias(c) for c in (S.USER, S.ITEM)]
-    return scored.select(*ids, S.RATING, (~F.isnan("prediction")).alias("scored"))
+    right = M.agrees(F.col("prediction"), F.col("dot"), F.col("dot_scale"))
+    return scored.select(*ids, S.RATING, (~F.isnan("prediction")).alias("scored"), right.alias("agrees"))
 
 
 def als_evaluate(spark, sf_dir):
-    """Rows scored and in all, and whether the metrics agree with each other."""
+    """Rows scored and in all, whether the metrics agree with each other, and with those of the factors'
+    products."""
     model, _, validation = _fitted(spark, sf_dir)
-    m = M.evaluate(model, validation)
+    m = M.checked_errors(model, validation)
     same = F.abs(F.col("rmse") * F.col("rmse") - F.col("mse")) < 1e-9
     spread = F.abs(F.col("reference_mse") * F.col("n_total") - F.col("mse") * F.col("n_scored")) < 1e-6 * F.col("n_total")
-    return m.select("n_scored", "n_total", (same & spread).alias("consistent"))
+    return m.select("n_scored", "n_total", (same & spread).alias("consistent"), "errors_agree")
 
 
 def als_grid_search(spark, sf_dir):
-    """The trials of the whole grid, and whether exactly one is best and has the lowest error."""
+    """The trials of the whole grid, each with its errors recomputed, and whether the one that is best is
+    the first of those with the lowest error."""
     training, validation, test = _als_splits(spark, sf_dir)
-    trials = M.grid_search(training, validation, test, parallelism=GRID_PARALLELISM).trials
-    lowest = trials.agg(
-        ((F.count_if("is_best") == 1) & (F.min("rmse") == F.min(F.when(F.col("is_best"), F.col("rmse"))))).alias("ok")
-    )
+    trials = M.grid_search(
+        training,
+        validation,
+        test,
+        num_blocks=_blocks(spark, sf_dir),
+        parallelism=GRID_PARALLELISM,
+        reliable_inputs=False,  # read from the written ratings
+        trials_path=scratch_path(spark, "als-trials"),
+        check_errors=True,
+    ).trials
+    first = F.min_by("grid_pos", F.struct("rmse", "grid_pos"))
+    best = trials.agg(((F.count_if("is_best") == 1) & (first == F.min(F.when(F.col("is_best"), F.col("grid_pos"))))).alias("ok"))
     return trials.select(
         *(F.col(c).cast("bigint").alias(c) for c in ("grid_pos", "rank", "max_iter", "num_blocks")),
         "reg",
         "n_scored",
         "n_total",
-        lowest.scalar().alias("best_is_lowest"),
+        "errors_agree",
+        best.scalar().alias("best_is_lowest"),
     )
 
 
 def als_recommend(spark, sf_dir):
-    """The target user's list: gap-free ranks, falling predictions, items of the training rows."""
+    """The target user's list: gap-free ranks, falling predictions, items of the training rows, each one of
+    the exact best 50 and none of these missing."""
     model, training, _ = _fitted(spark, sf_dir)
     users = _personal(spark, sf_dir).select(S.USER).distinct()
     recs = M.recommend(model, users, n=M.TOP_N, items=_items(spark, sf_dir))
+    recs = M.checked_recommendations(recs, model, B.TARGET_USER, n=M.TOP_N)
     before = F.lag("prediction").over(Window.partitionBy(S.USER).orderBy("rank"))
     known = training.select(S.ITEM).distinct().withColumn("_known", F.lit(True))
-    return recs.withColumn("falling", F.coalesce(F.col("prediction") <= before, F.lit(True))).join(
-        known, on=S.ITEM, how="left"
-    ).select(F.col(S.USER).cast("bigint").alias(S.USER), "rank", "falling", F.coalesce("_known", F.lit(False)).alias("known"))
+    recs = recs.withColumn("falling", F.coalesce(F.col("prediction") <= before, F.lit(True))).join(known, on=S.ITEM, how="left")
+    return recs.select(
+        F.col(S.USER).cast("bigint").alias(S.USER),
+        "rank",
+        "falling",
+        F.coalesce("_known", F.lit(False)).alias("known"),
+        "in_exact_top",
+        "list_complete",
+    )
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -29,11 +29,13 @@ def item_column_summary(ratings: DataFrame, dedupe: bool = True) -> DataFrame:
 
     A matrix cell holds one value, so duplicate (user, item) rows are first reduced to the
     latest one (``dedupe=True``, rule D11). N (number of rows) is a scalar subquery of the same
-    plan: nothing runs before the result is asked for.
+    plan: nothing runs before the result is asked for, and the ratings are read once.
     """
     m = dedupe_ratings(ratings) if dedupe else ratings
-    # Deduplication keeps every user, so N is counted on the input rows directly.
-    n = ratings.select(S.USER).distinct().agg(F.count(S.USER).alias("n")).scalar()
+    # Users with any number of ratings. The number keeps the rating in the subquery's plan, whose exchange is
+    # then the one that the deduplication makes anyway and is reused.
+    users = m.groupBy(S.USER).agg(F.count(S.RATING).alias("k"))
+    n = users.agg(F.count_if(F.col(S.USER).isNotNull() & (F.col("k") >= 0)).alias("n")).scalar()
     v = F.col(S.RATING)
     per_item = m.groupBy(S.ITEM).agg(
         F.count_if(v != 0).alias("nnz"),
@@ -60,7 +62,24 @@ def item_column_summary(ratings: DataFrame, dedupe: bool = True) -> DataFrame:
 
 
 def popular_items(ratings: DataFrame, threshold: int = 300, dedupe: bool = True) -> DataFrame:
-    """Items whose non-zero count is strictly above ``threshold``, in item order."""
-    m = dedupe_ratings(ratings) if dedupe else ratings
-    nnz = m.groupBy(S.ITEM).agg(F.count_if(F.col(S.RATING) != 0).alias("nnz"))
+    """Items whose non-zero count is strictly above ``threshold``, in item order.
+
+    Of a (user, item) the latest row counts, the highest rating of equal times (as in
+    ``dedupe_ratings``). Only whether it is zero matters, so the pair keeps three times instead of rows: of its
+    last row above, at and below zero. These are plain numbers, which are aggregated by hash without
+    sorting the ratings first."""
+    nonzero = F.col(S.RATING) != 0
+    if dedupe:
+        # No time is before every time.
+        at = F.coalesce(F.col(S.TS), F.lit(-(2**63)))
+        latest = lambda which: F.max(F.when(which, at))
+        v = F.col(S.RATING)
+        m = ratings.groupBy(S.USER, S.ITEM).agg(
+            F.max(at).alias("_t"), latest(v > 0).alias("_up"), latest(v == 0).alias("_zero"), latest(v < 0).alias("_down")
+        )
+        below = (F.col("_down") == F.col("_t")) & ~F.coalesce(F.col("_zero") == F.col("_t"), F.lit(False))
+        nonzero = (F.col("_up") == F.col("_t")) | below
+    else:
+        m = ratings
+    nnz = m.groupBy(S.ITEM).agg(F.count_if(nonzero).alias("nnz"))
     return nnz.filter(F.col("nnz") > threshold).orderBy(S.ITEM)

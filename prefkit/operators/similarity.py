@@ -9,10 +9,10 @@ user's rows; r(u, .) uses the latest rating of a duplicated (user, item) (rule D
 prediction for item j is sum(sim * p(i)) / sum(|sim|) over j's ``k`` most similar seeds, p(i)
 being the target user's rating; it is not mean-restored, so values may leave the rating scale.
 
-Plan: dedupe and user statistics are aggregations (partial before the shuffle), so a group of copies
-of one (user, item) is collapsed by the tasks that read it; that is why the user self-join has an
-exchange of its own and does not share the one of the dedupe. The seed-side rows (few per user)
-carry the user mean. A user gets as many salts as the pairs that the self-join gives for them need
+Plan: one pass over the ratings collapses them to a row per (user, item) with the latest rating and
+what the user's mean needs of all copies (an aggregation, partial before the shuffle, so a group of
+copies is collapsed by the tasks that read it). That table is written once; the seed side, the user means and
+the hot users are read from it. The seed-side rows (few per user) carry the user mean. A user gets as many salts as the pairs that the self-join gives for them need
 (their rows times the seeds they rated), so neither a user with a third of all rows nor one with
 many seeds is one task. Nothing is collected.
 """
@@ -27,6 +27,7 @@ from prefkit.functions.columns import safe_div
 from prefkit.operators.items import attach_titles
 from prefkit.operators.joins import DEFAULT_ROWS_PER_TASK, hot_keys, skew_safe_join
 from prefkit.operators.topk import top_k
+from prefkit.session import stored
 
 SEED = "seed_id"
 
@@ -44,6 +45,23 @@ def dedupe_ratings(ratings: DataFrame) -> DataFrame:
     )
 
 
+def collapsed_ratings(ratings: DataFrame) -> DataFrame:
+    """``dedupe_ratings`` with the sum (``rating_sum``) and number (``n_rated``) of all ratings of the pair:
+    whatever is asked per user or per pair of all rows follows from these rows."""
+    last = F.max(F.struct(F.col(S.TS), F.col(S.RATING))).alias("_last")
+    pairs = ratings.groupBy(S.USER, S.ITEM).agg(
+        last, F.sum(S.RATING).alias("rating_sum"), F.count(S.RATING).alias("n_rated")
+    )
+    return pairs.select(
+        S.USER,
+        S.ITEM,
+        F.col("_last." + S.RATING).alias(S.RATING),
+        F.col("_last." + S.TS).alias(S.TS),
+        "rating_sum",
+        "n_rated",
+    )
+
+
 def user_stats(ratings: DataFrame) -> DataFrame:
     """Per user: mean of all their rows (``user_mean``) and row count ``n`` (used to find hot users)."""
     return ratings.groupBy(S.USER).agg(F.avg(S.RATING).alias("user_mean"), F.count(F.lit(1)).alias("n"))
@@ -78,28 +96,27 @@ def co_rated_pairs(
     ratings: DataFrame, personal: DataFrame, rows_per_task: int = DEFAULT_ROWS_PER_TASK
 ) -> DataFrame:
     """(user_id, seed_id, item_id, a, b) for every user who rated seed i and item j, j = i
-    included (J7). One join replaces the reference's per-seed loop of unions (U2).
+    included (J7). One join replaces the reference's per-seed loop of unions (U2). The collapsed ratings
+    are written when this is called (one pass over ``ratings``); the rest runs when it is asked for.
 
     The seed side (each user's ratings of seed items, with the user's mean attached) is replicated
     once per salt of its user; the user's full rating list is split by a hash of the item.
     ``rows_per_task`` is the number of pairs that one salt may give.
     """
-    # Deduplication is per (user, item), so the seed items' rows can be picked before it.
-    seed_side = dedupe_ratings(raters_of_seeds(ratings, personal)).select(
-        S.USER, F.col(S.ITEM).alias(SEED), F.col(S.RATING).alias("_ri")
-    )
-    stats = user_stats(ratings)
+    pairs = stored(collapsed_ratings(ratings), "rated-pairs")
+    seed_side = raters_of_seeds(pairs, personal).select(S.USER, F.col(S.ITEM).alias(SEED), F.col(S.RATING).alias("_ri"))
+    mean = safe_div(F.sum("rating_sum"), F.sum("n_rated")).alias("user_mean")
+    stats = pairs.groupBy(S.USER).agg(mean, F.count(F.lit(1)).alias("n"))
     seeds_rated = seed_side.groupBy(S.USER).agg(F.count(F.lit(1)).alias("_m"))
     work = stats.join(seeds_rated, on=S.USER).select(S.USER, (F.col("n") * F.col("_m")).alias("n"))
     hot = hot_keys(work, S.USER, rows_per_task)
     nsalt = F.coalesce(F.col("_nsalt"), F.lit(1))
     salt = F.pmod(F.xxhash64(S.ITEM), nsalt).cast("int")
-    latest = dedupe_ratings(ratings).select(S.USER, S.ITEM, S.RATING)
-    latest = latest.join(hot, on=S.USER, how="left").withColumn("_salt", salt).drop("_nsalt")
+    latest = pairs.select(S.USER, S.ITEM, S.RATING).join(hot, on=S.USER, how="left").withColumn("_salt", salt).drop("_nsalt")
     seed_side = seed_side.join(stats.select(S.USER, "user_mean"), on=S.USER).join(hot, on=S.USER, how="left")
     seed_side = seed_side.withColumn("_salt", F.explode(F.sequence(F.lit(0), nsalt - 1))).drop("_nsalt")
-    pairs = latest.join(seed_side, on=[S.USER, "_salt"])
-    return pairs.select(
+    both = latest.join(seed_side, on=[S.USER, "_salt"])
+    return both.select(
         S.USER,
         SEED,
         S.ITEM,

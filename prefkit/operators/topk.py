@@ -16,6 +16,7 @@ from prefkit import schemas as S
 from prefkit.functions.columns import genre_list
 from prefkit.operators.aggregates import genre_user_stats, ratings_per_item, user_rating_totals
 from prefkit.operators.items import items_with_genres
+from prefkit.session import stored
 
 
 def top_k(
@@ -55,18 +56,23 @@ def genre_top_items_packed(ratings: DataFrame, items: DataFrame, k: int = 5) ->
     return top.groupBy(S.GENRE).agg(F.concat_ws(", ", text).alias("top_items"))
 
 
+def genre_ranked_users(ratings: DataFrame, items: DataFrame, k: int = 5) -> DataFrame:
+    """The k users with most ratings per genre (W2) with their genre average: count descending, then user id
+    ascending compared **as text** (``"10"`` before ``"2"``), as the reference compares string ids."""
+    stats = genre_user_stats(ratings, items)
+    return top_k(stats, [S.GENRE], [F.col("n_ratings").desc(), F.col(S.USER).cast("string").asc()], k)
+
+
 def genre_top_users(ratings: DataFrame, items: DataFrame, k: int = 5) -> DataFrame:
-    """The k users with most ratings per genre (W2), with their genre average and their overall
-    average and count (J4).
+    """``genre_ranked_users`` with their overall average and count.
 
-    Order: count descending, then user id ascending compared **as text** (``"10"`` before
-    ``"2"``), as the reference compares string ids. Overall totals are aggregated per user (one row
-    per user and task crosses the exchange) and joined to the ranked rows, k per genre, which
-    adaptive execution broadcasts.
+    The ranked rows, k per genre, are written when this
+    is called; Spark knows their size and filters the ratings by them (broadcast while they are small),
+    so that totals are summed for the ranked users only.
     """
-    stats = genre_user_stats(ratings, items)
-    top = top_k(stats, [S.GENRE], [F.col("n_ratings").desc(), F.col(S.USER).cast("string").asc()], k)
-    totals = user_rating_totals(ratings).select(
+    top = stored(genre_ranked_users(ratings, items, k), "top-users")
+    of_ranked = ratings.select(S.USER, S.RATING).join(top.select(S.USER).distinct(), on=S.USER, how="left_semi")
+    totals = user_rating_totals(of_ranked).select(
         S.USER, F.col("avg_rating").alias("overall_avg"), F.col("n_ratings").alias("overall_n")
     )
     return top.join(totals, on=S.USER).select(

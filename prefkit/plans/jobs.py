@@ -23,22 +23,20 @@ from prefkit.operators import similarity as SIM
 from prefkit.operators import splits as SP
 from prefkit.operators import topk as W
 from prefkit.sources import read_items, read_personal_ratings, read_ratings
-from prefkit.session import input_bytes_of, scratch_path
+from prefkit.session import input_bytes_of, stored
 from prefkit.sources.sinks import write_table
 
 
-def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def _staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a parquet table in the shared folder and read it back. Jobs that scan
     their ratings several times then parse the CSV once, and their lineage starts at a reliable
     columnar table."""
-    path = scratch_path(spark, f"staged-{name}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return stored(df, f"staged-{name}")
 
 
 def _ratings(spark: SparkSession, path: str, stage: bool) -> DataFrame:
     r = read_ratings(spark, path)
-    return _staged(spark, r, "ratings") if stage else r
+    return _staged(r, "ratings") if stage else r
 
 
 def genre_average_job(spark: SparkSession, ratings_path: str, items_path: str, out: str) -> DataFrame:

@@ -34,7 +34,7 @@ PRED_DIGITS = 6
 POPULAR_THRESHOLD = 40
 RESPONSE_TS = 1_000_000_000
 ALS_PARAMS = dict(rank=10, max_iter=10, reg=0.1, seed=42)
-GRID_PARALLELISM = 4  # concurrent fits in the grid search (results do not depend on it)
+GRID_PARALLELISM = 8  # concurrent fits in the grid search (results do not depend on it)
 
 RATING_COLS = [S.USER, S.ITEM, S.RATING, S.TS]
 

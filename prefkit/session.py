@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings that matter for these jobs. AQE coalesces the small post-aggregation
 # partitions, splits skewed join partitions (a hot user or item) and turns joins whose runtime
@@ -115,6 +115,14 @@ def input_bytes_of(spark: SparkSession, *paths: str) -> int:
     return total
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read from there: what several parts of a
+    plan use is computed once, and after a lost executor it is read again instead of made again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-path of the shared folder for one written table."""
     base = shared_dir(spark).rstrip("/")

@@ -54,3 +54,32 @@ def test_explicit_zero_and_duplicates(spark):
 def test_popular_items_strict(ratings):
     assert rows(X.popular_items(ratings, threshold=2), "item_id", "nnz") == [(1, 3), (3, 3), (6, 3)]
     assert rows(X.popular_items(ratings, threshold=3)) == []
+
+
+def test_popular_items_against_the_deduplicated_rows(spark):
+    """Zero, negative, missing and NaN ratings, equal and missing times."""
+    import itertools
+
+    from pyspark.sql import functions as F
+
+    from prefkit.operators import matrix as X
+    from prefkit.operators import similarity as SIM
+
+    values, times = (None, 0.0, 2.0, -1.0, float("nan")), (None, 1, 2)
+    cells = list(itertools.product(values, times))
+    data, user = [], 0
+    for pair in itertools.product(cells, cells):
+        user += 1
+        data += [(user, user % 3, v, t) for v, t in pair]
+    ratings = spark.createDataFrame(data, "user_id bigint, item_id bigint, rating double, ts bigint")
+    want = SIM.dedupe_ratings(ratings).groupBy("item_id").agg(F.count_if(F.col("rating") != 0).alias("nnz"))
+    got = X.popular_items(ratings, threshold=0).collect()
+    assert [tuple(r) for r in got] == sorted(tuple(r) for r in want.filter("nnz > 0").collect())
+    plain = X.popular_items(ratings, threshold=0, dedupe=False).collect()
+    assert sum(r.nnz for r in plain) == ratings.filter("rating <> 0").count()
+
+
+def test_counts_of_an_empty_table(spark, ratings):
+    from prefkit.operators import aggregates as A
+
+    assert tuple(A.dataset_counts(ratings.limit(0)).first()) == (0, 0, 0)

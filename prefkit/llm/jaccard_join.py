@@ -37,8 +37,13 @@ COUNTER_BITS = 22
 #: A set's profile: which of PROFILE hash classes hold at least 1, 2, .. PLANES of its tokens (bits,
 #: 64 to a number), and how many tokens lie beyond that.
 PROFILE, PLANES = 128, 8
-#: Up to so many undecided keys a set carries their list, so that a pair is met under one of them only.
-LISTED_KEYS = 256
+#: Undecided keys with more sets than this are crowded: their sets carry what spares pairs early.
+CROWDED = 32
+#: Crowded keys (the least ones) that a set lists. A pair is not met under a key when both sets list a lesser
+#: one: under its least common key it is always met, and mostly under no other.
+LISTED_KEYS = 16
+#: Rounds in which only a few of the undecided pairs of each set are verified before all the others.
+NARROWING = 2
 #: Pivots that a set is compared with at first, those that it shares most keys with.
 FIRST_PIVOTS = 3
 #: Bits of the map that tells a scan which documents are needed (4 MiB).
@@ -322,8 +327,9 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (key[-1], fp[-1], n[-1], (pivot[-1], pivot_n[-1]) if more else None)
 
 
-def _needed(bitmap, bits: int):
-    """Rows whose hashed id is set in the bitmap (all that are needed, and a few others)."""
+def _needed(bitmap, width: int):
+    """Rows whose hashed id is set in the bitmap (all that are needed, and a few others), with the
+    fingerprint of their set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.frombuffer(bitmap.value, np.uint8)
@@ -331,7 +337,11 @@ def _needed(bitmap, bits: int):
             h = batch.column("slot").to_numpy().astype(np.int64)
             hit = (held[h >> 3] >> (h & 7).astype(np.uint8)) & 1
             batch = batch.filter(pa.array(hit.astype(bool)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text")], ["doc_id", "text"])
+            ids, texts = batch.column("doc_id"), batch.column("text")
+            for first, data, offsets in byte_blocks(texts):
+                fps = _signed(set_prints(*shingle_sets(data, offsets, width)))
+                columns = [ids.slice(first, len(fps)), pa.array(fps), texts.slice(first, len(fps))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "text"])
 
     return run
 
@@ -371,7 +381,8 @@ class JaccardJoin:
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def sets(self) -> DataFrame:
-        """doc_id, n, fp of every row; leaves the counters and the classes of equal sets."""
+        """doc_id, n, fp of every row; leaves the counters and the classes of equal sets: fp (which names the
+        class), n, rep (the least doc_id), profile."""
         made = written(self.docs.mapInArrow(_sets(self.width, self.bits), _SETS), "shingle-sets")
         counters = token_counters(made.filter("block IS NOT NULL"), self.bits)
         mean = counters.sum() / len(counters)
@@ -379,23 +390,19 @@ class JaccardJoin:
         counters = np.minimum(counters, np.iinfo(np.int32).max).astype(np.int32)
         self.prefixes = Prefixes(self.num, self.den, counters, frequent)
         rows = made.filter("block IS NULL")
-        classes = rows.filter("n > 0").groupBy("fp", "n")
-        classes = classes.agg(F.min("doc_id").alias("rep"), F.first("profile").alias("profile"))
+        classes = rows.filter("n > 0").groupBy("fp")
+        classes = classes.agg(F.first("n").alias("n"), F.min("doc_id").alias("rep"), F.first("profile").alias("profile"))
         self.classes = written(classes, "shingle-classes")
         return rows.select("doc_id", "n", "fp")
 
     def members(self) -> DataFrame:
-        """(key, a, n, pivot, pivot_n) of the keys that several sets share, sets named by their
-        class's least doc_id."""
+        """(key, a, n, b, b_n) of the keys that several sets share: b is the key's pivot."""
         held = self.spark.sparkContext.broadcast(self.prefixes)
         keys = self.docs.mapInArrow(_index(self.width, held), _KEYS)
         dealt = keys.repartition(shuffle_partitions(self.spark), "deal").sortWithinPartitions("local", "key", "fp")
         met = dealt.mapInArrow(_met, "key long, fp long, n int, pivot long, pivot_n int")
-        met = written(met, "shared-keys")
-        own = self.classes.select("fp", "n", F.col("rep").alias("a"))
-        others = self.classes.select(F.col("fp").alias("pivot"), F.col("n").alias("pivot_n"), F.col("rep").alias("b"))
-        named = met.join(own, ["fp", "n"]).join(others, ["pivot", "pivot_n"])
-        return written(named.select("key", "a", "n", "b", F.col("pivot_n").alias("b_n")), "key-members")
+        named = met.select("key", F.col("fp").alias("a"), "n", F.col("pivot").alias("b"), F.col("pivot_n").alias("b_n"))
+        return written(named, "key-members")
 
     def sizes_fit(self, a: str, b: str) -> Column:
         low, high = F.least(a, b).cast("long"), F.greatest(a, b).cast("long")
@@ -413,10 +420,12 @@ class JaccardJoin:
         return most * (self.num + self.den) >= sizes * self.num
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose complete sets are similar enough."""
+        """The pairs (a, b) of classes whose complete sets are similar enough. A class without any doc_id
+        cannot be read again and is linked with nothing."""
         slots = 1 << NEEDED_BITS
         slot = F.pmod(F.xxhash64("doc_id"), F.lit(slots))
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        ids = pairs.select("a").unionAll(pairs.select("b")).distinct().withColumnRenamed("a", "fp")
+        ids = ids.join(self.classes.select("fp", F.col("rep").alias("doc_id")), "fp").filter("doc_id IS NOT NULL")
         ids = written(ids, "compared-ids")
         # 32,768 slots in each bitmap, so 2 ** NEEDED_BITS / 32,768 rows of 4 KiB at most.
         maps = ids.groupBy(F.bitmap_bucket_number(slot + 1).alias("k"))
@@ -426,15 +435,15 @@ class JaccardJoin:
             at = (row["k"] - 1) * 4096
             bitmap[at : at + len(row["m"])] = row["m"]
         held = self.spark.sparkContext.broadcast(bytes(bitmap))
-        found = self.docs.withColumn("slot", slot).mapInArrow(_needed(held, NEEDED_BITS), "doc_id long, text string")
-        # A repeated doc_id: the class's set decides, so any row of that id with such a set would do.
-        texts = written(found.join(ids, "doc_id").dropDuplicates(["doc_id"]), "compared-texts")
+        found = self.docs.withColumn("slot", slot).mapInArrow(_needed(held, self.width), "doc_id long, fp long, text string")
+        # Of the rows with that doc_id those with the class's set; they are alike for the comparison.
+        texts = written(found.join(ids, ["doc_id", "fp"]).dropDuplicates(["fp"]).select("fp", "text"), "compared-texts")
         shares = pairs.groupBy("b").agg(F.ceil(F.count("*") / PIVOT_SHARE).cast("int").alias("shares"))
         shares = written(shares, "pivot-shares")
         part = F.pmod(F.xxhash64("a"), F.col("shares")).cast("int")
-        text_a = texts.withColumnRenamed("doc_id", "a")
+        text_a = texts.withColumnRenamed("fp", "a")
         members = pairs.join(shares, "b").select("b", part.alias("part"), "a").join(text_a, "a")
-        pivots = shares.join(texts.withColumnRenamed("doc_id", "b"), "b")
+        pivots = shares.join(texts.withColumnRenamed("fp", "b"), "b")
         pivots = pivots.select("b", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("part"), "text")
         rows = members.unionByName(pivots.withColumn("a", F.lit(None).cast("long")))
         dealt = rows.repartition(shuffle_partitions(self.spark), "b", "part")
@@ -444,7 +453,7 @@ class JaccardJoin:
     def links(self) -> DataFrame:
         """Links between classes: enough of them to give the components of all of them."""
         members = self.members()
-        profiles = self.classes.select(F.col("rep").alias("a"), F.col("n"), F.col("profile"))
+        profiles = self.classes.select(F.col("fp").alias("a"), F.col("n"), F.col("profile"))
         others = profiles.select(F.col("a").alias("b"), F.col("n").alias("b_n"), F.col("profile").alias("b_profile"))
         stars = members.filter(F.col("a") != F.col("b")).filter(self.sizes_fit("n", "b_n"))
         shared = stars.groupBy("a", "b").agg(F.count("*").alias("keys"))
@@ -462,39 +471,74 @@ class JaccardJoin:
         largest = counts.groupBy("key").agg(
             F.max(F.struct("count", "component")).alias("m"), F.count("*").alias("parts"), F.sum("count").alias("size")
         )
+        undecided = written(largest.filter("parts > 1").select("key", F.col("m.component").alias("main"), "size"), "mixed-keys")
+        pairs = self.sparse_pairs(sets.join(undecided.filter(F.col("size") <= CROWDED).select("key"), "key"), profiles, others)
+        pairs = pairs.unionByName(self.crowded_pairs(sets, undecided.filter(F.col("size") > CROWDED), profiles))
+        tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        pairs = written(pairs.distinct(), "apart-pairs").join(tried, ["a", "b"], "left_anti")
+        return self.settled(links, written(pairs, "untried-pairs"))
+
+    def sparse_pairs(self, sets: DataFrame, profiles: DataFrame, others: DataFrame) -> DataFrame:
+        """Pairs (a < b) of different components under keys that few sets share: ids meet, and profiles
+        are looked up once for each distinct pair."""
+        sets = written(sets.select("key", "a", "n", "component"), "sparse-sets")
+        right = sets.withColumnsRenamed({"a": "b", "n": "b_n", "component": "other"})
+        met = sets.join(right, "key").filter("a < b AND component != other").filter(self.sizes_fit("n", "b_n"))
+        met = written(met.select("a", "b").distinct(), "sparse-pairs")
+        met = met.join(profiles, "a").join(others, "b")
+        return met.filter(self.profiles_fit("n", "b_n", "profile", "b_profile")).select("a", "b")
+
+    def crowded_pairs(self, sets: DataFrame, keys: DataFrame, profiles: DataFrame) -> DataFrame:
+        """Pairs (a < b) of different components under keys that many sets share. Sizes, profiles and
+        lists of keys are compared where the sets meet, so that few of the pairs leave the join."""
         shares = F.ceil(F.col("size") / KEY_SHARE).cast("int").alias("shares")
-        mixed_keys = largest.filter("parts > 1").select("key", F.col("m.component").alias("main"), shares)
-        rest = written(sets.join(mixed_keys, "key"), "mixed-sets")
-        # A pair is met under the least of its common keys, where both sets list theirs.
-        listed = rest.groupBy("a").agg(F.count("*").alias("c"))
-        listed = rest.join(listed.filter(F.col("c") <= LISTED_KEYS).select("a"), "a").groupBy("a")
-        listed = listed.agg(F.collect_list("key").alias("keys"))
-        rest = rest.join(profiles.drop("n"), "a").join(listed, "a", "left")
+        rest = written(sets.join(keys.select("key", "main", shares), "key"), "crowded-sets")
+        listed = rest.groupBy("a").agg(F.slice(F.sort_array(F.collect_list("key")), 1, LISTED_KEYS).alias("keys"))
+        rest = rest.join(profiles.drop("n"), "a").join(listed, "a")
         # Few bytes and many pairs: a key's sets are dealt to shares, and the number of tasks is fixed.
         names = {"a": "b", "n": "b_n", "component": "other", "profile": "b_profile", "keys": "b_keys"}
         right = rest.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
         right = right.drop("main", "shares").withColumnsRenamed(names)
         left = rest.filter("component != main").withColumn("share", F.pmod(F.xxhash64("a"), F.col("shares")).cast("int"))
         tasks = shuffle_partitions(self.spark)
-        left = left.drop("main", "shares").repartition(tasks, "key", "share")
+        left = left.drop("shares").repartition(tasks, "key", "share")
         right = right.repartition(tasks, "key", "share")
-        first = F.array_min(F.array_intersect("keys", "b_keys")) == left["key"]
+        first = F.array_min(F.array_intersect("keys", "b_keys")) >= left["key"]
         apart = left.join(
             right,
             (left["key"] == right["key"])
             & (left["share"] == right["share"])
             & (F.col("component") != F.col("other"))
+            # Of two sets outside the key's main component each is on either side.
+            & ((F.col("other") == F.col("main")) | (F.col("a") < F.col("b")))
             & self.sizes_fit("n", "b_n")
             & self.profiles_fit("n", "b_n", "profile", "b_profile")
             & F.coalesce(first, F.lit(True)),
         )
-        pairs = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = written(pairs.distinct(), "apart-pairs").join(tried, ["a", "b"], "left_anti")
-        pairs = written(pairs, "untried-pairs")
-        if pairs.isEmpty():
-            return links
-        return links.unionByName(self.verified(pairs))
+        return apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    def settled(self, links: DataFrame, pairs: DataFrame) -> DataFrame:
+        """``links`` with those among ``pairs``, as far as they join components. A few pairs of each set are
+        verified first; pairs that this puts into one component need no comparison."""
+        for last in [False] * NARROWING + [True]:
+            if pairs.isEmpty():
+                break
+            some = pairs
+            if not last:
+                by = F.xxhash64("a", "b")
+                of_a = F.row_number().over(Window.partitionBy("a").orderBy(by))
+                of_b = F.row_number().over(Window.partitionBy("b").orderBy(by))
+                some = pairs.withColumn("i", of_a).withColumn("j", of_b)
+                some = written(some.filter(F.least("i", "j") <= FIRST_PIVOTS).select("a", "b"), "narrow-pairs")
+            links = written(links.unionByName(self.verified(some)), "links-so-far")
+            if not last:
+                found = written(components(links), "components-so-far")
+                own = found.select(F.col("id").alias("a"), F.col("component").alias("c"))
+                far = found.select(F.col("id").alias("b"), F.col("component").alias("d"))
+                pairs = pairs.join(some, ["a", "b"], "left_anti").join(own, "a", "left").join(far, "b", "left")
+                apart = F.coalesce("c", "a") != F.coalesce("d", "b")
+                pairs = written(pairs.filter(apart).select("a", "b"), "pairs-apart")
+        return links
 
 
 def jaccard_components(
@@ -515,10 +559,12 @@ def jaccard_components(
     """
     join = JaccardJoin(docs, width, num, den, id_col, text_col, bits)
     rows = join.sets()
-    found = components(join.links()).withColumnRenamed("id", "rep")
-    named = join.classes.join(found, "rep", "left")
-    named = named.select("fp", "n", F.coalesce("component", "rep").alias("component_id"))
-    out = rows.join(named, ["fp", "n"], "left")
+    found = components(join.links()).withColumnRenamed("id", "fp")
+    classes = join.classes.select("fp", "rep").join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    classes = written(classes, "class-components")
+    least = classes.groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = classes.join(least, "component").select("fp", "component_id")
+    out = rows.join(named, "fp", "left")
     return out.select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )

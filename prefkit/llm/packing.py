@@ -15,7 +15,6 @@ from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -170,18 +169,19 @@ def packed_group(lengths: list[int], capacity: int, effort: int = EFFORT) -> lis
 
 
 def _pack(capacity: int, level: int):
-    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "doc_id", "piece"], kind="stable").reset_index(drop=True)
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        group = group.sort_by([("length", "ascending"), ("doc_id", "ascending"), ("piece", "ascending")])
         length = group["length"].to_numpy()
         order, seq, offset, sparse = [], [], [], []
         for b, members in enumerate(packed_group(length.tolist(), capacity)):
             ends = np.cumsum(length[members])
             order += members
-            seq += [(level << 56) + (int(key[0]) << 24) + b] * len(members)
+            seq += [(level << 56) + (key[0].as_py() << 24) + b] * len(members)
             offset += (ends - length[members]).tolist()
             sparse += [bool(ends[-1] < (1 - SPARSE) * capacity)] * len(members)
-        out = group.iloc[order][["doc_id", "piece", "start", "length", "ids_crc32"]]
-        return out.assign(sequence_id=seq, offset=offset, sparse=sparse)
+        out = group.select(["doc_id", "piece", "start", "length", "ids_crc32"]).take(pa.array(order, pa.int64()))
+        out = out.append_column("sequence_id", pa.array(seq, pa.int64())).append_column("offset", pa.array(offset, pa.int64()))
+        return out.append_column("sparse", pa.array(sparse, pa.bool_()))
 
     return run
 
@@ -195,7 +195,7 @@ def pack_pieces(rows: DataFrame, length: int = LENGTH, group_pieces: int = GROUP
         # The position in the written files spreads equal rows too.
         spread = F.xxhash64("doc_id", "piece", "start", F.monotonically_increasing_id())
         dealt = rows.withColumn("g", F.pmod(spread, F.lit(groups)))
-        packed = written(dealt.groupBy("g").applyInPandas(_pack(length, level), _PACKED), f"packed{level}")
+        packed = written(dealt.groupBy("g").applyInArrow(_pack(length, level), _PACKED), f"packed{level}")
         left = packed.filter("sparse").count() if groups > 1 else 0
         # Another round pays while its pieces fit into fewer groups.
         if not left or -(-left // group_pieces) >= groups:

@@ -180,66 +180,6 @@ def _features_of(rows: DataFrame, extra: str) -> DataFrame:
     return rows.mapInArrow(run, f"{extra} boolean, x array<double>")
 
 
-def train(labelled: DataFrame, pairs: int = PAIRS) -> Ranking:
-    """The ranking of a bounded table ``labelled`` (text, good: boolean without nulls). The features
-    are made by the executors and fitted on the driver."""
-    rows = _features_of(labelled.select("good", "text"), "good").collect()
-    x = np.array([r["x"] for r in rows]).reshape(len(rows), len(FEATURES))
-    good = np.array([r["good"] for r in rows], bool)
-    order = np.lexsort([*x.T, good])  # rows arrive in any order; the draw must not depend on it
-    return fit_ranking(x[order], good[order], pairs)
-
-
-def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.scale * (self.raw(x) - self.threshold), -500, 500)))
-
-
-def fit_ranking(x: np.ndarray, good: np.ndarray, pairs: int = PAIRS, seed: int = SEED) -> Ranking:
-    """Bradley-Terry weights of features ``x`` from labels ``good`` (bool), by Newton steps on pairs
-    drawn with a seed. With labels of one kind only there are no pairs: all weights are 0 and every
-    document is of that kind (good without any label)."""
-    width = x.shape[1] if x.ndim == 2 else len(FEATURES)
-    mean = x.mean(0) if len(x) else np.zeros(width)
-    spread = x.std(0) if len(x) else np.ones(width)
-    ranking = Ranking(mean, np.where(spread > 1e-9, spread, 1.0), np.zeros(width), 0.0, 1.0)
-    above, below = np.flatnonzero(good), np.flatnonzero(~good)
-    if not len(above) or not len(below):
-        ranking.threshold = 1.0 if len(below) else 0.0
-        return ranking
-    z = np.clip((x - ranking.mean) / ranking.spread, -8, 8)
-    draw = np.random.Generator(np.random.PCG64(seed))
-    d = z[draw.choice(above, pairs)] - z[draw.choice(below, pairs)]
-    w = np.zeros(width)
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(d @ w, -500, 500)))
-        gradient = d.T @ (p - 1) / pairs + PENALTY * w
-        hessian = (d * (p * (1 - p))[:, None]).T @ d / pairs + PENALTY * np.eye(width)
-        step = np.linalg.solve(hessian, gradient)
-        w -= step
-        if np.abs(step).max() < 1e-8:
-            break
-    ranking.weights = w
-    raw = np.sort(ranking.raw(x))
-    at = len(below)  # the quantile that the poor ones make up, between two scores
-    ranking.threshold = float((raw[at - 1] + raw[at]) / 2)
-    spread_raw = raw.std()
-    ranking.scale = float(4 / spread_raw) if spread_raw > 0 else 1.0
-    return ranking
-
-
-def _features_of(rows: DataFrame, extra: str) -> DataFrame:
-    """``rows`` (``extra``, text) -> ``extra`` and the features as an array."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, data, offsets in byte_blocks(batch.column("text")):
-                x = features(data, offsets)
-                values = pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1]).astype(np.int32), pa.array(x.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(extra).slice(first, len(x)), values], [extra, "x"])
-
-    return rows.mapInArrow(run, f"{extra} boolean, x array<double>")
-
-
 def train(labelled: DataFrame, most: int = TRAINING_DOCUMENTS, pairs: int = PAIRS) -> Ranking:
     """The ranking of ``labelled`` (doc_id, text, good: boolean without nulls). Of more than ``most``
     rows a share of about ``most`` is fitted, picked by a seeded hash of doc_id; their features (a

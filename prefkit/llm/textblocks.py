@@ -16,9 +16,7 @@ _U = np.uint64
 _SEED = np.random.Generator(np.random.PCG64(20240601))
 #: Random 64-bit value per byte, for word hashes.
 _BYTE = _SEED.integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = {_BASE: np.ones(1, np.uint64), _INVERSE: np.ones(1, np.uint64)}
+_GOLDEN = _U(0x9E3779B97F4A7C15)
 
 #: Whether a byte separates words: space and 0x09 to 0x0D.
 SEPARATOR = np.zeros(256, bool)
@@ -28,15 +26,6 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2 ** 64."""
-    p = _powers[base]
-    while len(p) < n:
-        p = np.concatenate([p, p * _U(pow(base, len(p), 1 << 64))])
-        _powers[base] = p
-    return p[:n]
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
     h = h ^ (h >> _U(30))
@@ -46,12 +35,35 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
+def weights(n: int) -> np.ndarray:
+    """An odd pseudo-random 64-bit number for each of the positions 0 .. n - 1."""
+    global _weights
+    if len(_weights) >= n:
+        return _weights[:n]
+    made = mixed((np.arange(n, dtype=np.uint64) + _U(1)) * _GOLDEN ^ _U(0x2545F4914F6CDD1D)) | _U(1)
+    if n <= BLOCK:
+        _weights = made
+    return made
+
+
+_weights = np.zeros(0, np.uint64)
+
+
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the spans [start, end) of ``values`` (uint64)."""
+    """64-bit hashes of the spans [start, end) of ``values`` (uint64); ascending, not overlapping.
+
+    A value is multiplied by the random number of its place in the span (no powers of one base: a
+    polynomial modulo 2 ** 64 maps certain texts of two letters to one number, whatever its base)."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    longest = int((ends - starts).max())
+    begin = np.zeros(len(values), np.int64)
+    begin[starts[1:]] = np.diff(starts)
+    begin[starts[0]] += starts[0]
+    place = np.arange(len(values)) - np.cumsum(begin)
     sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(_BASE, len(values)), out=sums[1:])
-    h = (sums[ends] - sums[starts]) * powers(_INVERSE, len(values) + 1)[starts]
-    return mixed(h ^ (ends - starts).astype(np.uint64))
+    np.cumsum(values * weights(longest)[np.clip(place, 0, longest - 1)], out=sums[1:])
+    return mixed(sums[ends] - sums[starts] ^ (ends - starts).astype(np.uint64) * _GOLDEN)
 
 
 def text_blocks(column: pa.Array, block: int = BLOCK) -> Iterator[tuple[int, list[str]]]:

@@ -160,3 +160,42 @@ def test_components_of_random_graphs(spark):
                 stack += near[v]
     assert got == seen
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def thue_morse(n):
+    """A word of two letters and its complement: polynomials modulo 2 ** 64 give both one value."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate({97: 98, 98: 97})
+    return word, word.translate({97: 98, 98: 97})
+
+
+def test_words_that_collide_in_polynomial_hashes(documents):
+    one, other = thue_morse(1024)
+    rows = [(1, one, "en", "a"), (2, other, "en", "a"), (3, one, "en", "a")]
+    got = jaccard_join.jaccard_components(documents(rows), 3, 90, 100).collect()
+    assert sorted(map(tuple, got)) == [(1, 1, 1), (2, 1, 2), (3, 1, 1)]
+
+
+def test_repeated_ids_with_different_texts(documents, prose):
+    a, b = prose(120, 1), prose(120, 2)
+    rows = [(1, a, "en", "x"), (1, b, "en", "x"), (8, a + " x", "en", "x"), (9, b + " y", "en", "x"), (10, prose(90, 3), "en", "x")]
+    got = jaccard_join.jaccard_components(documents(rows), 3, 90, 100).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (1, 1), (8, 1), (9, 1), (10, 10)]
+
+
+def test_very_long_texts(documents, prose):
+    base = " ".join(prose(400, i) for i in range(400))  # about two megabytes
+    rows = [(1, base, "en", "x"), (2, base + " end", "en", "x"), (3, prose(300, 900), "en", "x"), (4, "y" * 3_000_000, "en", "x")]
+    got = jaccard_join.jaccard_components(documents(rows), 5, 4, 5).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (2, 1), (3, 3), (4, 4)]
+
+
+@pytest.mark.parametrize("crowded,listed,narrowing", [(0, 1, 0), (0, 16, 2), (3, 2, 1), (10**9, 16, 1)])
+def test_every_way_of_pairing_gives_all_links(documents, monkeypatch, crowded, listed, narrowing):
+    """Crowded and sparse keys, short lists and any number of rounds: the same components."""
+    for name, value in (("CROWDED", crowded), ("LISTED_KEYS", listed), ("NARROWING", narrowing), ("FIRST_PIVOTS", 1)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rows = corpus(31, 140)
+    got = jaccard_join.jaccard_components(documents(rows), 3, 90, 100)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 3, 90, 100)

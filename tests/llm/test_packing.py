@@ -108,3 +108,30 @@ def test_sparse_sequences_meet_in_further_rounds(documents, prose, library, spar
 
 def test_empty_table(documents):
     assert packing.pack_documents(documents([]), PATH).count() == 0
+
+
+def test_words_that_collide_in_polynomial_hashes():
+    """Thue-Morse words and their complements: one value under any polynomial modulo 2 ** 64."""
+    from tokenizers import Tokenizer
+
+    from prefkit.llm import queries
+    from prefkit.llm.token_ids import ChunkIds
+
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate({97: 98, 98: 97})
+    texts = [word[:1024], word[1024:], f"x {word[:1024]} {word[1024:]}"]
+    path = queries.tokenizer_file("byte_bpe_50k.json")
+    ids, offsets = ChunkIds(path)(texts)
+    library = Tokenizer.from_file(path)
+    for i, text in enumerate(texts):
+        assert ids[offsets[i] : offsets[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_large_ids_beside_a_null_id(documents):
+    from prefkit.llm import packing, queries
+
+    big = 2**60 + 1
+    rows = [(big, "some words here", "en", "a"), (None, "no id", "en", "a"), (big + 1, "", "en", "a"), (-big, None, "en", "a")]
+    got = packing.pack_documents(documents(rows), queries.tokenizer_file("byte_bpe_50k.json")).collect()
+    assert sorted((r.doc_id for r in got), key=str) == sorted([big, None, big + 1, -big], key=str)

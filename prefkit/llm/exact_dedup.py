@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prefkit.llm.common import shuffle_partitions, written
+from prefkit.llm.common import free_name, shuffle_partitions, written
 
 #: Bytes of distinct content that one table holds before it passes contents on.
 TABLE_BYTES = 96 * 1024 * 1024
@@ -228,15 +228,24 @@ def exact_duplicates(
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts (see ``exact_duplicates``); all columns
-    are kept as they are. Of repeated rows one stays."""
-    marks = exact_duplicates(docs, id_col, text_col).filter("kept")
-    keep = marks.select(F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha"))
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    are kept as they are, whatever their names. Of repeated rows one stays.
+
+    The rows to go, and those that occur several times, are looked up by id and digest: a table of these
+    alone meets the documents, and is broadcast while it is small, so that texts stay where they lie."""
+    marks = written(exact_duplicates(docs, id_col, text_col), "dedup-marks")
+    seen = marks.groupBy(F.col("doc_id").alias("x_id"), F.col("text_sha256").alias("x_sha"))
+    seen = seen.agg(F.max("kept").alias("x_kept"), F.count("*").alias("x_n"))
+    special = seen.filter("NOT x_kept OR x_n > 1")
+    own_id, own_sha = free_name(docs, "own_id"), free_name(docs, "own_sha")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     text = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    own = docs.withColumns({"_own_id": F.col(id_col).cast("long"), "_own_sha": F.sha2(text, 256)})
-    same = F.col("_own_sha").eqNullSafe(F.col("_keep_sha")) & F.col("_own_id").eqNullSafe(F.col("_keep_id"))
-    kept = own.join(keep, same, "left_semi")
-    repeated = docs.groupBy(F.col(id_col)).count().filter("count > 1")
-    if not repeated.isEmpty():
-        kept = kept.dropDuplicates(["_own_id", "_own_sha"])
-    return kept.drop("_own_id", "_own_sha")
+    own = docs.withColumns({own_id: F.col(f"`{id_col}`").cast("long"), own_sha: F.sha2(text, 256)})
+
+    def met(rows: DataFrame, how: str) -> DataFrame:
+        rows = rows.select(F.col("x_id").alias(free_name(own, "x_id")), F.col("x_sha").alias(free_name(own, "x_sha")))
+        x_id, x_sha = rows.columns
+        return own.join(rows, (F.col(own_sha) == F.col(x_sha)) & F.col(own_id).eqNullSafe(F.col(x_id)), how)
+
+    single = met(special, "left_anti")
+    several = met(special.filter("x_kept"), "left_semi").dropDuplicates([own_id, own_sha])
+    return single.unionByName(several).drop(own_id, own_sha)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prefkit.llm.common import written
+from prefkit.llm.common import free_name, written
 
 #: A source's rows are dealt by the seeded hash to bins of about BIN_ROWS rows, 2 ** BIN_BITS at most.
 BIN_ROWS = 1024
@@ -203,10 +203,11 @@ def mix(
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
-    """``docs`` with each row as often as ``mix`` takes it, all columns kept. Rows without an id go
-    through once. Repeated rows of one id are drawn alike."""
-    epochs = mix(docs, id_col=id_col, **settings).filter("doc_id IS NOT NULL")
-    epochs = epochs.groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max("epochs").alias("_mix_epochs"))
-    joined = docs.join(epochs, F.col(id_col) == F.col("_mix_id"), "left")
-    times = F.coalesce("_mix_epochs", F.lit(1)).cast("int")
-    return joined.withColumn("_mix_times", F.explode(F.array_repeat(F.lit(1), times))).select(*[docs[c] for c in docs.columns])
+    """``docs`` with each row as often as ``mix`` takes it, all columns kept, whatever their names. Rows
+    without an id go through once. Repeated rows of one id are drawn alike."""
+    own, epochs, times = (free_name(docs, x) for x in ("mix_id", "mix_epochs", "mix_times"))
+    taken = mix(docs, id_col=id_col, **settings).filter("doc_id IS NOT NULL")
+    taken = taken.groupBy(F.col("doc_id").alias(own)).agg(F.max("epochs").alias(epochs))
+    joined = docs.join(taken, F.col(f"`{id_col}`") == F.col(own), "left")
+    copies = F.explode(F.array_repeat(F.lit(1), F.coalesce(epochs, F.lit(1)).cast("int")))
+    return joined.withColumn(times, copies).select(*[docs[f"`{c}`"] for c in docs.columns])

@@ -63,3 +63,27 @@ def test_open_table_grows(n):
     for i in range(n):
         table.add(i * 1024, str(i).encode(), 1, i, 1)
     assert sorted(int(r[1]) for r in table.rows()) == list(range(n))
+
+
+def test_drop_duplicates_with_clashing_names(spark):
+    names = ["own_id", "own_sha", "_own_id", "x_id", "x_sha", "X_KEPT", "kept"]
+    schema = "doc_id long, text string, " + ", ".join(f"{n} string" for n in names)
+    rows = [(i, t, *(f"{n}{i}" for n in names)) for i, t in ((1, "a"), (2, "A"), (3, "b"), (3, "b"), (None, "c"), (None, "c"), (4, None), (5, ""))]
+    docs = spark.createDataFrame(rows, schema)
+    kept = exact_dedup.drop_duplicates(docs)
+    assert kept.columns == docs.columns
+    got = sorted(kept.collect(), key=str)
+    assert sorted((r.doc_id for r in got), key=str) == [2, 3, 5, None]
+    assert all(r[n] == f"{n}{r.doc_id}" for r in got for n in names)
+
+
+def test_repeated_ids_with_different_texts(documents):
+    rows = [(1, "a", "en", "x"), (1, "b", "en", "x"), (2, "A", "en", "x"), (2, "A", "en", "x")]
+    kept = exact_dedup.drop_duplicates(documents(rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, "b"), (2, "A")]
+
+
+def test_very_long_texts(documents):
+    rows = [(1, "é" * 3_000_000, "en", "x"), (2, "é" * 3_000_000, "en", "x"), (3, "é" * 2_999_999 + "x", "en", "x")]
+    assert sorted(map(tuple, exact_dedup.exact_duplicates(documents(rows)).collect())) == brute(rows)
+    assert sorted(r.doc_id for r in exact_dedup.drop_duplicates(documents(rows)).collect()) == [2, 3]

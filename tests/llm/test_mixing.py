@@ -85,3 +85,13 @@ def test_long_documents_leave_no_gap(spark):
         assert len(got) == len(rows)
         taken = {s: sum(r["taken"] for r in got if r["source"] == s) for s in sizes}
         assert taken == {"a": 15000, "b": 12000, "c": 15000, "d": 9000}
+
+
+def test_repeated_rows_with_clashing_names(spark):
+    names = ["mix_id", "mix_epochs", "mix_times", "_mix_times", "epochs"]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names)
+    rows = [(i, "w " * (10 + i), "ab"[i % 2], *(f"{n}{i}" for n in names)) for i in range(40)]
+    docs = spark.createDataFrame(rows, schema)
+    out = mixing.repeated(docs, weights=(5.0, 2.0, 1.0), share=1.0, max_epochs=3)
+    assert out.columns == docs.columns
+    assert all(r[n] == f"{n}{r.doc_id}" for r in out.collect() for n in names)

@@ -253,8 +253,9 @@ def _index(width: int, prefixes):
                     pa.array(_signed(key[r])),
                     pa.array(_signed(fp[r])),
                     pa.array(n[r]),
-                    pa.array(_signed(fp[p])),
-                    pa.array(n[p]),
+                    # Where the key's sets are brought together its pivot is chosen anew.
+                    pa.array(_signed(fp[p]) if local else np.zeros(len(r), np.int64)),
+                    pa.array(n[p] if local else np.zeros(len(r), np.int32)),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=_PA_KEYS)
 
@@ -329,10 +330,11 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _needed(bitmap, width: int):
     """Rows whose hashed id is set in the bitmap (all that are needed, and a few others), with the
-    fingerprint of their set."""
+    fingerprint of their set. Of rows that repeat an id with equal sets a task gives one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.frombuffer(bitmap.value, np.uint8)
+        seen: set[tuple] = set()
         for batch in batches:
             h = batch.column("slot").to_numpy().astype(np.int64)
             hit = (held[h >> 3] >> (h & 7).astype(np.uint8)) & 1
@@ -340,8 +342,14 @@ def _needed(bitmap, width: int):
             ids, texts = batch.column("doc_id"), batch.column("text")
             for first, data, offsets in byte_blocks(texts):
                 fps = _signed(set_prints(*shingle_sets(data, offsets, width)))
+                fresh = []
+                for i, name in enumerate(zip(ids.slice(first, len(fps)).to_pylist(), fps.tolist())):
+                    if name not in seen:
+                        fresh.append(i)
+                        if len(seen) < SEEN_SETS:
+                            seen.add(name)
                 columns = [ids.slice(first, len(fps)), pa.array(fps), texts.slice(first, len(fps))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "text"])
+                yield pa.RecordBatch.from_arrays([c.take(pa.array(fresh, pa.int64())) for c in columns], ["doc_id", "fp", "text"])
 
     return run
 
@@ -436,8 +444,9 @@ class JaccardJoin:
             bitmap[at : at + len(row["m"])] = row["m"]
         held = self.spark.sparkContext.broadcast(bytes(bitmap))
         found = self.docs.withColumn("slot", slot).mapInArrow(_needed(held, self.width), "doc_id long, fp long, text string")
-        # Of the rows with that doc_id those with the class's set; they are alike for the comparison.
-        texts = written(found.join(ids, ["doc_id", "fp"]).dropDuplicates(["fp"]).select("fp", "text"), "compared-texts")
+        # Of the rows with that doc_id those with the class's set; they are alike for the comparison. A row
+        # that is repeated in the table comes once per task at most: comparing it again changes nothing.
+        texts = written(found.join(ids, ["doc_id", "fp"]).select("fp", "text"), "compared-texts")
         shares = pairs.groupBy("b").agg(F.ceil(F.count("*") / PIVOT_SHARE).cast("int").alias("shares"))
         shares = written(shares, "pivot-shares")
         part = F.pmod(F.xxhash64("a"), F.col("shares")).cast("int")

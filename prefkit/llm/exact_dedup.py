@@ -235,7 +235,8 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marks = written(exact_duplicates(docs, id_col, text_col), "dedup-marks")
     seen = marks.groupBy(F.col("doc_id").alias("x_id"), F.col("text_sha256").alias("x_sha"))
     seen = seen.agg(F.max("kept").alias("x_kept"), F.count("*").alias("x_n"))
-    special = seen.filter("NOT x_kept OR x_n > 1")
+    # Written, so that its size is known when the joins are planned.
+    special = written(seen.filter("NOT x_kept OR x_n > 1"), "dedup-special")
     own_id, own_sha = free_name(docs, "own_id"), free_name(docs, "own_sha")
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     text = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -247,5 +248,6 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return own.join(rows, (F.col(own_sha) == F.col(x_sha)) & F.col(own_id).eqNullSafe(F.col(x_id)), how)
 
     single = met(special, "left_anti")
-    several = met(special.filter("x_kept"), "left_semi").dropDuplicates([own_id, own_sha])
+    repeated = written(special.filter("x_kept"), "dedup-repeated")
+    several = met(repeated, "left_semi").dropDuplicates([own_id, own_sha])
     return single.unionByName(several).drop(own_id, own_sha)

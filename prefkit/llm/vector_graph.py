@@ -19,6 +19,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -420,6 +421,20 @@ def audited_recall(vectors: DataFrame, links: DataFrame, s: Settings) -> tuple[f
     return (1.0 if recall is None else recall), total
 
 
+def audited_links(vectors: DataFrame, s: Settings) -> DataFrame:
+    """``graph_links`` of vectors of one length, with the recall audited; built again, wider, where it is low."""
+    for _ in range(s.tries):
+        links = graph_links(vectors, s)
+        recall, audited = audited_recall(vectors, links, s)
+        if recall >= s.recall:
+            return links
+        s = replace(s, overlap=s.overlap * 2, beam=s.beam * 2)
+    if recall < s.demanded:
+        raise RuntimeError(f"recall {recall:.3f} of {audited} audited links after {s.tries} tries, {s.demanded} is demanded")
+    warnings.warn(f"recall {recall:.3f} of {audited} audited links after {s.tries} tries, {s.recall} was asked for", stacklevel=2)
+    return links
+
+
 def near_duplicate_vectors(
     table: DataFrame, settings: Settings = Settings(), id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
@@ -427,18 +442,16 @@ def near_duplicate_vectors(
     least vec_id reachable by links, itself included), kept (vec_id = component_id).
 
     Vectors of cosine ``least`` or more are linked. Null vectors, zero vectors, and those with null or
-    non-finite components are linked with nothing, as are vectors whose length is not the commonest
-    one. Equal vectors are linked; repeated rows count as vectors of their own. An empty table
-    gives no rows; a null id has no component. Only the id and vector columns are read.
+    non-finite components are linked with nothing. Vectors of different lengths are not compared: each
+    length has a graph of its own, one after the other. Equal vectors are linked; repeated rows count as vectors
+    of their own. An empty table gives no rows; a null id has no component. Only the id and vector
+    columns are read.
     """
     e = F.col(vector_col).cast("array<double>")
     rows = table.select(F.col(id_col).cast("long").alias("vec_id"), e.alias("e"))
     odd = F.exists("e", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     valid = F.col("e").isNotNull() & ~odd & F.exists("e", lambda v: v != 0.0)
     rows = rows.withColumn("e", F.when(F.coalesce(valid, F.lit(False)), F.col("e")))
-    lengths = rows.filter("e IS NOT NULL").groupBy(F.size("e").alias("k")).count()
-    common = lengths.orderBy(F.col("count").desc(), "k").first()
-    rows = rows.withColumn("e", F.when(F.size("e") == F.lit(common["k"] if common else 0), F.col("e")))
     # -0.0 counts as 0.0 in the key of equal vectors.
     text = F.array_join(F.transform("e", lambda v: (v + F.lit(0.0)).cast("string")), ",")
     rows = rows.withColumn("key", F.sha2(text, 256))
@@ -447,17 +460,9 @@ def near_duplicate_vectors(
     classes = written(classes, "vector-classes")
     # A repeated vec_id with different vectors: each class needs an id of its own.
     vectors = classes.select(F.xxhash64("key").alias("id"), "e")
-    s = settings
-    for attempt in range(s.tries):
-        links = graph_links(vectors, s)
-        recall, audited_links = audited_recall(vectors, links, s)
-        if recall >= s.recall:
-            break
-        s = replace(s, overlap=s.overlap * 2, beam=s.beam * 2)
-    if recall < s.demanded:
-        raise RuntimeError(f"recall {recall:.3f} of {audited_links} audited links after {s.tries} tries, {s.demanded} is demanded")
-    if recall < s.recall:
-        warnings.warn(f"recall {recall:.3f} of {audited_links} audited links after {s.tries} tries, {s.recall} was asked for", stacklevel=2)
+    lengths = sorted(r[0] for r in vectors.select(F.size("e")).distinct().collect())  # one row per length
+    parts = [audited_links(vectors.filter(F.size("e") == k), settings) for k in lengths]
+    links = reduce(DataFrame.unionByName, parts) if parts else graph_links(vectors, settings)
     near = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     size = classes.select(F.xxhash64("key").alias("id"), "size", F.col("id").alias("least"))
     counts = near.join(size.select(F.col("id").alias("b"), "size"), "b").groupBy("a").agg(F.sum("size").alias("others"))

@@ -123,3 +123,12 @@ def test_low_recall_fails(spark, monkeypatch):
     monkeypatch.setattr(vg, "audited_recall", lambda *_: (0.5, 40))
     with pytest.raises(RuntimeError, match="0.500 of 40"):
         vg.near_duplicate_vectors(table, vg.Settings(tries=1))
+
+
+def test_vectors_of_rarer_lengths_are_linked_among_themselves(spark):
+    rows = [(i, [1.0, 0.0, float(i)]) for i in range(5)] + [(10, [1.0, 0.0]), (11, [2.0, 0.0]), (12, [1.0, 0.0]), (13, [0.0, 1.0]), (14, [3.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vg.near_duplicate_vectors(table).collect()}
+    assert [got[i] for i in (10, 11, 12, 13, 14)] == [(2, 10), (2, 10), (2, 10), (0, 13), (0, 14)]
+    near = {(a, b) for a, x in rows[:5] for b, y in rows[:5] if a != b and sum(p * q for p, q in zip(x, y)) >= 0.95 * (sum(p * p for p in x) * sum(q * q for q in y)) ** 0.5}
+    assert all(got[a][0] == sum(x == a for x, _ in near) for a in range(5))

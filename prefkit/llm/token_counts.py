@@ -13,9 +13,10 @@ are stepped through at once.
 
 Texts are cut into chunks. A chunk's map takes the state it is entered in to the state it is left in
 and the tokens it adds. At a space after a non-space the map is constant (no piece spans it), so a
-chunk that begins there has one map for every state before it; other chunks are entered in a guessed
-state first, and the scan that composes the maps runs a chunk again from the state its predecessor
-leaves, until all agree.
+chunk that begins there is entered in one known state. The map of any other chunk is compiled for the
+states that may enter it: the first state, and the states in which chunks of the contents before it
+are left. Chunks of the same content share one map. The maps are then composed by a parallel prefix
+scan: each round joins the maps of neighbouring runs of chunks, which doubles the length of the runs.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ from prefkit.llm.textblocks import code_points, text_blocks
 CHUNK = 256
 #: Transitions that a worker keeps; beyond them it begins anew with an empty table.
 MOST_TRANSITIONS = 1 << 20
+#: Bits of a state's number beside that of a chunk's content.
+STATE_BITS = 36
 SPACE = "▁"
 #: Stands for a last token that goes with every following piece.
 ANY = -1
@@ -217,6 +220,60 @@ class Transducer:
         exits[order], counts[order] = state, count
         return exits, counts
 
+    def maps(self, symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, kinds: np.ndarray, fixed: np.ndarray):
+        """The maps of all contents: sorted keys (content << STATE_BITS | entry state), exit states, tokens.
+
+        Each pass runs what the last one found to be missing, all contents at once. A content that is left
+        in the same state whatever it was entered in (nearly any text) is done after two passes.
+        """
+        sample = np.zeros(int(kinds.max()) + 1, np.int64)
+        sample[kinds] = np.arange(len(kinds))
+        follows = np.unique(np.stack([kinds[:-1], kinds[1:]], axis=1)[~fixed[1:]], axis=0)
+        keys, exits, tokens = (np.zeros(0, np.int64) for _ in range(3))
+        new = (np.arange(len(sample)) << STATE_BITS) | self.start
+        while len(new):
+            content, entry = new >> STATE_BITS, new & ((1 << STATE_BITS) - 1)
+            left, emitted = self.run(symbols, starts[sample[content]], ends[sample[content]], entry)
+            keys = np.concatenate([keys, new])
+            order = np.argsort(keys, kind="stable")
+            keys, exits, tokens = keys[order], np.append(exits, left)[order], np.append(tokens, emitted)[order]
+            # Each exit state enters every content that follows.
+            low = np.searchsorted(follows[:, 0], content)
+            n = np.searchsorted(follows[:, 0], content, "right") - low
+            at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+            new = np.setdiff1d((follows[at, 1] << STATE_BITS) | np.repeat(left, n), keys)
+        return keys, exits, tokens
+
+    def composed(self, symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, fixed: np.ndarray) -> np.ndarray:
+        """Per chunk that is ``fixed`` (entered in the first state) the tokens up to the next such chunk; 0
+        for the others."""
+        if not len(starts):
+            return np.zeros(0, np.int64)
+        contents: dict[bytes, int] = {}
+        kinds = np.arange(len(starts))
+        free = np.flatnonzero(~fixed)
+        first = int(fixed.sum())
+        kinds[fixed] = np.arange(first)
+        for i in free.tolist():
+            kinds[i] = first + contents.setdefault(symbols[starts[i] : ends[i]].tobytes(), len(contents))
+        keys, exits, tokens = self.maps(symbols, starts, ends, kinds, fixed)
+        # A node is a chunk with one of its entry states; it leads to a node of the next chunk.
+        low = np.searchsorted(keys, kinds << STATE_BITS)
+        n = np.searchsorted(keys, (kinds + 1) << STATE_BITS) - low
+        offset = np.cumsum(n) - n
+        chunk = np.repeat(np.arange(len(starts)), n)
+        entry = np.arange(len(chunk)) - offset[chunk] + low[chunk]
+        count = np.append(tokens[entry], 0)
+        end = len(chunk)
+        goes = np.full(end + 1, end)
+        on = np.flatnonzero(~np.append(fixed[1:], True)[chunk])
+        nxt = chunk[on] + 1
+        goes[on] = offset[nxt] + np.searchsorted(keys, (kinds[nxt] << STATE_BITS) | exits[entry[on]]) - low[nxt]
+        while (goes < end).any():
+            count += count[goes]
+            goes = goes[goes]
+        return np.where(fixed, count[offset], 0)
+
     def counts(self, texts: list[str], chunk: int = CHUNK) -> np.ndarray:
         """Tokens of each text."""
         if self.known > MOST_TRANSITIONS:
@@ -243,16 +300,7 @@ class Transducer:
         starts, first = np.unique(starts, return_index=True)
         fixed = fixed[first]
         ends = np.append(starts[1:], len(symbols))[: len(starts)]
-        # Compose the chunks' maps: run what is entered in another state than it was run from.
-        entry = np.full(len(starts), self.start, np.int64)
-        exits, tokens = self.run(symbols, starts, ends, entry)
-        while True:
-            true = np.where(fixed, self.start, np.concatenate([[self.start], exits[:-1]])[: len(starts)])
-            again = np.flatnonzero(true != entry)
-            if not len(again):
-                break
-            entry[again] = true[again]
-            exits[again], tokens[again] = self.run(symbols, starts[again], ends[again], entry[again])
+        tokens = self.composed(symbols, starts, ends, fixed)
         sums = np.concatenate([[0], np.cumsum(tokens)])
         return sums[np.searchsorted(starts, begins[1:])] - sums[np.searchsorted(starts, begins[:-1])]
 

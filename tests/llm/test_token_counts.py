@@ -1,3 +1,6 @@
+import random
+import string
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -28,6 +31,26 @@ def test_long_runs_without_a_place_to_cut(library, text):
     assert token_counts.transducer(PATH).counts([text, "", text]).tolist() == [len(library.encode(text)), 0, len(library.encode(text))]
 
 
+@pytest.mark.parametrize("text", ["=" * 1_000_000, "a" * 300_001, "abc" * 100_000, "=-" * 90 + "=" * 200_000])
+def test_chunk_maps_are_compiled_in_few_passes(library, text, monkeypatch):
+    """Chunks of one content share a map, so no state travels chunk by chunk."""
+    engine, passes = token_counts.Transducer(token_counts.Vocabulary(PATH)), []
+    run = engine.run
+    monkeypatch.setattr(engine, "run", lambda *a: passes.append(len(a[1])) or run(*a))
+    assert engine.counts([text]).tolist() == [len(library.encode(text))]
+    assert len(passes) <= 24 and sum(passes) < 200
+
+
+def test_texts_without_spaces_agree_after_two_passes(library, monkeypatch):
+    rng = random.Random(5)
+    text = "".join(rng.choice(string.ascii_letters + string.digits + "+/") for _ in range(200_000))
+    engine, passes = token_counts.Transducer(token_counts.Vocabulary(PATH)), []
+    run = engine.run
+    monkeypatch.setattr(engine, "run", lambda *a: passes.append(len(a[1])) or run(*a))
+    assert engine.counts([text, text[1:]]).tolist() == [len(library.encode(t)) for t in (text, text[1:])]
+    assert len(passes) <= 4
+
+
 def test_a_full_table_is_forgotten(library, prose, monkeypatch):
     monkeypatch.setattr(token_counts, "MOST_TRANSITIONS", 50)
     engine = token_counts.Transducer(token_counts.Vocabulary(PATH))

@@ -60,10 +60,28 @@ def water_filled(sources: DataFrame, total: float | int, max_epochs: float) -> D
     return sources.withColumn("target", F.least(cap, F.col("weight") * F.lit(level)).cast("double"))
 
 
+def _draw(id: Column, seed: int) -> Column:
+    """The seeded hash by which a source's rows are drawn."""
+    return F.xxhash64(id.cast("string"), F.lit(seed))
+
+
+def _bits(source_rows: str) -> Column:
+    """Bits of the hash that number the bins of a source."""
+    bits = F.ceil(F.log2(F.greatest(F.col(source_rows) / BIN_ROWS, F.lit(1.0))))
+    return F.least(bits, F.lit(BIN_BITS)).cast("int")
+
+
+def _bin(draw: Column, bits: Column) -> Column:
+    """The bin of a drawn hash: its highest ``bits`` bits."""
+    high = F.shiftrightunsigned(draw, 64 - BIN_BITS).cast("int")
+    return F.floor(high / F.pow(F.lit(2.0), F.lit(BIN_BITS) - bits)).cast("int")
+
+
 def _with_gaps(rows: DataFrame, share_of: Column | None = None) -> DataFrame:
     """``rows`` with ``_mx_gap``, what their source has still to take (of ``share_of`` if given)."""
     wanted = F.first("_mx_extra") if share_of is None else F.first(share_of)
     gaps = rows.groupBy(F.col("source").alias("_mx_s")).agg((wanted - F.sum(F.col("_mx_more") * F.col("size"))).alias("_mx_gap"))
+    gaps = written(gaps, "mix-gaps")  # one row a source, of known size when the join is planned
     return rows.join(gaps, F.col("source").eqNullSafe(F.col("_mx_s"))).drop("_mx_s")
 
 
@@ -93,6 +111,7 @@ def _filled(rows: DataFrame, wanted: Column, name: str) -> DataFrame:
     crossing = crossing.groupBy(F.col("source").alias("_mx_cs")).agg(
         F.min("_mx_bin").alias("_mx_cross"), F.min_by(F.col("gap") - (F.col("upto") - F.col("sum")), "_mx_bin").alias("_mx_left")
     )
+    crossing = written(crossing, "mix-crossing")
     rows = rows.join(crossing, F.col("source").eqNullSafe(F.col("_mx_cs")), "left").drop("_mx_cs", "_mx_gap")
     inside = F.col("_mx_try") & F.coalesce(F.col("_mx_bin") == F.col("_mx_cross"), F.lit(False))
     below = F.col("_mx_try") & F.coalesce(F.col("_mx_bin") < F.col("_mx_cross"), F.lit(True))
@@ -109,6 +128,7 @@ def _nearest(rows: DataFrame, wanted: Column, name: str) -> DataFrame:
     free = (F.col("_mx_more") == 0) & (F.col("size") > 0) & (F.col("size") < 2 * F.col("_mx_gap")) & wanted
     by = F.struct(F.abs(F.col("size") - F.col("_mx_gap")), "_mx_draw", "size")
     best = rows.filter(free).groupBy(F.col("source").alias("_mx_s")).agg(F.min(by).alias("_mx_best"))
+    best = written(best, "mix-best")
     rows = rows.join(best, F.col("source").eqNullSafe(F.col("_mx_s")), "left").drop("_mx_s")
     found = F.coalesce(free & (by == F.col("_mx_best")), F.lit(False))
     # Repeated rows tie; one of them is taken.
@@ -129,22 +149,21 @@ def taken_rows(rows: DataFrame, targets: DataFrame, seed: int = SEED) -> DataFra
     or one in ``2 ** BIN_BITS`` of a large source) is sorted by a task.
     """
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    bits = F.ceil(F.log2(F.greatest(F.col("source_rows") / BIN_ROWS, F.lit(1.0))))
     t = targets.select(
         F.col("source").alias("_mx_source"),
         "source_size",
         "target",
         whole.alias("_mx_whole"),
         (F.col("target") - whole * F.col("source_size")).alias("_mx_extra"),
-        F.least(bits, F.lit(BIN_BITS)).cast("int").alias("_mx_bits"),
+        _bits("source_rows").alias("_mx_bits"),
     )
     # One row per source, so a source that holds many rows meets a single row.
     rows = rows.join(t, F.col("source").eqNullSafe(F.col("_mx_source"))).drop("_mx_source")
-    draw = F.xxhash64(F.col("id").cast("string"), F.lit(seed))
-    rows = rows.withColumn("_mx_draw", F.shiftrightunsigned(draw, 64 - BIN_BITS).cast("int"))
-    rows = rows.withColumn("_mx_bin", F.expr(f"shiftright(_mx_draw, {BIN_BITS} - _mx_bits)")).withColumn("_mx_draw", draw)
+    rows = rows.withColumn("_mx_draw", _draw(F.col("id"), seed))
+    rows = rows.withColumn("_mx_bin", _bin(F.col("_mx_draw"), F.col("_mx_bits")))
     is_long = F.col("size") * LONG > F.col("_mx_extra")
     longs = rows.filter(is_long).groupBy(F.col("source").alias("_mx_s")).agg(F.sum("size").alias("_mx_long"))
+    longs = written(longs, "mix-longs")
     rows = rows.join(longs, F.col("source").eqNullSafe(F.col("_mx_s")), "left").drop("_mx_s")
     rows = rows.withColumn("_mx_more", F.lit(0).cast("long"))
     rows = written(rows.withColumn("_mx_long", F.coalesce("_mx_long", F.lit(0))), "mix-drawn")
@@ -202,12 +221,49 @@ def mix(
     return out.withColumnRenamed("id", "doc_id")
 
 
-def repeated(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
+def decisions(taken: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """What ``mix`` decided, in two small tables: ``bins`` (source, bits, bin, epochs), what most rows of
+    a source's hash bin have, and ``others`` (doc_id, source, epochs), the rows that differ from it.
+
+    A pass takes whole bins, so the others are the rows of the bins in which a pass ended, long rows
+    and rows of no words. Repeated ids of a source count as often as the one taken most."""
+    ids = taken.filter("doc_id IS NOT NULL").groupBy("source", "doc_id").agg(F.max("epochs").alias("epochs"))
+    ids = written(ids, "mix-ids")
+    bits = ids.groupBy(F.col("source").alias("_mx_s")).agg(F.count("*").alias("n")).select("_mx_s", _bits("n").alias("bits"))
+    bits = written(bits, "mix-bits")
+    ids = ids.join(bits, F.col("source").eqNullSafe(F.col("_mx_s"))).drop("_mx_s")
+    ids = ids.withColumn("bin", _bin(_draw(F.col("doc_id"), seed), F.col("bits")))
+    votes = ids.groupBy("source", "bits", "bin", "epochs").agg(F.count("*").alias("n"))
+    most = F.max_by("epochs", F.struct("n", "epochs")).alias("epochs")
+    bins = written(votes.groupBy("source", "bits", "bin").agg(most), "mix-bins")
+    usual = bins.select(F.col("source").alias("_mx_s"), F.col("bin").alias("_mx_b"), F.col("epochs").alias("usual"))
+    same = F.col("source").eqNullSafe(F.col("_mx_s")) & (F.col("bin") == F.col("_mx_b"))
+    others = ids.join(usual, same).filter("epochs <> usual").select("doc_id", "source", "epochs")
+    return bins, written(others, "mix-others")
+
+
+def repeated(
+    docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", seed: int = SEED, **settings
+) -> DataFrame:
     """``docs`` with each row as often as ``mix`` takes it, all columns kept, whatever their names. Rows
-    without an id go through once. Repeated rows of one id are drawn alike."""
-    own, epochs, times = (free_name(docs, x) for x in ("mix_id", "mix_epochs", "mix_times"))
-    taken = mix(docs, id_col=id_col, **settings).filter("doc_id IS NOT NULL")
-    taken = taken.groupBy(F.col("doc_id").alias(own)).agg(F.max("epochs").alias(epochs))
-    joined = docs.join(taken, F.col(f"`{id_col}`") == F.col(own), "left")
-    copies = F.explode(F.array_repeat(F.lit(1), F.coalesce(epochs, F.lit(1)).cast("int")))
+    without an id go through once. Repeated rows of one id and source are drawn alike.
+
+    Documents are decided where they lie: they meet a row per hash bin and the few ids that differ
+    from their bin's. Both tables are written, so Spark broadcasts them if their sizes allow it, and else
+    joins by shuffles."""
+    bins, others = decisions(mix(docs, id_col=id_col, source_col=source_col, seed=seed, **settings), seed)
+    bits = written(bins.select("source", "bits").distinct(), "mix-bits")
+    src, nbits, bsrc, nbin, usual, own, osrc, special, times = (
+        free_name(docs, f"mix_{x}") for x in ("s", "bits", "bs", "bin", "usual", "id", "os", "special", "times")
+    )
+    id, source = F.col(f"`{id_col}`"), F.col(f"`{source_col}`").cast("string")
+    bits = bits.select(F.col("source").alias(src), F.col("bits").alias(nbits))
+    bins = bins.select(F.col("source").alias(bsrc), F.col("bin").alias(nbin), F.col("epochs").alias(usual))
+    others = others.select(F.col("doc_id").alias(own), F.col("source").alias(osrc), F.col("epochs").alias(special))
+    joined = docs.join(bits, source.eqNullSafe(F.col(src)), "left")
+    at = _bin(_draw(id, seed), F.col(nbits))
+    joined = joined.join(bins, source.eqNullSafe(F.col(bsrc)) & (at == F.col(nbin)), "left")
+    joined = joined.join(others, (id == F.col(own)) & source.eqNullSafe(F.col(osrc)), "left")
+    often = F.when(id.isNull(), 1).otherwise(F.coalesce(special, usual, F.lit(1))).cast("int")
+    copies = F.explode(F.array_repeat(F.lit(1), often))
     return joined.withColumn(times, copies).select(*[docs[f"`{c}`"] for c in docs.columns])

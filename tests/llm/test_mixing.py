@@ -95,3 +95,27 @@ def test_repeated_rows_with_clashing_names(spark):
     out = mixing.repeated(docs, weights=(5.0, 2.0, 1.0), share=1.0, max_epochs=3)
     assert out.columns == docs.columns
     assert all(r[n] == f"{n}{r.doc_id}" for r in out.collect() for n in names)
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_repeated_decides_rows_by_bin_and_exception(spark, documents, prose, monkeypatch, threshold):
+    """Every document as often as ``mix`` says, whether or not the small tables are broadcast; no text moves."""
+    monkeypatch.setattr(mixing, "BIN_ROWS", 16)
+    words = [1 + (i * 7) % 23 for i in range(400)]
+    words[3], words[50], words[77] = 900, 0, 400
+    docs = documents([(i, prose(n, i), "en", [None, "a", "a", "b", "a"][i % 5]) for i, n in enumerate(words)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        out = mixing.repeated(docs)
+        times = defaultdict(int)
+        for r in out.collect():
+            times[r["doc_id"]] += 1
+        if threshold != "-1":
+            assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    taken = mixing.mix(docs)
+    assert times == {r["doc_id"]: r["epochs"] for r in taken.collect() if r["epochs"]}
+    bins, others = mixing.decisions(taken)
+    assert bins.count() > 12 and others.count() < 200

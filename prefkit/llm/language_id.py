@@ -26,6 +26,8 @@ BUCKET_BITS = 16
 SMOOTHING = 0.5
 #: Labelled texts that train a language, at most in expectation; a seeded hash of the id picks them.
 TRAINING_TEXTS = 20_000
+#: Languages at most: the matrix is collected and broadcast (256 KB a language).
+MOST_LANGUAGES = 500
 SEED = 20240602
 UNKNOWN = "und"
 #: Counts of these many buckets make one row while training.
@@ -88,18 +90,26 @@ def ngram_buckets(texts: list[str], orders: tuple[int, ...], bits: int) -> tuple
 
 
 def train(
-    labelled: DataFrame, orders: tuple[int, ...] = ORDERS, bits: int = BUCKET_BITS, most: int = TRAINING_TEXTS
+    labelled: DataFrame,
+    orders: tuple[int, ...] = ORDERS,
+    bits: int = BUCKET_BITS,
+    most: int = TRAINING_TEXTS,
+    most_languages: int = MOST_LANGUAGES,
 ) -> Model:
     """The model of ``labelled`` (doc_id, text, lang: no nulls in lang).
 
     Of a language with more than ``most`` texts a share of about ``most`` is counted, picked by a
     seeded hash of doc_id, so that the work of training is bounded by languages times ``most``.
-    Languages are taken as equally likely.
+    Languages are taken as equally likely. More than ``most_languages`` are an error, before anything
+    is collected.
     """
     spark = labelled.sparkSession
     shares = labelled.groupBy("lang").count().select(F.col("lang").alias("_lang"), (F.lit(float(most)) / F.col("count")).alias("share"))
+    shares = written(shares, "lang-shares")
+    if (found := shares.count()) > most_languages:
+        raise ValueError(f"{found} languages are labelled, more than most_languages={most_languages}")
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(SEED)), F.lit(1 << 20)) / float(1 << 20)
-    picked = labelled.join(F.broadcast(written(shares, "lang-shares")), F.col("lang") == F.col("_lang"))
+    picked = labelled.join(F.broadcast(shares), F.col("lang") == F.col("_lang"))
     picked = picked.filter(draw < F.col("share")).select("lang", "text")
     schema = pa.schema([("lang", pa.string()), ("slice", pa.int32()), ("counts", pa.list_(pa.int64()))])
 

@@ -1,4 +1,6 @@
+import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,3 +59,37 @@ def test_without_training_rows_and_empty(documents):
     got = language_id.identify(documents(ODD_ROWS), F.lit(False)).collect()
     assert {r["lang_pred"] for r in got} == {"und"}
     assert language_id.identify(documents([]), F.lit(True)).count() == 0
+
+
+def grams(text):
+    """The n-grams of a text by hand: words of letters, each followed by one space."""
+    low = "".join(c.lower() if c.isalpha() else " " for c in text + "\n").split()
+    line = "".join(w + " " for w in low)
+    every = [line[i : i + n] for n in (1, 2, 3) for i in range(len(line) - n + 1)]
+    return Counter(g for g in every if g != " ")
+
+
+def test_posteriors_are_those_of_brute_force(spark, rows):
+    """Model and posterior computed from n-gram counts in dictionaries (2^20 buckets: no collisions here)."""
+    rows = [(i, t[: 3 + i % 9] if i % 5 == 0 else t, lang) for i, t, lang, _ in rows[:90]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    buckets = 1 << 20
+    model = language_id.train(docs, bits=20)
+    got = {r["doc_id"]: r for r in language_id.predict(docs, model).collect()}
+    counts = {lang: sum((grams(t) for _, t, own in rows if own == lang), Counter()) for lang in WORDS}
+    sums = {lang: sum(c.values()) + buckets * language_id.SMOOTHING for lang, c in counts.items()}
+    for i, t, _ in rows:
+        logs = {
+            lang: sum(n * math.log((counts[lang][g] + language_id.SMOOTHING) / sums[lang]) for g, n in grams(t).items())
+            for lang in counts
+        }
+        top = max(logs.values())
+        likely = 1 / sum(math.exp(v - top) for v in logs.values())
+        assert logs[got[i]["lang_pred"]] == pytest.approx(top, abs=1e-3)
+        assert got[i]["score"] == pytest.approx(likely, abs=1e-3)
+
+
+def test_too_many_languages_fail_before_the_collect(spark):
+    docs = spark.createDataFrame([(i, "text", f"l{i}") for i in range(6)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="6 languages"):
+        language_id.train(docs, most_languages=5)

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -44,11 +46,31 @@ def test_fit_prefers_and_thresholds_by_quantile():
     r = quality.fit_ranking(x, good)
     assert r.weights[2] > 5 * np.abs(np.delete(r.weights, 2)).max()
     assert abs((r.score(x) < 0.5).mean() - (~good).mean()) < 0.01
-    # The optimum of the logistic loss on the drawn pairs: no better along any axis.
     again = quality.fit_ranking(x, good)
     assert np.array_equal(again.weights, r.weights)
 
 
+def test_weights_are_the_optimum_of_the_pairs():
+    """The pairs drawn again, one by one: the gradient of their penalised loss is zero, and no step lowers it."""
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(40, 5))
+    good = np.arange(40) % 3 > 0
+    x[good, 1] += 1.0
+    r = quality.fit_ranking(x, good, pairs=5000)
+    z = np.clip((x - r.mean) / r.spread, -8, 8)
+    again = np.random.Generator(np.random.PCG64(quality.SEED))
+    above, below = again.choice(np.flatnonzero(good), 5000), again.choice(np.flatnonzero(~good), 5000)
+
+    def loss(w):
+        return sum(math.log1p(math.exp(-float(w @ (z[a] - z[b])))) for a, b in zip(above, below)) / 5000 + quality.PENALTY / 2 * w @ w
+
+    least = loss(r.weights)
+    for i in range(5):
+        step = np.eye(5)[i] * 1e-3
+        assert loss(r.weights + step) > least and loss(r.weights - step) > least
+        assert abs(loss(r.weights + step) - loss(r.weights - step)) / 2e-3 < 1e-5
+
+
 @pytest.mark.parametrize("good,predicted", [([True] * 4, 1), ([False] * 4, 0), ([], 1)])
 def test_labels_of_one_kind(good, predicted):
     x = np.arange(4.0 * len(good)).reshape(len(good), 4) if good else np.zeros((0, len(quality.FEATURES)))

@@ -8,7 +8,8 @@ labelled and the smoothed share of allowed ones is too low, also at the upper en
 interval.
 
 All of it is DataFrame operations on distinct paths; one aggregate, two small tables and one join
-per level of the tree.
+per level of the tree. The tree has no fixed depth: it goes on below a place as long as the urls there
+differ, some labelled and some not, or some allowed and some blocked.
 """
 
 from __future__ import annotations
@@ -18,8 +19,10 @@ from pyspark.sql import functions as F
 
 from prefkit.llm.common import written
 
-#: Levels of the tree; further segments are one wildcard.
+#: Levels of the tree for all paths. Below them it goes on at every place whose labels do not settle it.
 DEPTH = 4
+#: Urls that such a place needs below it; with fewer there is nothing to tell apart.
+OPEN_SUPPORT = 6
 #: Urls that a segment needs to be a branch of its own; rarer ones are their place's tail.
 LEAST_SUPPORT = 3
 #: Urls with which a segment is a branch whatever else occurs at its place.
@@ -112,24 +115,56 @@ def merged_siblings(literals: DataFrame, prior: float) -> DataFrame:
     return rows.join(names, ["prefix", "nth"]).select("prefix", "seg", "branch").unionByName(alone)
 
 
+def _one_level(tree: DataFrame, level: int, prior: float) -> DataFrame:
+    """``tree`` with ``prefix`` longer by one segment, a branch or ``*``, where the path has one."""
+    seg = F.when(F.size("segs") > level, F.get("segs", F.lit(level)))
+    tree = tree.withColumn("seg", seg)
+    kids = tree.filter("seg IS NOT NULL").groupBy("prefix", "seg")
+    kids = kids.agg(F.sum("n").alias("n"), F.sum("good").alias("good"), F.sum("labelled").alias("labelled"))
+    kids = written(kids, f"url-level{level}")
+    literals = written(literal_segments(kids), f"url-literals{level}")
+    branches = written(merged_siblings(literals, prior), f"url-branches{level}")
+    names = branches.select(F.col("prefix").alias("_p"), F.col("seg").alias("_s"), "branch")
+    tree = tree.join(names, (F.col("prefix") == F.col("_p")) & (F.col("seg") == F.col("_s")), "left")
+    deeper = F.concat(F.col("prefix"), F.lit("/"), F.coalesce("branch", F.lit("*")))
+    tree = tree.withColumn("prefix", F.when(F.col("seg").isNotNull(), deeper).otherwise(F.col("prefix")))
+    return tree.drop("_p", "_s", "branch", "seg")
+
+
+def open_places(deeper: DataFrame) -> DataFrame:
+    """Places (``_o``) below which the urls ``deeper`` differ: some are labelled, and some have another label
+    or none."""
+    places = deeper.groupBy("prefix").agg(*[F.sum(c).alias(c) for c in ("n", "good", "labelled")])
+    mixed = (F.col("labelled") < F.col("n")) | ((F.col("good") > 0) & (F.col("good") < F.col("labelled")))
+    unsettled = (F.col("n") >= OPEN_SUPPORT) & (F.col("labelled") > 0) & mixed
+    return places.filter(unsettled).select(F.col("prefix").alias("_o"))
+
+
 def path_templates(paths: DataFrame, prior: float, depth: int = DEPTH) -> DataFrame:
-    """``paths`` (host, key, segs, n, good, labelled) with ``template``."""
+    """``paths`` (host, key, segs, n, good, labelled) with ``template``.
+
+    The first ``depth`` levels are built for all; below them only open places go on, a level at a time,
+    until there are none. A closed place's deeper urls are one template, ``**``."""
     tree = paths.withColumn("prefix", F.col("host"))
     for level in range(depth):
-        seg = F.when(F.size("segs") > level, F.get("segs", F.lit(level)))
-        tree = tree.withColumn("seg", seg)
-        kids = tree.filter("seg IS NOT NULL").groupBy("prefix", "seg")
-        kids = kids.agg(F.sum("n").alias("n"), F.sum("good").alias("good"), F.sum("labelled").alias("labelled"))
-        kids = written(kids, f"url-level{level}")
-        literals = written(literal_segments(kids), f"url-literals{level}")
-        branches = written(merged_siblings(literals, prior), f"url-branches{level}")
-        names = branches.select(F.col("prefix").alias("_p"), F.col("seg").alias("_s"), "branch")
-        tree = tree.join(names, (F.col("prefix") == F.col("_p")) & (F.col("seg") == F.col("_s")), "left")
-        deeper = F.concat(F.col("prefix"), F.lit("/"), F.coalesce("branch", F.lit("*")))
-        tree = tree.withColumn("prefix", F.when(F.col("seg").isNotNull(), deeper).otherwise(F.col("prefix")))
-        tree = tree.drop("_p", "_s", "branch", "seg")
-    tail = F.when(F.size("segs") > depth, F.lit("/**")).otherwise("")
-    return tree.withColumn("template", F.concat("prefix", tail)).drop("prefix")
+        tree = _one_level(tree, level, prior)
+    level, done = depth, []
+    while True:
+        tree = written(tree, "url-tree")
+        done.append(tree.filter(F.size("segs") <= level).withColumnRenamed("prefix", "template"))
+        deeper = tree.filter(F.size("segs") > level)
+        places = written(open_places(deeper), "url-open")
+        same = F.col("prefix") == F.col("_o")
+        closed = deeper.join(places, same, "left_anti").withColumn("template", F.concat("prefix", F.lit("/**")))
+        done.append(closed.drop("prefix"))
+        if places.isEmpty():
+            break
+        tree = _one_level(deeper.join(places, same).drop("_o"), level, prior)
+        level += 1
+    out = done[0].select(*paths.columns, "template")
+    for part in done[1:]:
+        out = out.unionByName(part.select(*paths.columns, "template"))
+    return out
 
 
 def judge(pages: DataFrame, rules: dict[str, str], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -149,7 +184,7 @@ def judge(pages: DataFrame, rules: dict[str, str], id_col: str = "page_id", url_
     given = F.element_at(said, F.col("rule")) if rules else F.lit(None).cast("string")
     rows = written(rows.withColumn("given", given), "url-rows")
     segs = F.filter(F.split("path", "/"), lambda s: s != "")
-    paths = rows.groupBy("host", F.array_join(F.slice(segs, 1, DEPTH + 1), "/").alias("key")).agg(
+    paths = rows.groupBy("host", F.array_join(segs, "/").alias("key")).agg(
         F.count("*").alias("n"),
         F.count(F.when(F.col("given") == "allow", 1)).alias("good"),
         F.count("given").alias("labelled"),
@@ -165,7 +200,7 @@ def judge(pages: DataFrame, rules: dict[str, str], id_col: str = "page_id", url_
     low = F.col("purity") + SURE * error < LEAST_PURITY
     templates = templates.select("template", "purity", (low & (F.col("labelled") >= LEAST_LABELLED * F.col("n"))).alias("rejected"))
     judged = tree.select("host", "key", "template").join(templates, "template")
-    rows = rows.withColumn("key", F.array_join(F.slice(segs, 1, DEPTH + 1), "/"))
+    rows = rows.withColumn("key", F.array_join(segs, "/"))
     out = rows.join(judged, ["host", "key"])
     learned = F.when(F.col("rejected"), "block").otherwise("allow")
     return out.select(

@@ -1,4 +1,6 @@
+import random
 import re
+from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,3 +106,101 @@ def test_siblings_without_labels_stay_apart(spark):
         assert r["verdict"] == ("block" if first == "de" else "allow")
         if first != "de":
             assert r["template"].startswith(f"{r['host']}/{first}/")
+
+
+def test_the_tree_goes_on_where_urls_differ(spark):
+    """Blocked pages six levels down say nothing about their siblings without labels, and these stay one
+    template; where all is blocked, the tree does not go on."""
+    urls = [f"http://a.site/a/b/c/d/e/{s}/{i}" for s in ("good", "bad") for i in range(200)]
+    urls += [f"http://b.site/a/b/c/d/{s}/{i}" for s in ("x", "y") for i in range(50)]
+    got = {r["page_id"]: r for r in url_filter.judge(pages(spark, urls), {"a.site/a/b/c/d/e/bad/": "block", "b.site/": "block"}).collect()}
+    assert all(got[i]["verdict"] == ("allow" if i < 200 else "block") for i in range(500))
+    assert got[0]["template"].startswith("a.site/a/b/c/d/e/good") and got[200]["template"].startswith("a.site/a/b/c/d/e/bad")
+    assert got[400]["template"] == "b.site/a/b/c/d/**"
+
+
+def smooth(good, labelled, prior):
+    return (good + url_filter.PRIOR_WEIGHT * prior) / (labelled + url_filter.PRIOR_WEIGHT)
+
+
+def branches(kids, prior):
+    """seg -> branch of one place's children {seg: (n, good, labelled)}, by the definitions."""
+    total = sum(n for n, _, _ in kids.values())
+    rare = sum(n for n, _, _ in kids.values() if n < url_filter.LEAST_SUPPORT)
+    often = lambda n: n >= url_filter.FREQUENT_SHARE * total and rare <= url_filter.TAIL_SHARE * total
+    own = {s: v for s, v in kids.items() if v[0] >= url_filter.LEAST_SUPPORT and (v[0] >= url_filter.OWN_SUPPORT or v[2] or often(v[0]))}
+    names = {s: s for s, v in own.items() if not v[2]}
+    order = sorted({(2 * g >= m, smooth(g, m, prior), m, g) for _, g, m in own.values() if m})
+    runs = []
+    for at, row in enumerate(order):
+        if at:
+            (was, p, m, _), (now, q, k, _) = order[at - 1], row
+            w, v = m + url_filter.PRIOR_WEIGHT, k + url_filter.PRIOR_WEIGHT
+            pooled = (p * w + q * v) / (w + v)
+            apart = was != now or q - p > url_filter.SIMILAR * (pooled * (1 - pooled) * (1 / w + 1 / v)) ** 0.5
+        if not at or apart:
+            runs.append(set())
+        runs[-1].add((row[3], row[2]))
+    for run in runs:
+        same = sorted(s for s, (_, g, m) in own.items() if m and (g, m) in run)
+        names |= {s: "|".join(same) for s in same}
+    return names
+
+
+def templates(rows, prior):
+    """The template of each of ``rows`` (host, segs, label): one place after the other, recursively."""
+    found = {}
+
+    def grow(prefix, level, members):
+        deeper = [i for i in members if len(rows[i][1]) > level]
+        found.update({i: prefix for i in members if len(rows[i][1]) <= level})
+        if not deeper:
+            return
+        said = [rows[i][2] for i in deeper if rows[i][2]]
+        settled = len(deeper) < url_filter.OPEN_SUPPORT or not said or (len(said) == len(deeper) and len(set(said)) == 1)
+        if level >= url_filter.DEPTH and settled:
+            found.update(dict.fromkeys(deeper, prefix + "/**"))
+            return
+        kids = defaultdict(list)
+        for i in deeper:
+            kids[rows[i][1][level]].append(i)
+        tally = {s: (len(m), sum(rows[i][2] == "allow" for i in m), sum(bool(rows[i][2]) for i in m)) for s, m in kids.items()}
+        names, places = branches(tally, prior), defaultdict(list)
+        for s, m in kids.items():
+            places[names.get(s, "*")] += m
+        for name, m in places.items():
+            grow(f"{prefix}/{name}", level + 1, m)
+
+    for host in {r[0] for r in rows}:
+        grow(host, 0, [i for i, r in enumerate(rows) if r[0] == host])
+    return found
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_tree_merge_and_purity_match_brute_force(spark, seed):
+    """Random paths of up to seven segments on two hosts; rules hit pages at every level."""
+    r = random.Random(seed)
+    word = lambda level: r.choice("abc" if level % 2 else "xyzw") if r.random() < 0.9 else f"id{r.randrange(10**6)}"
+    urls = [f"http://{r.choice(['h.site', 'k.site'])}/" + "/".join(word(j) for j in range(r.randint(1, 7))) for _ in range(900)]
+    rules = {}
+    for u in r.sample(urls, 60):
+        parts = u[7:].split("/")
+        rules["/".join(parts[: r.randint(3, 6)]) + "/"] = r.choice(["allow", "block", "block"])
+    got = {x["page_id"]: x for x in url_filter.judge(pages(spark, urls), rules).collect()}
+    rows = [(u[7:].split("/")[0], u[7:].split("/")[1:], rules.get(got[i]["rule"])) for i, u in enumerate(urls)]
+    good, labelled = sum(x[2] == "allow" for x in rows), sum(bool(x[2]) for x in rows)
+    prior = max(0.5, good / labelled)
+    want = templates(rows, prior)
+    assert {i: x["template"] for i, x in got.items()} == want
+    rejected = 0
+    for name in set(want.values()):
+        own = [i for i in want if want[i] == name]
+        said = [rows[i][2] for i in own if rows[i][2]]
+        purity = smooth(said.count("allow"), len(said), prior)
+        high = purity + url_filter.SURE * (purity * (1 - purity) / (len(said) + url_filter.PRIOR_WEIGHT)) ** 0.5
+        bad = high < url_filter.LEAST_PURITY and len(said) >= url_filter.LEAST_LABELLED * len(own)
+        rejected += bad
+        for i in own:
+            assert got[i]["purity"] == pytest.approx(purity)
+            assert got[i]["verdict"] == (rows[i][2] or ("block" if bad else "allow"))
+    assert rejected and any(t.count("/") > url_filter.DEPTH + 1 for t in want.values())

@@ -430,13 +430,21 @@ class JaccardJoin:
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes whose complete sets are similar enough. A class without any doc_id
         cannot be read again and is linked with nothing."""
+        # A pivot with many members is dealt to several tasks; there are few of these pivots.
+        counts = pairs.groupBy("b").agg(F.ceil(F.count("*") / PIVOT_SHARE).cast("int").alias("shares"))
+        hot = written(counts.filter("shares > 1"), "hot-pivots")
+        shares = F.coalesce("shares", F.lit(1))
+        part = F.pmod(F.xxhash64("a"), shares).cast("int").alias("part")
+        members = pairs.join(hot, "b", "left").select(F.col("a").alias("fp"), "b", part, "a")
+        part = F.explode(F.sequence(F.lit(0), shares - 1)).alias("part")
+        pivots = pairs.select("b").distinct().join(hot, "b", "left")
+        pivots = pivots.select(F.col("b").alias("fp"), "b", part, F.lit(None).cast("long").alias("a"))
+        names = self.classes.filter("rep IS NOT NULL").select("fp", F.col("rep").alias("doc_id"))
+        wanted = written(members.unionByName(pivots).join(names, "fp"), "compared-ids")
+        # 32,768 slots in each bitmap, so 2 ** NEEDED_BITS / 32,768 rows of 4 KiB at most.
         slots = 1 << NEEDED_BITS
         slot = F.pmod(F.xxhash64("doc_id"), F.lit(slots))
-        ids = pairs.select("a").unionAll(pairs.select("b")).distinct().withColumnRenamed("a", "fp")
-        ids = ids.join(self.classes.select("fp", F.col("rep").alias("doc_id")), "fp").filter("doc_id IS NOT NULL")
-        ids = written(ids, "compared-ids")
-        # 32,768 slots in each bitmap, so 2 ** NEEDED_BITS / 32,768 rows of 4 KiB at most.
-        maps = ids.groupBy(F.bitmap_bucket_number(slot + 1).alias("k"))
+        maps = wanted.groupBy(F.bitmap_bucket_number(slot + 1).alias("k"))
         maps = maps.agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot + 1)).alias("m"))
         bitmap = bytearray(slots // 8)
         for row in maps.collect():
@@ -444,17 +452,10 @@ class JaccardJoin:
             bitmap[at : at + len(row["m"])] = row["m"]
         held = self.spark.sparkContext.broadcast(bytes(bitmap))
         found = self.docs.withColumn("slot", slot).mapInArrow(_needed(held, self.width), "doc_id long, fp long, text string")
-        # Of the rows with that doc_id those with the class's set; they are alike for the comparison. A row
-        # that is repeated in the table comes once per task at most: comparing it again changes nothing.
-        texts = written(found.join(ids, ["doc_id", "fp"]).select("fp", "text"), "compared-texts")
-        shares = pairs.groupBy("b").agg(F.ceil(F.count("*") / PIVOT_SHARE).cast("int").alias("shares"))
-        shares = written(shares, "pivot-shares")
-        part = F.pmod(F.xxhash64("a"), F.col("shares")).cast("int")
-        text_a = texts.withColumnRenamed("fp", "a")
-        members = pairs.join(shares, "b").select("b", part.alias("part"), "a").join(text_a, "a")
-        pivots = shares.join(texts.withColumnRenamed("fp", "b"), "b")
-        pivots = pivots.select("b", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("part"), "text")
-        rows = members.unionByName(pivots.withColumn("a", F.lit(None).cast("long")))
+        # A text crosses one exchange to all comparisons that want it and one to their tasks. Of the rows with
+        # that doc_id those with the class's set are read; they are alike for the comparison. A row that is
+        # repeated in the table comes once per task at most: comparing it again changes nothing.
+        rows = found.join(wanted, ["doc_id", "fp"])
         dealt = rows.repartition(shuffle_partitions(self.spark), "b", "part")
         dealt = dealt.sortWithinPartitions("b", "part", F.col("a").asc_nulls_first()).select("b", "part", "a", "text")
         return written(dealt.mapInArrow(_compared(self.width, self.num, self.den), "a long, b long"), "links")

@@ -83,3 +83,16 @@ def test_counts_of_an_empty_table(spark, ratings):
     from prefkit.operators import aggregates as A
 
     assert tuple(A.dataset_counts(ratings.limit(0)).first()) == (0, 0, 0)
+
+
+def test_only_the_bucket_of_a_time_meets_the_orders(spark):
+    """Ratings are labelled as before, and neither the time nor what it is made of crosses the join."""
+    from prefkit.sources import bindings as B
+
+    sf = "/root/testdata/sf0.001"
+    rows = SP.with_split(B.bind_ratings(spark, sf, of_line=lambda lines: SP.with_bucket(lines).drop("ts")))
+    columns = ["user_id", "item_id", "rating", "split"]
+    want = SP.split_assignment(B.bind_ratings(spark, sf)).select(columns)
+    assert rows.select(columns).exceptAll(want).isEmpty() and rows.count() == want.count()
+    below = rows.select(columns)._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[1].splitlines()[1]
+    assert "Project [l_orderkey" in below and "AS bucket" in below and "AS ts" not in below and ", l_shipdate" not in below

@@ -41,3 +41,28 @@ def id_crc32(col: str) -> Column:
 def renamed_schema(df: DataFrame, column: str, name: str) -> T.StructField:
     """The field of ``column`` under another name (keeps the data type of ids generic)."""
     return T.StructField(name, df.schema[column].dataType, True)
+
+
+#: Bits of the map that tells which rows a table of ids can concern (4 MiB).
+ID_MAP_BITS = 25
+
+
+def concerned(docs: DataFrame, id: Column, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` in two parts: rows whose ``id`` (long) is null or may be among ``ids`` (one column of longs), and
+    rows whose id is not among them.
+
+    The ids' hashes are set in a map of fixed size, which is broadcast: whatever the number of ids, the
+    rows of the second part need not be moved to be told apart from them."""
+    slots = F.lit(1 << ID_MAP_BITS)
+    own = F.col(ids.columns[0])
+    slot = F.pmod(F.xxhash64(own), slots) + 1
+    k, m = free_name(docs, "map_k"), free_name(docs, "map_m")
+    maps = ids.filter(own.isNotNull()).groupBy(F.bitmap_bucket_number(slot).alias(k))
+    maps = written(maps.agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias(m)), "id-map")
+    slot = F.pmod(F.xxhash64(id), slots) + 1
+    at = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring(m, F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(1) == 1
+    marked = docs.join(F.broadcast(maps), F.bitmap_bucket_number(slot) == F.col(k), "left")
+    may = id.isNull() | F.coalesce(hit, F.lit(False))
+    return marked.filter(may).drop(k, m), marked.filter(~may).drop(k, m)

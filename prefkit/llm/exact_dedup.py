@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prefkit.llm.common import free_name, shuffle_partitions, written
+from prefkit.llm.common import concerned, free_name, shuffle_partitions, written
 
 #: Bytes of distinct content that one table holds before it passes contents on.
 TABLE_BYTES = 96 * 1024 * 1024
@@ -231,7 +231,7 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are kept as they are, whatever their names. Of repeated rows one stays.
 
     The rows to go, and those that occur several times, are looked up by id and digest: a table of these
-    alone meets the documents, and is broadcast while it is small, so that texts stay where they lie."""
+    alone meets the documents whose ids a map of them does not rule out; the other texts stay where they lie."""
     marks = written(exact_duplicates(docs, id_col, text_col), "dedup-marks")
     seen = marks.groupBy(F.col("doc_id").alias("x_id"), F.col("text_sha256").alias("x_sha"))
     seen = seen.agg(F.max("kept").alias("x_kept"), F.count("*").alias("x_n"))
@@ -240,7 +240,9 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own_id, own_sha = free_name(docs, "own_id"), free_name(docs, "own_sha")
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     text = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    own = docs.withColumns({own_id: F.col(f"`{id_col}`").cast("long"), own_sha: F.sha2(text, 256)})
+    # Rows whose id is not among these stay as they are; the others are told apart by their digests too.
+    may, rest = concerned(docs, F.col(f"`{id_col}`").cast("long"), special.select("x_id"))
+    own = may.withColumns({own_id: F.col(f"`{id_col}`").cast("long"), own_sha: F.sha2(text, 256)})
 
     def met(rows: DataFrame, how: str) -> DataFrame:
         rows = rows.select(F.col("x_id").alias(free_name(own, "x_id")), F.col("x_sha").alias(free_name(own, "x_sha")))
@@ -250,4 +252,4 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     single = met(special, "left_anti")
     repeated = written(special.filter("x_kept"), "dedup-repeated")
     several = met(repeated, "left_semi").dropDuplicates([own_id, own_sha])
-    return single.unionByName(several).drop(own_id, own_sha)
+    return rest.union(single.unionByName(several).drop(own_id, own_sha))

@@ -11,7 +11,9 @@ Sets that share an index key are candidates. Their number is kept linear: sets o
 compared with one of them (its pivot), not with each other, and each with a few pivots at most. Where
 this joins all sets of a key into one component, nothing else is to do; where components remain
 apart, all pairs between different components of the key are verified too. Hence no link between
-components is lost, while copies and near copies by the thousand cost a few comparisons each. A set's
+components is lost, while copies and near copies by the thousand cost a few comparisons each. Under keys
+that many sets share, each set is first compared with a few neighbours in an order by chance, so that
+what belongs together is mostly one component before all pairs are made. A set's
 profile (how many of its tokens fall into each hash class) bounds the intersection from above and
 spares the comparison of sets that cannot be similar; all others read both complete sets.
 """
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prefkit.llm.common import shuffle_partitions, written
+from prefkit.llm.common import concerned, shuffle_partitions, written
 from prefkit.llm.components import components
 from prefkit.llm.shingles import set_prints, shingle_sets
 from prefkit.llm.textblocks import byte_blocks, mixed
@@ -46,6 +48,9 @@ LISTED_KEYS = 16
 NARROWING = 2
 #: Pivots that a set is compared with at first, those that it shares most keys with.
 FIRST_PIVOTS = 3
+#: Before crowded keys make all pairs, a set is compared with the NEAR_SETS sets after it under each of its
+#: NEAR_KEYS least crowded keys.
+NEAR_KEYS, NEAR_SETS = 8, 4
 #: Bits of the map that tells a scan which documents are needed (4 MiB).
 NEEDED_BITS = 25
 #: Tokens are frequent if their counter is more than FREQUENT_SIGMAS standard deviations of chance
@@ -477,17 +482,30 @@ class JaccardJoin:
         found = written(components(links), "star-components")
         sets = members.select("key", "a", "n").distinct().join(found.withColumnRenamed("id", "a"), "a", "left")
         sets = written(sets.withColumn("component", F.coalesce("component", "a")), "key-sets")
-        counts = sets.groupBy("key", "component").count()
-        largest = counts.groupBy("key").agg(
-            F.max(F.struct("count", "component")).alias("m"), F.count("*").alias("parts"), F.sum("count").alias("size")
-        )
-        undecided = written(largest.filter("parts > 1").select("key", F.col("m.component").alias("main"), "size"), "mixed-keys")
+        undecided = written(self.undecided(sets), "mixed-keys")
         pairs = self.sparse_pairs(sets.join(undecided.filter(F.col("size") <= CROWDED).select("key"), "key"), profiles, others)
-        pairs = pairs.unionByName(self.crowded_pairs(sets, undecided.filter(F.col("size") > CROWDED), profiles))
+        crowded = written(sets.join(undecided.filter(F.col("size") > CROWDED), "key"), "crowded-sets")
         tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        near = written(self.neighbours(crowded, profiles).join(tried, ["a", "b"], "left_anti"), "near-pairs")
+        if not near.isEmpty():
+            tried = tried.unionByName(near)
+            links = written(links.unionByName(self.verified(near)), "links-so-far")
+            found = written(components(links), "components-so-far").withColumnRenamed("id", "a")
+            crowded = crowded.drop("component", "main", "size").join(found, "a", "left")
+            crowded = written(crowded.withColumn("component", F.coalesce("component", "a")), "near-sets")
+            crowded = written(crowded.join(self.undecided(crowded), "key"), "crowded-sets")
+        pairs = pairs.unionByName(self.crowded_pairs(crowded, profiles))
         pairs = written(pairs.distinct(), "apart-pairs").join(tried, ["a", "b"], "left_anti")
         return self.settled(links, written(pairs, "untried-pairs"))
 
+    def undecided(self, sets: DataFrame) -> DataFrame:
+        """(key, main, size) of the keys whose sets are in several components; main has most of them."""
+        counts = sets.groupBy("key", "component").count()
+        largest = counts.groupBy("key").agg(
+            F.max(F.struct("count", "component")).alias("m"), F.count("*").alias("parts"), F.sum("count").alias("size")
+        )
+        return largest.filter("parts > 1").select("key", F.col("m.component").alias("main"), "size")
+
     def sparse_pairs(self, sets: DataFrame, profiles: DataFrame, others: DataFrame) -> DataFrame:
         """Pairs (a < b) of different components under keys that few sets share: ids meet, and profiles
         are looked up once for each distinct pair."""
@@ -498,18 +516,39 @@ class JaccardJoin:
         met = met.join(profiles, "a").join(others, "b")
         return met.filter(self.profiles_fit("n", "b_n", "profile", "b_profile")).select("a", "b")
 
-    def crowded_pairs(self, sets: DataFrame, keys: DataFrame, profiles: DataFrame) -> DataFrame:
+    def listed(self, sets: DataFrame, profiles: DataFrame) -> DataFrame:
+        """a, profile, keys of ``sets``: the least of each set's keys, LISTED_KEYS of them."""
+        keys = sets.groupBy("a").agg(F.slice(F.sort_array(F.collect_list("key")), 1, LISTED_KEYS).alias("keys"))
+        return keys.join(profiles.drop("n"), "a")
+
+    def neighbours(self, sets: DataFrame, profiles: DataFrame) -> DataFrame:
+        """A few pairs (a < b) of different components for each set: keys are hashes, so similar sets mostly
+        list the same ones, and under each a set meets those that follow it in an order by chance."""
+        rows = sets.groupBy("a", "n", "component").agg(F.sort_array(F.collect_list(F.struct("key", "size"))).alias("keys"))
+        rows = rows.withColumn("k", F.explode(F.slice("keys", 1, NEAR_KEYS))).drop("keys")
+        rows = rows.join(profiles.drop("n"), "a")
+        share = F.pmod(F.xxhash64("a"), F.ceil(F.col("k.size") / KEY_SHARE)).alias("share")
+        one = F.struct("a", "n", "component", "profile").alias("x")
+        chance = F.xxhash64("a", "k.key").alias("chance")
+        rows = rows.select(F.col("k.key").alias("key"), share, chance, one)
+        order = Window.partitionBy("key", "share").orderBy("chance")
+        rows = rows.select("x", F.array(*[F.lead("x", i).over(order) for i in range(1, NEAR_SETS + 1)]).alias("after"))
+        met = rows.select("x", F.explode("after").alias("y")).filter("y IS NOT NULL AND x.component != y.component")
+        met = met.filter(self.sizes_fit("x.n", "y.n")).filter(self.profiles_fit("x.n", "y.n", "x.profile", "y.profile"))
+        return met.select(F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b")).distinct()
+
+    def crowded_pairs(self, sets: DataFrame, profiles: DataFrame) -> DataFrame:
         """Pairs (a < b) of different components under keys that many sets share. Sizes, profiles and
         lists of keys are compared where the sets meet, so that few of the pairs leave the join."""
         shares = F.ceil(F.col("size") / KEY_SHARE).cast("int").alias("shares")
-        rest = written(sets.join(keys.select("key", "main", shares), "key"), "crowded-sets")
-        listed = rest.groupBy("a").agg(F.slice(F.sort_array(F.collect_list("key")), 1, LISTED_KEYS).alias("keys"))
-        rest = rest.join(profiles.drop("n"), "a").join(listed, "a")
-        # Few bytes and many pairs: a key's sets are dealt to shares, and the number of tasks is fixed.
+        rest = sets.select("key", "a", "n", "component", "main", shares)
+        rest = rest.join(written(self.listed(sets, profiles), "crowded-lists"), "a")
+        # Few bytes and many pairs: a key's sets are dealt to shares, and the number of tasks is fixed. Those outside
+        # its main component, mostly few, go to every share: rows grow with them and not with the key's square.
         names = {"a": "b", "n": "b_n", "component": "other", "profile": "b_profile", "keys": "b_keys"}
-        right = rest.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+        left = rest.filter("component != main").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+        right = rest.withColumn("share", F.pmod(F.xxhash64("a"), F.col("shares")).cast("int"))
         right = right.drop("main", "shares").withColumnsRenamed(names)
-        left = rest.filter("component != main").withColumn("share", F.pmod(F.xxhash64("a"), F.col("shares")).cast("int"))
         tasks = shuffle_partitions(self.spark)
         left = left.drop("shares").repartition(tasks, "key", "share")
         right = right.repartition(tasks, "key", "share")
@@ -585,4 +624,8 @@ def drop_similar(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5, id
     Rows without an id are kept. Of repeated rows (equal ids) all stay or go together."""
     found = jaccard_components(docs, width, num, den, id_col, text_col)
     drop = found.filter("doc_id != component_id").select(F.col("doc_id").alias("_drop_id")).distinct()
-    return docs.join(drop, F.col(id_col).cast("long") == F.col("_drop_id"), "left_anti")
+    drop = written(drop, "near-drops")
+    own = F.col(f"`{id_col}`").cast("long")
+    # Only rows whose id may be among those to go meet them; the other texts stay where they lie.
+    may, rest = concerned(docs, own, drop)
+    return rest.union(may.join(drop, own == F.col("_drop_id"), "left_anti"))

@@ -199,3 +199,44 @@ def test_every_way_of_pairing_gives_all_links(documents, monkeypatch, crowded, l
     rows = corpus(31, 140)
     got = jaccard_join.jaccard_components(documents(rows), 3, 90, 100)
     assert sorted(map(tuple, got.collect())) == brute(rows, 3, 90, 100)
+
+
+def near_copies(prose, n):
+    """Copies of one text with up to three words changed: some pairs are similar, many just not."""
+    base, rows = prose(150, 1).split(), []
+    for i in range(n):
+        r, words = random.Random(i), list(base)
+        for _ in range(r.randint(1, 4)):
+            words[r.randrange(len(words))] = f"x{r.randrange(10**6)}"
+        rows.append((i, " ".join(words), "en", "a"))
+    return rows
+
+
+def test_a_group_of_near_copies_makes_few_pairs(documents, monkeypatch, prose):
+    made, plain = {}, jaccard_join.written
+
+    def counted(df, name):
+        out = plain(df, name)
+        if name == "untried-pairs":
+            made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", counted)
+    rows = near_copies(prose, 300)
+    got = jaccard_join.jaccard_components(documents(rows), 5, 4, 5).collect()
+    assert sorted(map(tuple, got)) == brute(rows, 5, 4, 5)
+    assert made["untried-pairs"] < 6 * len(rows)
+
+
+def test_texts_that_stay_are_not_moved(spark, documents, prose):
+    rows = [(i, prose(60, i % 40), "en", "a") for i in range(60)] + [(None, prose(60, 1), "en", "a")]
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = jaccard_join.drop_similar(documents(rows))
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        first = plan.split("SortMergeJoin")[0]
+        assert "Union" in first and "BroadcastHashJoin" in first and "Exchange hashpartitioning" not in first
+        assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([*range(40), None], key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)

@@ -15,7 +15,8 @@ components is lost, while copies and near copies by the thousand cost a few comp
 that many sets share, each set is first compared with a few neighbours in an order by chance, so that
 what belongs together is mostly one component before all pairs are made. A set's
 profile (how many of its tokens fall into each hash class) bounds the intersection from above and
-spares the comparison of sets that cannot be similar; all others read both complete sets.
+spares the comparison of sets that cannot be similar. For long sets it is too coarse, so that their pairs
+meet finer profiles, whose classes grow with the set, before they meet texts; all others read both complete sets.
 """
 
 from __future__ import annotations
@@ -39,6 +40,9 @@ COUNTER_BITS = 22
 #: A set's profile: which of PROFILE hash classes hold at least 1, 2, .. PLANES of its tokens (bits,
 #: 64 to a number), and how many tokens lie beyond that.
 PROFILE, PLANES = 128, 8
+#: Sets of more tokens than FINE_FROM have a fine profile besides: counts of classes (a power of two, a byte each)
+#: of more than half of FINE_TOKENS and at most FINE_TOKENS tokens on average.
+FINE_FROM, FINE_TOKENS = 1024, 16
 #: Undecided keys with more sets than this are crowded: their sets carry what spares pairs early.
 CROWDED = 32
 #: Crowded keys (the least ones) that a set lists. A pair is not met under a key when both sets list a lesser
@@ -65,13 +69,14 @@ KEY_SHARE = 512
 #: Comparisons with one pivot in one task.
 PIVOT_SHARE = 256
 
-_SETS = "doc_id long, n int, fp long, profile array<long>, block int, counts binary"
+_SETS = "doc_id long, n int, fp long, profile array<long>, fine binary, block int, counts binary"
 _PA_SETS = pa.schema(
     [
         ("doc_id", pa.int64()),
         ("n", pa.int32()),
         ("fp", pa.int64()),
         ("profile", pa.list_(pa.int64())),
+        ("fine", pa.binary()),
         ("block", pa.int32()),
         ("counts", pa.binary()),
     ]
@@ -105,8 +110,26 @@ def profiles(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.column_stack([*planes, np.maximum(counts - PLANES, 0).sum(1)])
 
 
+def fine_profile(h: np.ndarray) -> bytes | None:
+    """The set's tokens counted in hash classes, up to 255 in each; None for a short set."""
+    if len(h) <= FINE_FROM:
+        return None
+    classes = 1 << (-(-len(h) // FINE_TOKENS) - 1).bit_length()
+    counts = np.bincount((h & _U(classes - 1)).astype(np.int64), minlength=classes)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def most_common(a: bytes, n_a: int, b: bytes, n_b: int) -> int:
+    """An upper bound of the intersection of two sets of ``n_a`` and ``n_b`` tokens by their fine profiles."""
+    x, y = (np.frombuffer(p, np.uint8).astype(np.int64) for p in (a, b))
+    # Tokens that the counts leave out may all be common.
+    beyond = n_a - int(x.sum()) + n_b - int(y.sum())
+    classes = min(len(x), len(y))
+    return int(np.minimum(x.reshape(-1, classes).sum(0), y.reshape(-1, classes).sum(0)).sum()) + beyond
+
+
 def _sets(width: int, bits: int):
-    """Documents -> (doc_id, n, fp), and at a task's end its token counters in blocks."""
+    """Documents -> (doc_id, n, fp, profiles), and at a task's end its token counters in blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(1 << bits, np.int64)
@@ -119,11 +142,13 @@ def _sets(width: int, bits: int):
                 n = len(offsets) - 1
                 some = True
                 profile = profiles(h, bounds)
+                fine = [fine_profile(h[b:e]) for b, e in zip(bounds[:-1], bounds[1:])]
                 columns = [
                     ids.slice(first, n).cast(pa.int64()),
                     pa.array(np.diff(bounds).astype(np.int32)),
                     pa.array(_signed(set_prints(h, bounds))),
                     pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * profile.shape[1], profile.ravel()),
+                    pa.array(fine, pa.binary()),
                     pa.nulls(n, pa.int32()),
                     pa.nulls(n, pa.binary()),
                 ]
@@ -132,7 +157,7 @@ def _sets(width: int, bits: int):
             kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if counters.max() <= np.iinfo(t).max)
             for i, part in enumerate(np.split(counters.astype(kind), _BLOCKS)):
                 packed = bytes([part.itemsize]) + zlib.compress(part.tobytes(), 1)
-                row = [[None], [None], [None], [None], [i], [packed]]
+                row = [[None], [None], [None], [None], [None], [i], [packed]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, _PA_SETS)], schema=_PA_SETS)
 
     return run
@@ -359,6 +384,18 @@ def _needed(bitmap, width: int):
     return run
 
 
+def _possible(num: int, den: int):
+    """Pairs with their sizes and fine profiles -> those (a, b) that these do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("fine", "n", "b_fine", "b_n")))
+            keep = [a is None or b is None or most_common(a, n, b, m) * (num + den) >= (n + m) * num for a, n, b, m in rows]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _compared(width: int, num: int, den: int):
     """Rows in the order of (b, part, member): a pivot's text, then the texts to compare with it."""
 
@@ -395,7 +432,7 @@ class JaccardJoin:
 
     def sets(self) -> DataFrame:
         """doc_id, n, fp of every row; leaves the counters and the classes of equal sets: fp (which names the
-        class), n, rep (the least doc_id), profile."""
+        class), n, rep (the least doc_id), profile, fine."""
         made = written(self.docs.mapInArrow(_sets(self.width, self.bits), _SETS), "shingle-sets")
         counters = token_counters(made.filter("block IS NOT NULL"), self.bits)
         mean = counters.sum() / len(counters)
@@ -404,7 +441,8 @@ class JaccardJoin:
         self.prefixes = Prefixes(self.num, self.den, counters, frequent)
         rows = made.filter("block IS NULL")
         classes = rows.filter("n > 0").groupBy("fp")
-        classes = classes.agg(F.first("n").alias("n"), F.min("doc_id").alias("rep"), F.first("profile").alias("profile"))
+        same = [F.first(c).alias(c) for c in ("n", "profile", "fine")]
+        classes = classes.agg(*same, F.min("doc_id").alias("rep"))
         self.classes = written(classes, "shingle-classes")
         return rows.select("doc_id", "n", "fp")
 
@@ -432,6 +470,13 @@ class JaccardJoin:
         sizes = F.col(n_a).cast("long") + F.col(n_b).cast("long")
         return most * (self.num + self.den) >= sizes * self.num
 
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` (a, b) of classes without those that their fine profiles rule out. Short sets have none."""
+        fine = self.classes.filter("fine IS NOT NULL").select(F.col("fp").alias("a"), "n", "fine")
+        other = fine.withColumnsRenamed({"a": "b", "n": "b_n", "fine": "b_fine"})
+        rows = pairs.select("a", "b").join(fine, "a", "left").join(other, "b", "left")
+        return rows.mapInArrow(_possible(self.num, self.den), "a long, b long")
+
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes whose complete sets are similar enough. A class without any doc_id
         cannot be read again and is linked with nothing."""
@@ -477,18 +522,19 @@ class JaccardJoin:
         stars = stars.join(profiles, "a").join(others, "b")
         stars = stars.filter(self.profiles_fit("n", "b_n", "profile", "b_profile")).select("a", "b")
         stars = written(stars, "star-pairs")
-        links = self.verified(stars)
+        links = self.verified(written(self.possible(stars), "possible-stars"))
         # Keys whose sets are still in different components: the pairs between these.
         found = written(components(links), "star-components")
         sets = members.select("key", "a", "n").distinct().join(found.withColumnRenamed("id", "a"), "a", "left")
         sets = written(sets.withColumn("component", F.coalesce("component", "a")), "key-sets")
-        undecided = written(self.undecided(sets), "mixed-keys")
-        pairs = self.sparse_pairs(sets.join(undecided.filter(F.col("size") <= CROWDED).select("key"), "key"), profiles, others)
-        crowded = written(sets.join(undecided.filter(F.col("size") > CROWDED), "key"), "crowded-sets")
+        mixed_sets = written(sets.join(self.undecided(sets), "key"), "mixed-sets")
+        pairs = self.sparse_pairs(mixed_sets.filter(F.col("size") <= CROWDED), profiles, others)
+        crowded = mixed_sets.filter(F.col("size") > CROWDED)
         tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         near = written(self.neighbours(crowded, profiles).join(tried, ["a", "b"], "left_anti"), "near-pairs")
         if not near.isEmpty():
             tried = tried.unionByName(near)
+            near = written(self.possible(near), "possible-near")
             links = written(links.unionByName(self.verified(near)), "links-so-far")
             found = written(components(links), "components-so-far").withColumnRenamed("id", "a")
             crowded = crowded.drop("component", "main", "size").join(found, "a", "left")
@@ -496,7 +542,7 @@ class JaccardJoin:
             crowded = written(crowded.join(self.undecided(crowded), "key"), "crowded-sets")
         pairs = pairs.unionByName(self.crowded_pairs(crowded, profiles))
         pairs = written(pairs.distinct(), "apart-pairs").join(tried, ["a", "b"], "left_anti")
-        return self.settled(links, written(pairs, "untried-pairs"))
+        return self.settled(links, written(self.possible(pairs), "untried-pairs"))
 
     def undecided(self, sets: DataFrame) -> DataFrame:
         """(key, main, size) of the keys whose sets are in several components; main has most of them."""
@@ -509,7 +555,7 @@ class JaccardJoin:
     def sparse_pairs(self, sets: DataFrame, profiles: DataFrame, others: DataFrame) -> DataFrame:
         """Pairs (a < b) of different components under keys that few sets share: ids meet, and profiles
         are looked up once for each distinct pair."""
-        sets = written(sets.select("key", "a", "n", "component"), "sparse-sets")
+        sets = sets.select("key", "a", "n", "component")
         right = sets.withColumnsRenamed({"a": "b", "n": "b_n", "component": "other"})
         met = sets.join(right, "key").filter("a < b AND component != other").filter(self.sizes_fit("n", "b_n"))
         met = written(met.select("a", "b").distinct(), "sparse-pairs")

@@ -240,3 +240,51 @@ def test_texts_that_stay_are_not_moved(spark, documents, prose):
         assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([*range(40), None], key=str)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_fine_profiles_bound_the_intersection(monkeypatch):
+    r = np.random.default_rng(5)
+    base = np.unique(r.integers(0, 1 << 63, 9000, dtype=np.uint64))
+    crowd = np.arange(1, 9001, dtype=np.uint64) << np.uint64(20)  # all in one class: beyond a byte
+    assert jaccard_join.fine_profile(base[: jaccard_join.FINE_FROM]) is None
+    for tokens in (base, crowd):
+        for n, m, start in ((2040, 2070, 100), (9000, 8100, 0), (1100, 9000, 0), (4000, 4000, 4000)):
+            a, b = tokens[:n], tokens[start : start + m]
+            both = len(np.intersect1d(a, b))
+            p, q = jaccard_join.fine_profile(a), jaccard_join.fine_profile(b)
+            assert jaccard_join.most_common(p, len(a), q, len(b)) >= both
+            assert jaccard_join.most_common(p, len(a), p, len(a)) >= len(a)
+    # Long sets without a common token are told apart.
+    a, b = base[:4000], base[4000:8000]
+    assert jaccard_join.most_common(jaccard_join.fine_profile(a), 4000, jaccard_join.fine_profile(b), 4000) < 3600
+
+
+@pytest.mark.parametrize("crowded", [0, 32])
+def test_fine_profiles_lose_no_link(documents, monkeypatch, crowded):
+    for name, value in (("FINE_FROM", 5), ("FINE_TOKENS", 2), ("CROWDED", crowded)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rows = corpus(57, 140)
+    got = jaccard_join.jaccard_components(documents(rows), 3, 90, 100)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 3, 90, 100)
+
+
+def test_long_texts_that_only_share_keys_are_not_compared(documents, monkeypatch):
+    """Long texts of few words share many index keys; their texts need not meet."""
+    compared, plain = [], jaccard_join.JaccardJoin.verified
+
+    def counted(self, pairs):
+        compared.append(pairs.count())
+        return plain(self, pairs)
+
+    monkeypatch.setattr(jaccard_join.JaccardJoin, "verified", counted)
+    rows = []
+    for i in range(40):
+        r = random.Random(i)
+        words = [f"w{r.randrange(15)}" for _ in range(2500)]
+        rows.append((2 * i, " ".join(words), "en", "a"))
+        if i < 5:
+            rows.append((2 * i + 1, " ".join(edited(words, r, 0.005)), "en", "a"))
+    got = jaccard_join.jaccard_components(documents(rows), 3, 90, 100).collect()
+    assert sorted(map(tuple, got)) == brute(rows, 3, 90, 100)
+    assert sum(r.component_id != r.doc_id for r in got) == 5
+    assert sum(compared) <= 10

@@ -21,6 +21,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch on its way to a Python task (Spark's other limit, of rows, bounds no texts).
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Tasks hold ``BATCH_BYTES`` of Arrow data at a time, on Spark's side and on Python's, however long the
+    texts are. A limit that the session has already stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(key, spark.conf.get(key, str(BATCH_BYTES)))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or a longer one where ``df`` has a column of that name already."""
     taken = {c.lower() for c in df.columns}

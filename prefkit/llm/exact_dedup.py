@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prefkit.llm.common import concerned, free_name, shuffle_partitions, written
+from prefkit.llm.common import concerned, free_name, shuffle_partitions, small_batches, written
 
 #: Bytes of distinct content that one table holds before it passes contents on.
 TABLE_BYTES = 96 * 1024 * 1024
@@ -169,6 +169,7 @@ def content_classes(rows: DataFrame, fold: bool = True, table_bytes: int = TABLE
     folder, as are the classes found.
     """
     spark = rows.sparkSession
+    small_batches(spark)
     parts = shuffle_partitions(spark)
     records = rows.mapInArrow(_combine(fold, table_bytes // 4), _CONTENT)
     found, level = [], 0

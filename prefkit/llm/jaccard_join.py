@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prefkit.llm.common import concerned, shuffle_partitions, written
+from prefkit.llm.common import concerned, shuffle_partitions, small_batches, written
 from prefkit.llm.components import components
 from prefkit.llm.shingles import set_prints, shingle_sets
 from prefkit.llm.textblocks import byte_blocks, mixed
@@ -259,8 +259,10 @@ def _index(width: int, prefixes):
     """Documents -> index keys of their distinct sets. Keys that several sets of the task share are
     brought together here: the sets go to a pivot, and the key goes on with the pivot alone."""
 
-    def flushed(keys, fps, sizes):
-        key, fp, n = np.concatenate(keys), np.concatenate(fps), np.concatenate(sizes)
+    def flushed(held):
+        key, fp, n = (np.concatenate(part) for part in held)
+        for part in held:
+            part.clear()
         order = np.lexsort((fp, key))
         key, fp, n = key[order], fp[order], n[order]
         new = np.ones(len(key), bool)
@@ -314,11 +316,11 @@ def _index(width: int, prefixes):
                 for part, values in zip(held, (keys, fps[owner], size[owner].astype(np.int32))):
                     part.append(values)
                 rows += len(keys)
-            if rows > HELD_ROWS:
-                yield from flushed(*held)
-                held, rows = ([], [], []), 0
+                if rows > HELD_ROWS:
+                    yield from flushed(held)
+                    rows = 0
         if rows:
-            yield from flushed(*held)
+            yield from flushed(held)
 
     return run
 
@@ -428,6 +430,7 @@ class JaccardJoin:
         if not 3 * den <= 4 * num <= 4 * den:
             raise ValueError("the similarity must be from 0.75 to 1")
         self.spark, self.width, self.num, self.den, self.bits = docs.sparkSession, width, num, den, bits
+        small_batches(self.spark)
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def sets(self) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefkit.llm.common import written
+from prefkit.llm.common import small_batches, written
 from prefkit.llm.textblocks import text_blocks
 from prefkit.llm.token_ids import chunk_ids
 
@@ -61,6 +61,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, id_col: str =
                 columns = [doc, pa.array(rows[:, 1].astype(np.int32)), *(pa.array(rows[:, k]) for k in (2, 3, 4))]
                 yield pa.RecordBatch.from_arrays(columns, schema=out)
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, _PIECE)
 

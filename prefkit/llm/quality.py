@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prefkit.llm.common import id_crc32, written
+from prefkit.llm.common import id_crc32, small_batches, written
 from prefkit.llm.shingles import shingle_sets
 from prefkit.llm.textblocks import byte_blocks, span_hashes, word_hashes, word_spans
 
@@ -226,6 +226,7 @@ def trained_on(
     are left out; a document with several labels counts with each. Of more than ``most`` labels a
     share of about ``most`` is used, picked by a seeded hash of doc_id; these few are broadcast to
     the documents, so no text is moved but theirs."""
+    small_batches(docs.sparkSession)
     marks = labels.filter(F.col(label_col).isNotNull())
     marks = marks.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col(label_col) == 1).alias("good")).filter(trains)
     marks = written(marks, "quality-labels")

@@ -12,6 +12,8 @@ import pyarrow as pa
 
 #: Characters (or bytes) that one block holds, unless a single text is longer.
 BLOCK = 1 << 20
+#: Bytes that one block of bytes holds, unless a single text is longer: each costs some 80 bytes of arrays.
+BYTE_BLOCK = 1 << 18
 _U = np.uint64
 _SEED = np.random.Generator(np.random.PCG64(20240601))
 #: Random 64-bit value per byte, for word hashes.
@@ -60,9 +62,13 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     begin = np.zeros(len(values), np.int64)
     begin[starts[1:]] = np.diff(starts)
     begin[starts[0]] += starts[0]
-    place = np.arange(len(values)) - np.cumsum(begin)
+    place = np.arange(len(values))
+    place -= np.cumsum(begin, out=begin)
+    weighted = weights(longest)[np.clip(place, 0, longest - 1, out=place)]
+    weighted *= values
+    del begin, place
     sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * weights(longest)[np.clip(place, 0, longest - 1)], out=sums[1:])
+    np.cumsum(weighted, out=sums[1:])
     return mixed(sums[ends] - sums[starts] ^ (ends - starts).astype(np.uint64) * _GOLDEN)
 
 
@@ -95,7 +101,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def byte_blocks(column: pa.Array, block: int = BLOCK) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def byte_blocks(column: pa.Array, block: int = BYTE_BLOCK) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(index of the first text, bytes, offsets) of runs of texts of about ``block`` bytes."""
     data, offsets = text_bytes(column)
     i, n = 0, len(offsets) - 1

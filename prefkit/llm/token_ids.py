@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -59,11 +59,7 @@ class ChunkIds:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec["pre_tokenizer"] or {}
@@ -78,6 +74,16 @@ class ChunkIds:
             self.merge = merge.encode_ordinary
         self.clear()
 
+    @cached_property
+    def tokenizer(self):
+        """Loaded when a text needs it: beside a merge table only special strings do, and it is large."""
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_file(self.path)
+        made.no_truncation()
+        made.no_padding()
+        return made
+
     def clear(self) -> None:
         self.hashes = np.zeros(0, np.uint64)
         self.begin, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -87,8 +93,7 @@ class ChunkIds:
         if self.merge is None:
             return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         search = self.special.search if self.special else lambda t: None
-        slow = self.tokenizer.encode
-        return [slow(t, add_special_tokens=False).ids if search(t) else self.merge(t) for t in texts]
+        return [self.tokenizer.encode(t, add_special_tokens=False).ids if search(t) else self.merge(t) for t in texts]
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids one after another (uint32), and the n + 1 offsets of the texts."""
